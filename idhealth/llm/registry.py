@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing
+from . import chat, decontaminate, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_chat": chat.op2_chat,
+        "op5_decontaminate": decontaminate.op5_decontaminate,
         "op8_mix": mixing.op8_mix,
     }
 
@@ -21,5 +22,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat": chat.OP2_SQL,
+        "op5_decontaminate": decontaminate.OP5_SQL,
         "op8_mix": mixing.OP8_SQL,
     }
