@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing
+from . import chat, decontaminate, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op2_chat": chat.op2_chat,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op8_mix": mixing.op8_mix,
+        "op9_quality": quality.op9_quality,
     }
 
 

@@ -34,6 +34,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    """A-Z as a-z."""
+    return _LOWER[data]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse modulo 2**64."""
     if len(_powers[0]) < n:
