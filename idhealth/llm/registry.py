@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, quality
+from . import chat, decontaminate, mixing, neardup, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_chat": chat.op2_chat,
         "op5_decontaminate": decontaminate.op5_decontaminate,
+        "op6_near_duplicates": neardup.op6_near_duplicates,
         "op8_mix": mixing.op8_mix,
         "op9_quality": quality.op9_quality,
     }
