@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, neardup, quality
+from . import chat, decontaminate, mixing, neardup, quality, suffixdedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_chat": chat.op2_chat,
+        "op4_suffix_dedup": suffixdedup.op4_suffix_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_near_duplicates": neardup.op6_near_duplicates,
         "op8_mix": mixing.op8_mix,
