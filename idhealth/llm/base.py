@@ -45,3 +45,12 @@ def text_of(column: str) -> Column:
 def text_key(column: str) -> Column:
     """Tells apart rows that share an id but not a text; rows equal in both are one case and get equal results."""
     return F.xxhash64(text_of(column))
+
+
+#: Ids that may be broadcast (8 bytes each, about 100 MB as a hash relation at the most).
+BROADCAST_IDS = 1_000_000
+
+
+def small_side(ids: DataFrame) -> DataFrame:
+    """Marks a written id table for broadcast if its rows are counted to be few enough; otherwise the join shuffles."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, neardup, quality, suffixdedup
+from . import chaining, chat, decontaminate, mixing, neardup, quality, suffixdedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_passages": chaining.op1_passages,
         "op2_chat": chat.op2_chat,
         "op4_suffix_dedup": suffixdedup.op4_suffix_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
