@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chaining, chat, decontaminate, mixing, neardup, quality, suffixdedup
+from . import chaining, chat, decontaminate, media, mixing, neardup, quality, suffixdedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ def queries() -> dict[str, Query]:
         "op6_near_duplicates": neardup.op6_near_duplicates,
         "op8_mix": mixing.op8_mix,
         "op9_quality": quality.op9_quality,
+        "op10_media": media.op10_media,
     }
 
 
