@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chaining, chat, decontaminate, media, mixing, neardup, quality, suffixdedup
+from . import chaining, chat, decontaminate, media, mixing, neardup, quality, suffixdedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "op4_suffix_dedup": suffixdedup.op4_suffix_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_near_duplicates": neardup.op6_near_duplicates,
+        "op7_warc": warc.op7_warc,
         "op8_mix": mixing.op8_mix,
         "op9_quality": quality.op9_quality,
         "op10_media": media.op10_media,
@@ -28,5 +29,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat": chat.OP2_SQL,
         "op5_decontaminate": decontaminate.OP5_SQL,
+        "op7_warc": warc.OP7_SQL,
         "op8_mix": mixing.OP8_SQL,
     }
