@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chaining, chat, decontaminate, media, mixing, neardup, quality, suffixdedup, warc
+from . import chaining, chat, decontaminate, media, mixing, neardup, quality, suffixdedup, warc, wrapper
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_passages": chaining.op1_passages,
         "op2_chat": chat.op2_chat,
+        "op3_main_text": wrapper.op3_main_text,
         "op4_suffix_dedup": suffixdedup.op4_suffix_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_near_duplicates": neardup.op6_near_duplicates,
