@@ -143,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> OrdinalMode
         cuts = pd.DataFrame({"k": -1 - np.arange(GRADES - 1), "v": m.thresholds})
         return pd.concat([pd.DataFrame({"k": used, "v": m.weights[used].astype(float)}), cuts])
 
-    model = own.groupBy(F.lit(1)).applyInPandas(train, "k long, v double").toPandas()  # 2**BITS rows at most
+    model = own.groupBy(F.lit("all").alias("all")).applyInPandas(train, "k long, v double").toPandas()  # 2**BITS rows at most
     weights, cuts = np.zeros(1 << BITS, np.float32), np.full(GRADES - 1, -4.0)
     at = model["k"].to_numpy()
     weights[at[at >= 0]] = model["v"].to_numpy()[at >= 0]
