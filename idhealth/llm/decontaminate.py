@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import read, text_key, text_of, written
+from .base import read, small_side, text_key, text_of, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -94,6 +94,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     return full.select("doc_id", "tkey", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"), F.sha2(F.encode(F.array_join("ids", ","), "UTF-8"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, text and more) in which no window of an item occurs."""
+    hit = decontaminate(docs, items).where("contaminated").select(F.col("doc_id").alias("hit_id"), F.col("tkey").alias("hit_key")).distinct()
+    hit = small_side(written(hit, "bench-hit"))
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (text_key("text") == F.col("hit_key")), "left_anti")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return out.drop("tkey")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .base import read, written
+from .base import read, small_side, written
 
 #: Bits of a document's hash, and how many each histogram level resolves.
 HASH_BITS, LEVEL_BITS = 52, 13
@@ -73,6 +73,31 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source_key", F.col("low").alias("threshold"))
 
 
+def word_count(text: Column) -> Column:
+    """Runs of other than white space; null has none."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+
+
+def source_key(source: Column) -> Column:
+    """The source as a key without nulls."""
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("null"))
+
+
+def mix_plan(rows: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
+    """One row per source of rows (source, source_key, size, h): source_key, source_size, target, epochs, threshold."""
+    sizes = rows.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
+    goal = targets(sizes, weights, max_repeats).withColumn("source_key", source_key(F.col("source")))
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    goal = written(goal.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-targets")
+    limit = thresholds(rows.select("source_key", "h", "size"), goal.select("source_key", "rest"))
+    return goal.join(limit, "source_key").select("source_key", "source_size", "target", "epochs", "threshold")
+
+
+def taken() -> Column:
+    """Words taken of a row with size, h and its source's plan."""
+    return F.col("size") * (F.col("epochs") + (F.col("h") < F.col("threshold")).cast("long"))
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken.
 
@@ -81,19 +106,19 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     more than max_repeats times. The hash depends on the id only: reruns agree, and rows that share an id are taken
     alike. Empty table: no rows. A source without words has target 0. Columns besides these three are not read.
     """
-    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    key = F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("null"))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), key.alias("source_key"), size.alias("size"), doc_hash(F.col(doc_id)).alias("h"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), source_key(F.col(source)).alias("source_key"), word_count(F.col(text)).alias("size"), doc_hash(F.col(doc_id)).alias("h"))
     rows = written(rows, "mix-sizes")
-    sizes = rows.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
-    goal = targets(sizes, weights, max_repeats).withColumn("source_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")))
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    goal = written(goal.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-targets")
-    limit = thresholds(rows.select("source_key", "h", "size"), goal.select("source_key", "rest"))
-    plan = goal.join(limit, "source_key").select("source_key", "source_size", "target", "epochs", "threshold")
-    out = rows.join(plan, "source_key")
-    taken = F.col("size") * (F.col("epochs") + (F.col("h") < F.col("threshold")).cast("long"))
-    return out.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    out = rows.join(mix_plan(rows, weights, max_repeats), "source_key")
+    return out.select("doc_id", "source", "size", "source_size", "target", taken().alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
+    """The rows of docs (doc_id, text, source and more) that the mix takes, with mix_size and mix_taken (words, repeats counted)."""
+    cols = {"source_key": source_key(F.col("source")), "size": word_count(F.col("text")), "h": doc_hash(F.col("doc_id"))}
+    rows = written(docs.select("source", *[c.alias(n) for n, c in cols.items()]), "mix-sizes")
+    plan = small_side(written(mix_plan(rows, weights, max_repeats), "mix-plan"))
+    d = docs.select(F.struct(*docs.columns).alias("d"), *[c.alias(n) for n, c in cols.items()])
+    return d.join(plan, "source_key").where(taken() > 0).select("d.*", F.col("size").alias("mix_size"), taken().alias("mix_taken"))
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
