@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from idhealth.plans import names, populations, ranges, series, statistics, traffic
+from idhealth.plans.catalog import QUERIES, SQL, Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+MODULES = (traffic, populations, ranges, names, series, statistics)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
