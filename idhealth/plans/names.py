@@ -1 +1,121 @@
+"""Name queries: hosts of pages, words of documents and parts."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from idhealth.functions import names as n
+from idhealth.functions import sketches
+
+from .catalog import query, read
+
+_HOST = "split_part(split_part(url, '/', 3), ':', 1)"
+
+
+def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host = F.split_part(F.split_part("url", F.lit("/"), F.lit(3)), F.lit(":"), F.lit(1))
+    return read(spark, sf_dir, "pages").select("page_id", host.alias("name"))
+
+
+@query("name_parts", f"""WITH h AS (SELECT page_id, {_HOST} AS name, string_split({_HOST}, '.') AS l FROM pages)
+SELECT page_id, l[-1] AS tld, l[-2] AS sld, len(l)::INT AS n_labels, translate(name, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS canonic FROM h
+""")
+def name_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("name")
+    return hosts(spark, sf_dir).select("page_id", n.tld(c).alias("tld"), n.sld(c).alias("sld"), n.n_labels(c).alias("n_labels"), n.canonic(c).alias("canonic"))
+
+
+_NAMES = """x AS (SELECT event_id, CASE event_id % 11 WHEN 0 THEN event_type WHEN 1 THEN 'a.' || event_id::VARCHAR WHEN 2 THEN '10.0.' || (event_id % 256)::VARCHAR || '.' || (user_id % 300)::VARCHAR
+  WHEN 3 THEN 'www.local' WHEN 4 THEN 'Example' WHEN 5 THEN 'x.b_d' WHEN 6 THEN 'ab' || event_type || 'LongerLongName' WHEN 7 THEN 'Wé' || event_type WHEN 8 THEN 'host.home' WHEN 9 THEN 'Q' || event_type || 'zz' ELSE 'srv.corp' END AS name FROM events)"""
+
+
+def made_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id") % 11
+    t, i = F.col("event_type"), F.col("event_id")
+    name = F.when(e == 0, t).when(e == 1, F.concat(F.lit("a."), i.cast("string"))).when(e == 2, F.concat(F.lit("10.0."), (i % 256).cast("string"), F.lit("."), (F.col("user_id") % 300).cast("string")))
+    name = name.when(e == 3, "www.local").when(e == 4, "Example").when(e == 5, "x.b_d").when(e == 6, F.concat(F.lit("ab"), t, F.lit("LongerLongName"))).when(e == 7, F.concat(F.lit("Wé"), t))
+    name = name.when(e == 8, "host.home").when(e == 9, F.concat(F.lit("Q"), t, F.lit("zz"))).otherwise("srv.corp")
+    return read(spark, sf_dir, "events").select("event_id", name.alias("name"))
+
+
+_T = "string_split(name, '.')[-1]"
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+
+
+@query("leak_type", f"""WITH {_NAMES}, t AS (SELECT *, {_T} AS t FROM x)
+SELECT event_id, CASE WHEN regexp_matches(t, '[^\\x21-\\x7E]') THEN 'binary' WHEN NOT regexp_full_match(t, '[A-Za-z0-9-]+') THEN 'bad_syntax'
+  WHEN regexp_full_match(t, '-?[0-9]+') AND regexp_matches(name, '(^|\\.)({_OCTET}\\.){{3}}{_OCTET}$') THEN 'ipv4' WHEN regexp_full_match(t, '-?[0-9]+') THEN 'numeric'
+  WHEN upper(t) IN ('ALT', 'EXAMPLE', 'INVALID', 'LOCAL', 'LOCALHOST', 'ONION', 'TEST') THEN 'rfc6761' WHEN upper(t) IN ('HOME', 'CORP') THEN 'frequent'
+  WHEN regexp_full_match(name, '[A-Za-z]{{7,15}}') THEN 'dga' WHEN length(t) >= 16 THEN 'jumbo' ELSE 'other' END AS leak FROM t
+""")
+def leak_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return made_names(spark, sf_dir).select("event_id", n.leak_type(F.col("name"), ("HOME", "CORP")).alias("leak"))
+
+
+@query("tld_check", f"""WITH {_NAMES}, t AS (SELECT *, {_T} AS t FROM x)
+SELECT event_id, regexp_matches(t, '[^\\x21-\\x7E]') AS is_binary, NOT regexp_full_match(t, '[A-Za-z0-9-]+') AS is_wrong_syntax, regexp_full_match(t, '-?[0-9]+') AS is_numeric FROM t
+""")
+def tld_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return made_names(spark, sf_dir).select("event_id", n.tld_check(n.tld(F.col("name"))).alias("c")).select("event_id", "c.*")
+
+
+@query("zone", f"""
+WITH h AS (SELECT page_id, upper({_HOST}) AS name FROM pages), l AS (SELECT DISTINCT name, string_split(name, '.') AS l FROM h),
+r(suffix, kind) AS (VALUES ('COM', 'std'), ('NET', 'wildcard'), ('EXAMPLE.ORG', 'std'), ('THREA.EXAMPLE.NET', 'exception')),
+t AS (SELECT name, l, unnest(range(1, len(l) + 1)) AS k FROM l), s AS (SELECT name, l, k, array_to_string(l[len(l) - k + 1:], '.') AS suffix FROM t),
+m AS (SELECT name, max(k) AS k, arg_max(kind, k) AS kind FROM s JOIN r USING (suffix) GROUP BY name),
+w AS (SELECT l.name, l, CASE WHEN kind IS NULL THEN least(2, len(l)) WHEN kind = 'std' THEN k + 1 WHEN kind = 'wildcard' THEN k + 2 ELSE k END AS want FROM l LEFT JOIN m ON l.name = m.name)
+SELECT page_id, CASE WHEN want <= len(l) THEN array_to_string(l[len(l) - want + 1:], '.') END AS zone FROM h JOIN w USING (name)
+""")
+def zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame([("com", "std"), ("net", "wildcard"), ("example.org", "std"), ("threa.example.net", "exception")], "suffix string, kind string")
+    return n.zone(hosts(spark, sf_dir), "name", rules).select("page_id", "zone")
+
+
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9-]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
+
+
+@query("name_patterns")
+def name_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents by pattern; is_random needs transcendental sums that engines round differently at the bounds."""
+    w = document_words(spark, sf_dir).where("length(word) < 64")
+    return w.groupBy(F.coalesce(n.name_pattern(F.col("word")), F.lit("-")).alias("pattern")).agg(F.count("*").alias("words"), F.sum("count").alias("count"))
+
+
+@query("name_histogram", f"""WITH h AS (SELECT string_split({_HOST}, '.') AS l FROM pages)
+SELECT len(l)::INT AS labels, length(l[-1])::INT AS tld_length, count(*) AS count FROM h GROUP BY ALL
+""")
+def name_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("name")
+    return hosts(spark, sf_dir).groupBy(n.n_labels(c).alias("labels"), F.char_length(n.tld(c)).alias("tld_length")).agg(F.count("*").alias("count"))
+
+
+@query("tld_study", f"""WITH h AS (SELECT string_split({_HOST}, '.') AS l FROM pages) SELECT l[-1] AS tld, max(len(l))::INT AS most_labels, count(*) AS count, count(DISTINCT l[-2]) AS slds FROM h GROUP BY 1""")
+def tld_study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("name")
+    return hosts(spark, sf_dir).groupBy(n.tld(c).alias("tld")).agg(F.max(n.n_labels(c)).alias("most_labels"), F.count("*").alias("count"), F.countDistinct(n.sld(c)).alias("slds"))
+
+
+@query("safe_text", r"""SELECT doc_id, array_to_string(list_transform(string_split(left(text, 200), ''), lambda c, i: CASE
+  WHEN regexp_matches(c, '[^\x20-\x7E]|[",\\]') OR (i = 1 AND c = '=') OR (c = ' ' AND (i = 1 OR i = length(left(text, 200)) OR substr(text, (i - 1)::INT, 1) = ' '))
+  THEN array_to_string(list_transform(regexp_extract_all(hex(c), '..'), lambda b: '\' || lpad((('0x' || b)::INT)::VARCHAR, 3, '0')), '') ELSE c END), '') AS safe FROM documents WHERE text <> ''
+""")
+def safe_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports show the first 200 characters of a text."""
+    return read(spark, sf_dir, "documents").where("text <> ''").select("doc_id", n.safe_text(F.substring("text", 1, 200)).alias("safe"))
+
+
+@query("anonymize")
+def anonymize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts(spark, sf_dir).select("page_id", n.anonymize_name(F.col("name"), "key", 1).alias("name"))
+
+
+@query("hll_by_month")
+def hll_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketched and exact distinct customers per priority, merged from monthly sketches."""
+    o = read(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    monthly = sketches.registers(o, ["o_orderpriority", "month"], "o_custkey")
+    exact = o.groupBy("o_orderpriority").agg(F.countDistinct("o_custkey").alias("exact"))
+    return sketches.merge_registers(monthly, ["o_orderpriority"]).join(exact, "o_orderpriority").select("o_orderpriority", F.round(sketches.estimate(F.col("registers")), 6).alias("estimate"), "exact")

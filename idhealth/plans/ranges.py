@@ -1 +1,47 @@
+"""Range queries: ranges are made from part and customer keys, lookups are line items' parts."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from idhealth.operators import ranges as r
+
+from .catalog import query, read
+
+_BLOCKS = "b AS (SELECT DISTINCT (p_partkey // 100) * 100 AS lo, (p_partkey // 100) * 100 + 59 AS hi, (p_partkey // 100) % 7 + 1 AS asn FROM part)"
+
+
+@query("ip_to_asn", f"WITH {_BLOCKS} SELECT l_orderkey, l_linenumber, l_partkey, coalesce(asn, 0) AS asn FROM lineitem LEFT JOIN b ON l_partkey BETWEEN lo AND hi")
+def ip_to_asn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.expr("p_partkey DIV 100")
+    blocks = read(spark, sf_dir, "part").select((k * 100).alias("lo"), (k * 100 + 59).alias("hi"), (k % 7 + 1).alias("asn")).distinct()
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return r.interval_join(li, "l_partkey", blocks, "lo", "hi", "asn", 0, bits=8)
+
+
+_NETS = "n AS (SELECT (c_custkey * 37) % 20000 AS lo, (c_custkey * 37) % 20000 + (c_custkey * 13) % 200 AS hi, c_custkey % 5 AS value FROM customer WHERE c_custkey % 3 = 0)"
+
+
+def nets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("c_custkey")
+    lo = (c * 37) % 20000
+    return read(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(lo.alias("lo"), (lo + (c * 13) % 200).alias("hi"), (c % 5).alias("value"))
+
+
+@query("net_match", f"""WITH {_NETS}, k AS (SELECT DISTINCT l_partkey FROM lineitem)
+SELECT l_partkey, arg_min(value, (hi - lo, -lo, value)) AS value FROM k LEFT JOIN n ON l_partkey BETWEEN lo AND hi GROUP BY l_partkey
+""")
+def net_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = read(spark, sf_dir, "lineitem").select("l_partkey").distinct()
+    return r.most_specific(keys, "l_partkey", nets(spark, sf_dir), "lo", "hi", "value", bits=8)
+
+
+@query("flatten_ranges", f"""WITH {_NETS},
+p AS (SELECT lo AS x FROM n UNION SELECT hi + 1 FROM n), s AS (SELECT x, lead(x) OVER (ORDER BY x) - 1 AS y FROM p),
+c AS (SELECT x, y, arg_max(value, (lo, -hi, -value)) AS value FROM s JOIN n ON lo <= x AND y <= hi GROUP BY x, y),
+i AS (SELECT *, sum(new) OVER (ORDER BY x) AS island FROM (SELECT *, CASE WHEN lag(y) OVER (ORDER BY x) + 1 = x AND lag(value) OVER (ORDER BY x) = value THEN 0 ELSE 1 END AS new FROM c))
+SELECT min(x) AS lo, max(y) AS hi, any_value(value) AS value FROM i GROUP BY island
+""")
+def flatten_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return r.flatten_ranges(nets(spark, sf_dir), bits=10)
