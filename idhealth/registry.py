@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from idhealth.plans import names, populations, ranges, series, statistics, traffic
+from idhealth.plans import metrics, names, populations, ranges, series, statistics, traffic
 from idhealth.plans.catalog import QUERIES, SQL, Query
 
-MODULES = (traffic, populations, ranges, names, series, statistics)
+MODULES = (traffic, populations, ranges, names, series, statistics, metrics)
 
 
 def queries() -> dict[str, Query]:
