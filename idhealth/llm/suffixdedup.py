@@ -19,15 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textflat as tf
-from .base import read, text_of, written
+from .base import BROADCAST_IDS, read, small_side, text_of, written
 
 #: Bytes of a string that must repeat, and of the strings whose hashes choose the anchors.
-LENGTH, GRAM = 200, 80
+LENGTH, GRAM = 200, 48
 #: Bits for a place in the bytes worked on at once.
 PLACE_BITS = 27
 #: Rows that a bucket's sort holds at once; a group of one GRAM-byte string with more is sorted string by string instead.
 BUCKET_ROWS = 40_000
-ANCHORS = "doc long, h long, pos int, low int, high int"
+#: place: the anchor's byte, then how far before it its strings start at most and at least, 8 bits each.
+ANCHORS = "doc long, h long, place long"
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -68,11 +69,12 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = tf.flat(c.column("text"))
             row, place, low, high, h = anchors(data, offsets, LENGTH, GRAM)
             doc = c.column("doc").take(pa.array(row))
-            yield pa.record_batch([doc, pa.array(h.view(np.int64)), *[pa.array((x - offsets[row]).astype(np.int32)) for x in (place, low, high)]], ["doc", "h", "pos", "low", "high"])
+            packed = (place - offsets[row]) << 16 | (place - low) << 8 | (place - high)
+            yield pa.record_batch([doc, pa.array(h.view(np.int64)), pa.array(packed)], ["doc", "h", "place"])
 
 
 def suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For (doc, text, a: array of (pos, low, high, hot)): bytes low .. high + LENGTH of each anchor."""
+    """For (doc, text, a: array of (place, h, hot)): bytes low .. high + LENGTH of each anchor."""
     for batch in batches:
         for c in tf.chunks(batch, "text"):
             data, offsets = tf.flat(c.column("text"))
@@ -80,14 +82,17 @@ def suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = lists.offsets.to_numpy()
             row = np.repeat(np.arange(c.num_rows), np.diff(begin))
             flat = lists.flatten()
-            pos, low, high = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("pos", "low", "high"))
+            place = flat.field("place").to_numpy(zero_copy_only=False).astype(np.int64)
+            pos = place >> 16
+            low, high = pos - (place >> 8 & 255), pos - (place & 255)
             size = high - low + LENGTH
             where = np.repeat(offsets[row] + low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
             bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             body = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(bounds), pa.py_buffer(data[where])])
             lead_at = (offsets[row] + pos)[:, None] + np.arange(16)
             lead = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(np.ascontiguousarray(data[lead_at]))]).cast(pa.binary())
-            yield pa.record_batch([c.column("doc").take(pa.array(row)), flat.field("pos"), flat.field("low"), flat.field("high"), flat.field("h"), lead, body], ["doc", "pos", "low", "high", "h", "lead", "body"])
+            at = [pa.array(x.astype(np.int32)) for x in (pos, low, high)]
+            yield pa.record_batch([c.column("doc").take(pa.array(row)), *at, flat.field("h"), lead, body], ["doc", "pos", "low", "high", "h", "lead", "body"])
 
 
 def multikey_order(token: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -265,11 +270,12 @@ def spans(docs: DataFrame) -> DataFrame:
     copies = digests.groupBy("digest").agg(F.min("doc").alias("rep"), F.count("*").alias("n")).where("n > 1")
     copied = digests.join(copies, "digest").select("doc", (F.col("doc") != F.col("rep")).alias("again"))
     copied = written(copied, "suffix-copies")
-    found = written(docs.select("doc", "text").mapInArrow(anchor_rows, ANCHORS), "suffix-anchors")
-    found = found.join(copied.where("again").select("doc"), "doc", "left_anti")
+    again = small_side(copied.where("again").select("doc"))
+    docs = docs.select("doc", "text").join(again, "doc", "left_anti")
+    found = docs.mapInArrow(anchor_rows, ANCHORS)
     # rows of one document count too: a string may repeat within it
-    groups = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    open_ = found.join(groups, "h").select("doc", F.struct("pos", "low", "high", "h", (F.col("n") > BUCKET_ROWS).alias("hot")).alias("a"))
+    groups = small_side(written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-groups"))
+    open_ = found.join(groups, "h").select("doc", F.struct("place", "h", (F.col("n") > BUCKET_ROWS).alias("hot")).alias("a"))
     lists = open_.groupBy("doc").agg(F.collect_list("a").alias("a"))
     wanted = docs.select("doc", "text").join(lists, "doc")
     schema = "doc long, pos int, low int, high int, h long, lead binary, body binary"
@@ -284,9 +290,25 @@ def spans(docs: DataFrame) -> DataFrame:
     strings = written(strings, "suffix-strings")
     twice = strings.groupBy("f", "g").agg(F.count("*").alias("n")).where("n > 1")
     hot_spans = strings.join(twice, ["f", "g"]).groupBy("doc", "s").agg(F.lit(1)).select("doc", F.col("s").alias("b"), (F.col("s") + LENGTH).alias("e"))
-    all_spans = written(sorted_spans.unionByName(hot_spans), "suffix-spans")
-    lists = all_spans.groupBy("doc").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
-    return lists.join(copied.groupBy("doc").agg(F.lit(True).alias("whole")), "doc", "full_outer").select("doc", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
+    all_spans = sorted_spans.unionByName(hot_spans)
+    lists = all_spans.groupBy("doc").agg(F.collect_list(F.struct("b", "e")).alias("spans")).mapInArrow(merged_rows, "doc long, spans array<struct<b:int,e:int>>")
+    out = lists.join(copied.groupBy("doc").agg(F.lit(True).alias("whole")), "doc", "full_outer").select("doc", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
+    return written(out, "suffix-spans")
+
+
+def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, spans) with maximal runs."""
+    kind = pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())]))
+    for c in batches:
+        lists = c.column("spans")
+        begin, flat = lists.offsets.to_numpy(), lists.values
+        b, e = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("b", "e"))
+        runs = [[{"b": x, "e": y} for x, y in merge(b[i:j], e[i:j])] for i, j in zip(begin[:-1], begin[1:], strict=True)]
+        yield pa.record_batch([c.column("doc"), pa.array(runs, kind)], ["doc", "spans"])
+
+
+#: Spans that may be broadcast (8 bytes each).
+BROADCAST_SPANS = 2_000_000
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -302,6 +324,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # rows equal in id and text share `doc`: they are one row to the search, and copies of each other in the result
     single = own.select("doc", "text")
     table = spans(single)
+    size = table.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.greatest(F.size("spans"), F.lit(0))), F.lit(0)).alias("spans")).first()
+    if size["docs"] <= BROADCAST_IDS and size["spans"] <= BROADCAST_SPANS:
+        table = F.broadcast(table)
     joined = own.join(table, "doc", "left").withColumn("whole", F.coalesce("whole", F.lit(False)))
     if keep_text:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name not in ("text", "doc"))
