@@ -7,9 +7,11 @@ import ipaddress
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .names import OCTET
 
+RANGE = T.StructType().add("first", T.BinaryType()).add("last", T.BinaryType()).add("prefix", T.IntegerType()).add("v4", T.BooleanType())
 V4 = rf"\A({OCTET}\.){{3}}{OCTET}\z"
 
 
@@ -29,7 +31,7 @@ def v4_text(number: Column) -> Column:
     return F.concat_ws(".", part(24), part(16), part(8), part(0))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def ip_bin(text: pd.Series) -> pd.Series:
     """16 bytes of an address (IPv4 as ::ffff:a.b.c.d), null if it is none. Binary values compare as unsigned bytes."""
 
@@ -43,7 +45,7 @@ def ip_bin(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@F.pandas_udf("struct<first binary, last binary, prefix int, v4 boolean>")
+@F.pandas_udf(RANGE)
 def cidr_range(text: pd.Series) -> pd.DataFrame:
     """First and last address of a prefix as 16 bytes; nulls if it is none."""
     rows = []

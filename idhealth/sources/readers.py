@@ -98,7 +98,7 @@ def read_zone(spark: SparkSession, path: Paths) -> DataFrame:
 
 def read_m5(spark: SparkSession, path: Paths) -> DataFrame:
     """(key, value) of survey files: an array of objects with keys M5.x.y; nulls are skipped."""
-    text = spark.read.option("wholetext", "true").text(path if isinstance(path, str) else list(path))
+    text = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True)
     one = F.explode(F.from_json("value", "array<map<string,string>>"))
     return text.select(one.alias("m")).select(F.explode("m").alias("key", "v")).where("key LIKE 'M5.%'").select("key", F.col("v").try_cast("double").alias("value")).where("value IS NOT NULL")
 

@@ -21,7 +21,7 @@ def write_summary(df: DataFrame, path: str, version: int, label: str = "TOOLS_VE
         first = True
         for b in batches:
             if first and b.num_rows:
-                yield pa.record_batch([pa.array([head])], ["value"])
+                yield pa.record_batch([pa.array([head], b.schema.field(0).type)], schema=b.schema)
                 first = False
             yield b
 
