@@ -79,7 +79,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         found = found.select("doc_id", "tkey", F.struct(start.alias("s"), "n_w", "w", "items").alias("c")).distinct()
         hits = found.groupBy("doc_id", "tkey").agg(F.array_sort(F.collect_list("c")).alias("c"))
     # Rows equal in id and text meet the same candidates; each keeps its own row.
-    full = own.join(hits, own["doc_id"].eqNullSafe(hits["doc_id"]) & (own["tkey"] == hits["tkey"]), "left").select(own["doc_id"], own["tkey"], "text", "c")
+    hits = hits.select(F.col("doc_id").alias("hit_id"), F.col("tkey").alias("hit_key"), "c")
+    full = own.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tkey") == F.col("hit_key")), "left").select("doc_id", "tkey", "text", "c")
     exact = F.when(F.col("c").isNull(), F.size(coarse_words(F.col("text")))).otherwise(F.size("dw"))
     full = full.withColumn("dw", F.when(F.col("c").isNotNull(), words(F.col("text"))))
     full = full.select("doc_id", "tkey", exact.cast("long").alias("n_words"), F.coalesce(F.filter("c", lambda x: F.slice(F.col("dw"), x["s"] + 1, x["n_w"]) == x["w"]), F.array().cast("array<struct<s:int,n_w:int,w:array<string>,items:array<string>>>")).alias("c"))

@@ -15,7 +15,11 @@ from . import textflat as tf
 from .base import read
 
 #: Weights are hashed into 2**BITS buckets. FIT_ROWS bounds the labelled documents that the fit reads, in order of their id's hash.
-BITS, FIT_ROWS, EPOCHS, BATCH, RATE, DECAY = 19, 16_000, 10, 128, 0.3, 1e-6
+BITS, FIT_ROWS, EPOCHS, BATCH, RATE, DECAY = 19, 16_000, 10, 128, 0.3, 1.2
+#: Least minibatches of a fit: a small sample is gone through more often.
+MIN_STEPS = 1500
+#: Part of the sample that sets thresholds and scale, if it has so many rows at least.
+HELD, MIN_HELD = 0.2, 40
 #: Beginnings of words, in bytes, that are features besides the words; value of any such feature, and of a step of shape.
 PREFIXES, WORD_VALUE, SHAPE_VALUE = (4, 5), 0.3, 2.0
 #: Grades: 0 toxic, 1 poor, 2 good.
@@ -86,11 +90,22 @@ class OrdinalModel:
         return sum(self.tail(score, k) for k in range(1, len(self.thresholds) + 1))
 
 
+def likelihood(s: np.ndarray, y: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the mean negative log-likelihood by each score and by each threshold."""
+    cuts = np.concatenate([[-1e9], theta, [1e9]])
+    upper, lower = 1 / (1 + np.exp(np.clip(s - cuts[y + 1], -60, 60))), 1 / (1 + np.exp(np.clip(s - cuts[y], -60, 60)))
+    p = np.maximum(upper - lower, 1e-9)
+    by_theta = [-(upper * (1 - upper) / p)[y == k].sum() + (lower * (1 - lower) / p)[y == k + 1].sum() for k in range(len(theta))]
+    return (1 - upper - lower) / len(s), np.array(by_theta) / len(s)
+
+
 def fit_sample(texts: list[str], grades: np.ndarray) -> OrdinalModel:
-    """Fits by AdaGrad on minibatches in a fixed order, so that equal samples give equal models."""
+    """Fits the weights by AdaGrad on minibatches, in a fixed order so that equal samples give equal models.
+
+    A HELD part of the sample is left out of that, and then sets the thresholds and the scale of the scores.
+    """
     parts = []
-    column = pa.array(texts, pa.large_string())
-    batch = pa.record_batch([column], ["text"])
+    batch = pa.record_batch([pa.array(texts, pa.large_string())], ["text"])
     at = 0
     for c in tf.chunks(batch, "text"):
         r, b, v = features(c.column("text"))
@@ -103,23 +118,36 @@ def fit_sample(texts: list[str], grades: np.ndarray) -> OrdinalModel:
     w, square = np.zeros(1 << BITS), np.full(1 << BITS, 1e-4)
     theta, tsquare = np.linspace(-1.0, 1.0, GRADES - 1), np.full(GRADES - 1, 1e-2)
     rng = np.random.default_rng(7)
-    for _ in range(EPOCHS):
-        for ids in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // BATCH)):
-            lens = begin[ids + 1] - begin[ids]
-            where = np.repeat(begin[ids] - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
-            r, b, v = np.repeat(np.arange(len(ids)), lens), bucket[where], value[where]
-            s, y = np.bincount(r, w[b] * v, minlength=len(ids)), grades[ids]
-            cuts = np.concatenate([[-1e9], theta, [1e9]])
-            upper, lower = 1 / (1 + np.exp(np.clip(s - cuts[y + 1], -60, 60))), 1 / (1 + np.exp(np.clip(s - cuts[y], -60, 60)))
-            p = np.maximum(upper - lower, 1e-9)
-            ds = (1 - upper - lower) / len(ids)
+    shuffled = rng.permutation(len(texts))
+    n_held = int(len(texts) * HELD)
+    held, used = shuffled[:n_held], shuffled[n_held:]
+
+    def scores(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        lens = begin[ids + 1] - begin[ids]
+        where = np.repeat(begin[ids] - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
+        r, b, v = np.repeat(np.arange(len(ids)), lens), bucket[where], value[where]
+        return np.bincount(r, w[b] * v, minlength=len(ids)), r, b, v
+
+    for _ in range(max(EPOCHS, -(-MIN_STEPS * BATCH // max(BATCH, len(used))))):
+        for ids in np.array_split(rng.permutation(used), max(1, len(used) // BATCH)):
+            s, r, b, v = scores(ids)
+            ds, gt = likelihood(s, grades[ids], theta)
             touched, inverse = np.unique(b, return_inverse=True)
-            g = np.bincount(inverse, ds[r] * v) + DECAY * w[touched]
+            g = np.bincount(inverse, ds[r] * v) + DECAY / len(used) * w[touched]
             square[touched] += g * g
             w[touched] -= RATE * g / np.sqrt(square[touched])
-            gt = np.array([(-(upper * (1 - upper) / p)[y == k].sum() + (lower * (1 - lower) / p)[y == k + 1].sum()) / len(ids) for k in range(GRADES - 1)])
             tsquare += gt * gt
             theta = np.sort(theta - 0.1 * gt / np.sqrt(tsquare))
+    if n_held >= MIN_HELD:
+        s, y = scores(held)[0], grades[held]
+        scale, sums = 1.0, np.full(GRADES, 1e-4)
+        for _ in range(2000):
+            ds, gt = likelihood(scale * s, y, theta)
+            g = np.append(gt, (ds * s).sum())
+            sums += g * g
+            step = 0.2 * g / np.sqrt(sums)
+            theta, scale = np.sort(theta - step[:-1]), max(1e-3, scale - step[-1])
+        w *= scale
     return OrdinalModel(w.astype(np.float32), theta)
 
 

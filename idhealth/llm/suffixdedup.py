@@ -288,7 +288,7 @@ def spans(docs: DataFrame) -> DataFrame:
     sorted_spans = buckets.mapInArrow(bucket_rows, "doc long, b int, e int")
     strings = hot.mapInArrow(suffix_rows, schema).select("doc", "low", "body").mapInArrow(string_rows, "doc long, s int, f long, g long")
     strings = written(strings, "suffix-strings")
-    twice = strings.groupBy("f", "g").agg(F.count("*").alias("n")).where("n > 1")
+    twice = written(strings.groupBy("f", "g").agg(F.count("*").alias("n")).where("n > 1"), "suffix-twice")  # written: Spark can then split a hot string
     hot_spans = strings.join(twice, ["f", "g"]).groupBy("doc", "s").agg(F.lit(1)).select("doc", F.col("s").alias("b"), (F.col("s") + LENGTH).alias("e"))
     all_spans = sorted_spans.unionByName(hot_spans)
     lists = all_spans.groupBy("doc").agg(F.collect_list(F.struct("b", "e")).alias("spans")).mapInArrow(merged_rows, "doc long, spans array<struct<b:int,e:int>>")
