@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from idhealth.operators import rsvlog, statistics
-from idhealth.operators.populations import reduce_addresses  # noqa: F401
 
 from .catalog import query, read
 from .traffic import MESSAGES_SQL, messages

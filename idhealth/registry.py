@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from idhealth.plans import metrics, names, populations, ranges, series, statistics, streams, traffic
+from idhealth.plans import leaks, metrics, names, populations, ranges, series, statistics, streams, traffic
 from idhealth.plans.catalog import QUERIES, SQL, Query
 
-MODULES = (traffic, populations, ranges, names, series, statistics, metrics, streams)
+MODULES = (traffic, populations, ranges, names, series, statistics, metrics, leaks, streams)
 
 
 def queries() -> dict[str, Query]:

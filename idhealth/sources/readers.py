@@ -183,3 +183,31 @@ def upgrade_metric_rows(rows: DataFrame, date: str, version: str, column: str =
     g = lambda i: F.get(p, F.lit(i))
     n = F.size(p)
     return rows.select(g(0).alias("metric"), F.when(n >= 5, g(1)).otherwise(F.lit(date)).alias("date"), F.when(n >= 5, g(2)).otherwise(F.lit(version)).alias("version"), F.when(n >= 5, g(3)).when(n >= 3, g(1)).otherwise(F.lit("")).alias("key"), F.try_element_at(p, F.lit(-1)).try_cast("double").alias("value")).where("value IS NOT NULL")
+
+
+#: Vectors of a wide address record in file order, with their lengths; scalars have length 0.
+RECORD = (
+    ("ip", 0), ("queries", 0), ("hourly", 24), ("daily", 31), ("arpa", 0), ("no_such", 4), ("tlds", 8), ("n_tlds", 0), ("tld_registers", 16),
+    ("slds", 8), ("n_slds", 0), ("sld_registers", 16), ("name_parts", 8), ("rr_types", 8), ("locales", 8), ("users", 0), ("servers", 0),
+)
+
+
+def read_records(spark: SparkSession, path: Paths, merge: bool = True) -> DataFrame:
+    """Wide address records as arrays; users and servers are 0 where a file lacks them. With merge, rows of one address are added up (registers by maximum)."""
+    from idhealth.operators.ipstats import merge_vectors
+
+    n = sum(max(1, k) for _, k in RECORD)
+    c = cells(spark, path, n)
+    at, cols = 0, []
+    for name, k in RECORD:
+        value = lambda i: F.coalesce(F.regexp_replace(F.col(f"c{i}"), r"\.\d*$", "").try_cast("long"), F.lit(0))
+        cols.append((F.col(f"c{at}") if name == "ip" else F.array(*[value(at + j) for j in range(k)]) if k else value(at)).alias(name))
+        at += max(1, k)
+    own = c.select(*cols).where("ip IS NOT NULL")
+    if not merge:
+        return own
+    scalars = [name for name, k in RECORD if not k and name not in ("ip", "n_tlds", "n_slds")]
+    packed = own.withColumn("scalars_", F.array(*[F.col(s) for s in scalars]))
+    maxima = {"tld_registers": 16, "sld_registers": 16}
+    m = merge_vectors(packed, ["ip"], {name: k for name, k in RECORD if k and name not in maxima} | {"scalars_": len(scalars)}, maxima)
+    return m.select("ip", *[F.get("scalars_", F.lit(i)).alias(s) for i, s in enumerate(scalars)], *[name for name, k in RECORD if k])
