@@ -10,27 +10,43 @@ from pyspark.sql import functions as F
 from .counters import share
 
 
-def running(df: DataFrame, value: str, key: str, group: Sequence[str] = ()) -> DataFrame:
-    """Adds rank_ (value down, key up) and cum_, the running sum of value. Rows are one per entity, not per event."""
-    w = Window.partitionBy(*group).orderBy(F.col(value).desc(), F.col(key).asc())
-    return df.withColumns({"rank_": F.row_number().over(w), "cum_": F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+def runs(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
+    """(group…, value, n_, before_, ahead_): each distinct value with its entities, and the sum and number of entities with greater values.
+
+    Entities of one value are alike in any ranking, so the window runs over distinct values, not over entities: with a
+    total of T there are at most about sqrt(2 T) distinct whole values.
+    """
+    counted = df.groupBy(*group, value).agg(F.count("*").alias("n_"))
+    above = Window.partitionBy(*group).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    return counted.withColumns({"before_": F.coalesce(F.sum(F.col(value) * F.col("n_")).over(above), zero), "ahead_": F.coalesce(F.sum("n_").over(above), zero)})
 
 
 def concentration(df: DataFrame, group: Sequence[str], entity: str, value: str, parts: Sequence[float] = (0.5, 0.9)) -> DataFrame:
     """Per group: total, entities, and k50, k90 and so on: the fewest entities, greatest first, that hold each part of the total."""
     by = df.groupBy(*group, entity).agg(F.sum(value).alias(value))
-    cum = running(by, value, entity, group).withColumn("total_", F.sum(value).over(Window.partitionBy(*group)))
-    ks = [F.sum(((F.col("cum_") - F.col(value)) < p * F.col("total_")).cast("long")).alias(f"k{round(p * 100)}") for p in parts]
-    return cum.groupBy(*group).agg(F.sum(value).alias("total"), F.count("*").alias("entities"), *ks)
+    r = runs(by, value, group).withColumn("total_", F.sum(F.col(value) * F.col("n_")).over(Window.partitionBy(*group)))
+
+    def needed(p: float) -> Column:
+        left = F.lit(float(p)) * F.col("total_") - F.col("before_")  # what greater values leave open
+        return F.when((left > 0) & (F.col(value) > 0), F.least(F.col("n_"), F.ceil(left / F.col(value)))).when(left > 0, F.col("n_")).otherwise(0)
+
+    ks = [F.sum(needed(p)).cast("long").alias(f"k{round(p * 100)}") for p in parts]
+    return r.groupBy(*group).agg(F.sum(F.col(value) * F.col("n_")).alias("total"), F.sum("n_").alias("entities"), *ks)
 
 
-def load_curve(df: DataFrame, entity: str, value: str, step: float) -> DataFrame:
-    """The cumulative load curve: (n, load, cum, share) at the first entity past each `step` part of the total, and at the last one."""
+def load_curve(df: DataFrame, value: str, step: float) -> DataFrame:
+    """The cumulative load curve of entities (one row each), greatest first: (n, load, cum, share) at the first entity, at the first one past each `step` part of the total, and at the last one."""
     total = df.agg(F.sum(value).alias("total_"), F.count("*").alias("count_"))
-    cum = running(df, value, entity).crossJoin(F.broadcast(total))  # one row
-    mark = F.floor(F.col("cum_") / (F.col("total_") * step))
-    cum = cum.withColumn("mark_", mark).withColumn("new_", F.coalesce(F.lag("mark_").over(Window.orderBy("rank_")), F.lit(-1)) != F.col("mark_"))
-    return cum.where(F.col("new_") | (F.col("rank_") == F.col("count_"))).select(F.col("rank_").alias("n"), F.col(value).alias("load"), F.col("cum_").alias("cum"), share(F.col("cum_"), F.col("total_")).alias("share"))
+    r = runs(df, value).crossJoin(F.broadcast(total))  # one row
+    v, n, before, width = F.col(value), F.col("n_"), F.col("before_"), F.col("total_") * F.lit(float(step))
+    first, last = F.floor(before / width) + 1, F.floor((before + n * v) / width)
+    crossings = F.when((v > 0) & (last >= first), F.transform(F.sequence(first, F.greatest(first, last)), lambda m: F.greatest(F.lit(1), F.least(n, F.ceil((m * width - before) / v))).cast("long")))
+    ends = F.array_compact(F.array(F.when(F.col("ahead_") == 0, F.lit(1).cast("long")), F.when(F.col("ahead_") + n == F.col("count_"), n)))
+    places = F.explode(F.array_distinct(F.concat(F.coalesce(crossings, F.array().cast("array<long>")), ends))).alias("j_")
+    out = r.select(v.alias("load"), "before_", "ahead_", "total_", places)
+    cum = F.col("before_") + F.col("j_") * F.col("load")
+    return out.select((F.col("ahead_") + F.col("j_")).alias("n"), "load", cum.alias("cum"), share(cum, F.col("total_")).alias("share"))
 
 
 def overlap(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:

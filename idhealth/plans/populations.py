@@ -35,10 +35,10 @@ def concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
 r AS (SELECT *, row_number() OVER (ORDER BY cents DESC, custkey) AS n, sum(cents) OVER (ORDER BY cents DESC, custkey ROWS UNBOUNDED PRECEDING)::BIGINT AS cum, sum(cents) OVER ()::BIGINT AS total FROM c),
 m AS (SELECT *, floor(cum / (total * 0.05)) AS mark, count(*) OVER () AS k FROM r),
 l AS (SELECT *, coalesce(lag(mark) OVER (ORDER BY n), -1) AS last FROM m)
-SELECT n::INT AS n, cents AS load, cum, round(cum::DOUBLE / total, 9) AS share FROM l WHERE last <> mark OR n = k
+SELECT n, cents AS load, cum, round(cum::DOUBLE / total, 9) AS share FROM l WHERE last <> mark OR n = k
 """)
 def load_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p.load_curve(customers(spark, sf_dir), "custkey", "cents", 0.05).withColumn("share", F.round("share", 9))
+    return p.load_curve(customers(spark, sf_dir), "cents", 0.05).withColumn("share", F.round("share", 9))
 
 
 @query("overlap", "WITH " + CUSTOMERS_SQL + """,
