@@ -46,3 +46,28 @@ def count_above(cols: Sequence[str], part: float) -> Column:
     """How many of the columns exceed a part of their maximum."""
     values = F.array(*[F.col(c) for c in cols])
     return F.size(F.filter(values, lambda x: x > part * F.array_max(values)))
+
+
+def server_groups(records: DataFrame, network: Column, sums: Mapping[str, int], users: DataFrame | None = None) -> DataFrame:
+    """One row per network: its first address, its number of servers, and the added vectors; users (network, users) are joined if given, 0 without a row.
+
+    Addresses of one network are merged wherever they stand; no order of the input is needed.
+    """
+    own = records.withColumn("network", network)
+    first = own.groupBy("network").agg(F.min("ip").alias("ip"))
+    out = merge_vectors(own, ["network"], sums, rows="servers").join(first, "network")
+    return out.join(users, "network", "left").fillna({"users": 0}) if users is not None else out
+
+
+def merge_levels(records: DataFrame, levels: Sequence[Sequence[str]], sums: Mapping[str, int]) -> list[DataFrame]:
+    """Merged records at each level, finest first (for example slice, day, cluster, month, all), each made from the level before."""
+    out, at = [], records
+    for keys in levels:
+        at = merge_vectors(at, keys, sums)
+        out.append(at)
+    return out
+
+
+def presence_count(named: Column, estimate: Column, least: int = 0) -> Column:
+    """How many names an address asked for: the named ones it asked for and the sketched number of others, `least` at least."""
+    return F.greatest(F.lit(least), F.size(F.filter(named, lambda x: x > 0)) + estimate.cast("long"))

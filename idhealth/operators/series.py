@@ -127,3 +127,15 @@ def trace(df: DataFrame, entity: str, slice_: str, folder: str, folders: Sequenc
 
 def pivot_series(df: DataFrame, date: str, key: str, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(date).pivot(key, list(keys)).agg(F.sum(value)).fillna(0)
+
+
+def evaluation(df: DataFrame, stats: DataFrame, key: Sequence[str], slice_: str, value: str, floor: float = 100_000) -> DataFrame:
+    """(key…, slice, value, average in active slices, outlier limit), for a table with `active` (see active_mask)."""
+    limit = F.greatest(F.col("mean") + 3 * F.col("deviation"), F.lit(float(floor)), 2 * F.col("mean"))
+    joined = df.join(stats.select(*key, "mean", "deviation"), list(key), "left")
+    return joined.select(*key, slice_, value, F.when(F.col("active"), F.col("mean")).alias("average"), limit.alias("limit"))
+
+
+def outliers_by_key(found: DataFrame, key: Sequence[str], value: str) -> DataFrame:
+    """Per key its greatest outlier and how many there are."""
+    return found.groupBy(*key).agg(F.count("*").alias("outliers"), F.max_by("slice", F.struct(value, -F.col("slice"))).alias("slice"), F.max(value).alias(value))

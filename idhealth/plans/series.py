@@ -145,6 +145,31 @@ def outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("tld", "slice", "queries", F.round("ratio", 6).alias("ratio"), "dominant")
 
 
+@query("evaluation", HOURLY_SQL + _ACTIVE + _STATS + "SELECT x.tld, x.slice, x.queries, CASE WHEN x.active THEN round(st.mean, 6) END AS average, round(greatest(st.mean + 3 * st.deviation, 1.0, 2 * st.mean), 6) AS \"limit\" FROM x LEFT JOIN st ON x.tld = st.tld")
+def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = s.active_mask(hourly(spark, sf_dir), ["tld"], "slice", "queries", F.lit(6), 20, 24)
+    out = s.evaluation(d, daytime(spark, sf_dir)[1], ["tld"], "slice", "queries", 1)
+    return out.select("tld", "slice", "queries", F.round("average", 6).alias("average"), F.round("limit", 6).alias("limit"))
+
+
+@query("outliers_by_node", HOURLY_SQL + _ACTIVE + _STATS + "SELECT d.tld, count(*) AS outliers, arg_max(d.slice, (d.queries, -d.slice)) AS slice, max(d.queries) AS queries FROM d JOIN st ON d.tld = st.tld WHERE d.queries > greatest(mean + 3 * deviation, 1.0, 2 * mean) GROUP BY d.tld")
+def outliers_by_node(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, st = daytime(spark, sf_dir)
+    found = s.outliers(d.withColumn("good", F.col("queries") - F.col("nx")), st, ["tld"], "queries", ["good", "nx"], 1)
+    return s.outliers_by_key(found, ["tld"], "queries")
+
+
+@query("server_groups", MESSAGES_SQL + ", h AS (SELECT client // 8 AS network, hour(ts) AS i, count(*) AS n FROM dns GROUP BY ALL), c AS (SELECT client // 8 AS network, min(client) AS ip, count(DISTINCT client) AS servers FROM dns GROUP BY 1) SELECT network, ip, servers, CASE WHEN network % 2 = 0 THEN network * 10 ELSE 0 END AS users, (SELECT array_to_string(list(coalesce(n, 0) ORDER BY r.i), ',') FROM range(24) r(i) LEFT JOIN h ON h.i = r.i AND h.network = c.network) AS hourly FROM c")
+def server_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from idhealth.operators import ipstats
+
+    v = ipstats.vectors(messages(spark, sf_dir), ["client"], {"hourly": (F.hour("ts"), 24)}).withColumnRenamed("client", "ip")
+    network = F.expr("ip DIV 8")
+    users = v.select(network.alias("network")).distinct().where("network % 2 = 0").withColumn("users", F.col("network") * 10)
+    out = ipstats.server_groups(v, network, {"hourly": 24}, users)
+    return out.select("network", "ip", "servers", "users", F.array_join(F.transform("hourly", lambda x: x.cast("string")), ",").alias("hourly"))
+
+
 TYPES = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
 
 
