@@ -134,6 +134,14 @@ def test_passages_match_brute_force(docs, texts):
     assert chaining.repeated_passages(empty(docs)).count() == 0
 
 
+def test_passages_of_few_words_that_repeat(spark):
+    rng = random.Random(6)
+    junk = "Orre " * 90
+    df = spark.createDataFrame([(1, prose(rng, 40) + " " + junk), (2, junk + prose(rng, 30)), (3, prose(rng, 100)), (None, junk), (4, "Orre " * 20)], "doc_id long, text string")
+    got = chaining.repeated_passages(df).collect()
+    assert {(r.doc_id, r.partner_id) for r in got} == {(2, 1)} and all(85 <= r.n_equal <= 90 for r in got)
+
+
 # 2 -----------------------------------------------------------------------------------------------------------------
 def test_chat_round_trip(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "a\\b <|im_end|> \\<|x"), (1, 2, "assistant", "<\\|<|im_start|>user\n"), (2, 0, "user", None), (2, 1, None, "x"), (3, 1, "assistant", "z"), (3, 0, "user", "y"), (4, 0, "Odd\nRole", ""), (None, 0, "user", "n"), (5, None, "user", "t"), (5, None, "user", "t")]
@@ -161,6 +169,8 @@ def test_main_text(spark):
         (3, None, None, None), (4, "http://b.example", "", None), (5, "x", "no markup < at &lt;all", None), (6, "http://c.example", "<p>cut off <b>here", None),
         (6, "http://c.example", "<p>cut off <b>here", None), (7, "http://a.example/3", "<table><tr><td>" * 400 + "deep", None),
     ]
+    given += [(8, "http://d.example", "<body><div class='site-header'>Site</div><main><header>Top</header><article class='post'><div class='entry-header'><h1>T</h1></div><p>A<span> b</span></p><div class='comment-list'>c</div><ins class='adsbygoogle'>ad</ins></article><p>Else</p></main>", None)]
+    given += [(9, "http://d.example/2", "<body><div id='header'>Site</div><div role=main><h2>H</h2>x<br>y<div hidden>z</div></div><p>out</p>", None)]
     given += [(10 + i, f"http://w.example/{i}", f"<html><body><div><p>Always here</p><p>Only {i} here</p></div></body></html>", None) for i in range(4)]
     df = spark.createDataFrame([(*g[:3], "clash") for g in given], "page_id long, url string, html string, text string")
     got = defaultdict(list)
@@ -169,6 +179,7 @@ def test_main_text(spark):
         assert r.n_chars == len(r.text)
     assert got[1] == ["Head & more\nFirst text\nSecond."] and got[2] == ["B\nx\ni\nj"]
     assert got[3] == [""] and got[4] == [""] and got[5] == ["no markup < at <all"] and got[6] == ["cut off here"] * 2 and got[7] == ["deep"]
+    assert got[8] == ["T\nA b"] and got[9] == ["H\nx y"]
     assert [got[10 + i] for i in range(4)] == [[f"Only {i} here"] for i in range(4)]  # the constant slot is template
     assert wrapper.extract_text(df.where("page_id < 0")).count() == 0
 
