@@ -107,7 +107,15 @@ def safe_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").where("text <> ''").select("doc_id", n.safe_text(F.substring("text", 1, 200)).alias("safe"))
 
 
-@query("anonymize")
+@query("anonymize", f"""
+WITH h AS (SELECT page_id, string_split({_HOST}, '.') AS l FROM pages), u AS (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i FROM h),
+d AS (SELECT page_id, i, len(l) AS n, l[i] AS x, sha256('key' || lower(l[i]) || 'key') AS d FROM u),
+m AS (SELECT page_id, i, CASE WHEN i = n OR upper(x) IN ('ALT', 'EXAMPLE', 'INVALID', 'LOCAL', 'LOCALHOST', 'ONION', 'TEST') THEN x ELSE
+  array_to_string(list_transform(string_split(x, ''), lambda c, j: CASE
+    WHEN regexp_full_match(c, '[A-Za-z]') THEN chr((65 + (('0x' || substr(d, (2 * ((j - 1) % 32) + 1)::INT, 2))::INT * 256 + ('0x' || substr(d, (2 * ((j + 7) % 32) + 1)::INT, 2))::INT) % 26)::INT)
+    WHEN regexp_full_match(c, '[0-9]') THEN ((('0x' || substr(d, (2 * ((j - 1) % 32) + 1)::INT, 2))::INT * 256 + ('0x' || substr(d, (2 * ((j + 7) % 32) + 1)::INT, 2))::INT) % 10)::VARCHAR ELSE c END), '') END AS y FROM d)
+SELECT page_id, string_agg(y, '.' ORDER BY i) AS name FROM m GROUP BY page_id
+""")
 def anonymize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts(spark, sf_dir).select("page_id", n.anonymize_name(F.col("name"), "key", 1).alias("name"))
 
