@@ -168,6 +168,7 @@ def store(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "tex
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(text).alias("tkey"), text_of(text).alias("text"))
     refs = written(own.mapInArrow(pack_rows(folder), REFS), "media-refs")
     place = refs.groupBy("digest").agg(F.min(F.struct("pack", "at", "packed")).alias("place"))
+    place = written(place, "media-places")  # written before it is joined: Spark can then split the rows of a very common chunk
     joined = refs.drop("pack", "at", "packed").join(place, "digest")
     return written(joined.select("doc_id", "tkey", "n_bytes", "media_sha256", "ord", "digest", "size", "place.pack", "place.at", "place.packed"), "media-lists")
 
