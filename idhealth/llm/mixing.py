@@ -108,7 +108,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), source_key(F.col(source)).alias("source_key"), word_count(F.col(text)).alias("size"), doc_hash(F.col(doc_id)).alias("h"))
     rows = written(rows, "mix-sizes")
-    out = rows.join(mix_plan(rows, weights, max_repeats), "source_key")
+    out = rows.join(small_side(written(mix_plan(rows, weights, max_repeats), "mix-plan")), "source_key")
     return out.select("doc_id", "source", "size", "source_size", "target", taken().alias("taken"))
 
 
