@@ -11,7 +11,18 @@ from pyspark.sql import functions as F
 _own: dict[str, str] = {}
 
 
+#: Rows and bytes of an Arrow batch: texts may be long, and a task holds a batch in the JVM and in Python.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Makes the session hand texts to tasks in small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -33,6 +44,7 @@ def new_dir(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts lineage and survives the loss of executors."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = new_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -17,7 +17,7 @@ from .base import read
 #: Weights are hashed into 2**BITS buckets. FIT_ROWS bounds the labelled documents that the fit reads, in order of their id's hash.
 BITS, FIT_ROWS, EPOCHS, BATCH, RATE, DECAY = 19, 16_000, 10, 128, 0.3, 1.2
 #: Least minibatches of a fit: a small sample is gone through more often.
-MIN_STEPS = 1500
+MIN_STEPS = 1000
 #: Part of the sample that sets thresholds and scale, if it has so many rows at least.
 HELD, MIN_HELD = 0.2, 40
 #: Beginnings of words, in bytes, that are features besides the words; value of any such feature, and of a step of shape.
@@ -104,17 +104,16 @@ def fit_sample(texts: list[str], grades: np.ndarray) -> OrdinalModel:
 
     A HELD part of the sample is left out of that, and then sets the thresholds and the scale of the scores.
     """
-    parts = []
-    batch = pa.record_batch([pa.array(texts, pa.large_string())], ["text"])
-    at = 0
-    for c in tf.chunks(batch, "text"):
-        r, b, v = features(c.column("text"))
-        parts.append((r + at, b, v))
-        at += c.num_rows
-    row, bucket, value = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(row, kind="stable")
-    row, bucket, value = row[order], bucket[order], value[order]
-    begin = np.searchsorted(row, np.arange(len(texts) + 1))
+    buckets, values, lengths = [], [], []
+    for c in tf.chunks(pa.record_batch([pa.array(texts, pa.large_string())], ["text"]), "text"):
+        row, bucket, value = features(c.column("text"))
+        order = np.argsort(row, kind="stable")
+        buckets.append(bucket[order].astype(np.int32))
+        values.append(value[order].astype(np.float32))
+        lengths.append(np.bincount(row, minlength=c.num_rows))
+    bucket, value = np.concatenate(buckets), np.concatenate(values)
+    del buckets, values
+    begin = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
     w, square = np.zeros(1 << BITS), np.full(1 << BITS, 1e-4)
     theta, tsquare = np.linspace(-1.0, 1.0, GRADES - 1), np.full(GRADES - 1, 1e-2)
     rng = np.random.default_rng(7)
@@ -128,16 +127,22 @@ def fit_sample(texts: list[str], grades: np.ndarray) -> OrdinalModel:
         r, b, v = np.repeat(np.arange(len(ids)), lens), bucket[where], value[where]
         return np.bincount(r, w[b] * v, minlength=len(ids)), r, b, v
 
-    for _ in range(max(EPOCHS, -(-MIN_STEPS * BATCH // max(BATCH, len(used))))):
+    epochs, mean, n_mean = max(EPOCHS, -(-MIN_STEPS * BATCH // max(BATCH, len(used)))), np.zeros(1 << BITS), 0
+    for epoch in range(epochs):
         for ids in np.array_split(rng.permutation(used), max(1, len(used) // BATCH)):
             s, r, b, v = scores(ids)
             ds, gt = likelihood(s, grades[ids], theta)
-            touched, inverse = np.unique(b, return_inverse=True)
-            g = np.bincount(inverse, ds[r] * v) + DECAY / len(used) * w[touched]
+            g = np.bincount(b, ds[r] * v, minlength=1 << BITS)
+            touched = np.flatnonzero(g)
+            g = g[touched] + DECAY / len(used) * w[touched]
             square[touched] += g * g
             w[touched] -= RATE * g / np.sqrt(square[touched])
             tsquare += gt * gt
             theta = np.sort(theta - 0.1 * gt / np.sqrt(tsquare))
+            if 2 * epoch >= epochs:
+                mean += w
+                n_mean += 1
+    w = mean / max(1, n_mean)  # the mean of the second half's steps
     if n_held >= MIN_HELD:
         s, y = scores(held)[0], grades[held]
         scale, sums = 1.0, np.full(GRADES, 1e-4)

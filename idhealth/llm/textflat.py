@@ -16,7 +16,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that are worked on at once; a longer text makes a chunk of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -149,7 +149,7 @@ def minimizers(h: np.ndarray, row: np.ndarray, window: int) -> np.ndarray:
         if m > 0:
             same = row[:m] == row[step:]
             better = same & (low[step:] <= low[:m])
-            low[:m][better] = low[step:][better] if step == span else low[step:][better]
+            low[:m][better] = low[step:][better]
             at[:m][better] = at[step:][better]
         span += step
     count = np.bincount(row - row[0])
