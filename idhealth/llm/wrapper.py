@@ -1,9 +1,9 @@
 """Main text of pages by wrapper induction (operator 3).
 
 Each host has a wrapper: the DOM tree of one of its pages. Every page is aligned with its host's wrapper by simple tree
-matching, so that its nodes get the wrapper's slots. What stands in a slot is counted over all pages of the host: a slot
-with the same text on most pages is template, one that varies is content. The content slots, less those whose marks say
-menu, advert, form and the like, give the text.
+matching, so that its nodes get the wrapper's slots. What stands in a slot is counted over the host's distinct pages: a
+text that fills its slot on most of them is template. All other blocks, less those whose marks say menu, advert, form
+and the like, give the text.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from . import textflat as tf
 from .base import read, text_of, written
 
-#: Pages of a host from which slots are judged, and share of them that must have one text in a slot for it to be template.
+#: Distinct pages of a host that must have one text in a slot for it to be template, and their share of those with the slot.
 MIN_PAGES, TEMPLATE_SHARE = 3, 0.6
 #: The same inside an article or main element, where equal texts are rather copies of an article than template.
 ARTICLE_PAGES, ARTICLE_SHARE = 20, 0.9
@@ -287,24 +287,37 @@ class Wrappers:
         align(tree, page, memo)
 
 
+def main_blocks(found: list[tuple[int, int, str]]) -> tuple[int, list[tuple[int, int, str]]]:
+    """The level of a page's main part and the blocks in it: the page may say where its article is."""
+    most = max((level for _, level, _ in found), default=0)
+    return most, [x for x in found if x[1] == most]
+
+
 def slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, wrapper, html) to counts of (host, slot, text hash), summed up within a chunk."""
+    """(host, wrapper, html) to the digest of the page's main part, its slots and the hashes of what stands in them; pages without text give no row."""
     wrappers = Wrappers()
     for batch in batches:
         for c in tf.chunks(batch, "html"):
-            counts: dict[tuple[str, int, int], int] = {}
+            rows: dict[tuple[str, bytes], tuple[list[int], list[int]]] = {}
             for host, wrapper, source in zip(*(c.column(k).to_pylist() for k in ("host", "wrapper", "html")), strict=True):
                 page = parse(source)
                 wrappers.align(host, wrapper, page)
-                for slot, _, text in blocks(page):
-                    if slot >= 0:
-                        key = (host, slot, hash_text(text))
-                        counts[key] = counts.get(key, 0) + 1
-            yield pa.record_batch([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()), pa.array([k[2] for k in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], ["host", "slot", "text_hash", "n"])
+                found = blocks(page)
+                if found:
+                    key = (host, digest("\n".join(x[2] for x in main_blocks(found)[1]), 16))
+                    placed = sorted({x[0]: hash_text(x[0], x[2]) for x in reversed(found) if x[0] >= 0}.items())
+                    here = ([x[0] for x in placed], [x[1] for x in placed])
+                    rows[key] = min(rows.get(key, here), here)
+            yield pa.record_batch([pa.array([k[0] for k in rows], pa.string()), pa.array([k[1] for k in rows], pa.binary()), pa.array([r[0] for r in rows.values()], pa.list_(pa.int32())), pa.array([r[1] for r in rows.values()], pa.list_(pa.int64()))], ["host", "main", "slots", "hashes"])
 
 
-def hash_text(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def digest(text: str, size: int) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=size).digest()
+
+
+def hash_text(slot: int, text: str) -> int:
+    """Tells a text in a slot from other texts and slots."""
+    return int.from_bytes(digest(f"{slot} {text}", 8), "little", signed=True)
 
 
 def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,10 +330,9 @@ def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 page = parse(source)
                 wrappers.align(host, wrapper, page)
                 template, fixed = set(template or ()), set(fixed or ())
-                found = blocks(page)
-                most = max((level for _, level, _ in found), default=0)  # the page may say where its article is
-                found = [x for x in found if x[1] == most and x[0] not in (fixed if most else template)]
-                texts.append("\n".join(x[2] for x in found))
+                most, found = main_blocks(blocks(page))
+                gone = fixed if most else template
+                texts.append("\n".join(x[2] for x in found if not gone or x[0] < 0 or hash_text(x[0], x[2]) not in gone))
             yield pa.record_batch([c.column("page_id"), c.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
@@ -331,14 +343,15 @@ def host_of(url: Column) -> Column:
 def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per row of pages: page_id, url, text, n_chars (code points).
 
-    Pages with article elements give the blocks inside them, else those with a main element its blocks, others all; less those in slots that are
-    template on their host (see MIN_PAGES and ARTICLE_PAGES), and never those of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments. White
+    Pages with article elements give the blocks inside them, else those with a main element its blocks, others all; less those that stand in
+    the same slot with the same text as most of their host's pages (see MIN_PAGES and ARTICLE_PAGES), and never those of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments. White
     space in a block becomes one space; blocks are joined by a line feed. Null or empty html and pages without text give
     an empty text. A null url, or one without a host, belongs to the host "". Rows that repeat an id are pages of their
     own. Empty table: no rows. Columns besides these three are not read.
 
-    A host's wrapper is the page whose html hashes lowest; slots are counted over all its pages, summed up in the tasks
-    before the shuffle, so a host may hold any share of the pages.
+    A host's wrapper is the page whose html hashes lowest. Slots are counted over all its pages, those with one main part
+    as one page: copies of a page say nothing of its template. Pages go to the shuffle as hashes by host and main part, so
+    a host may hold any share of the pages.
     """
     own = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"), text_of(html).alias("html"))
     hosts = written(own.groupBy("host").agg(F.min_by("html", F.xxhash64("html")).alias("wrapper"), F.count("*").alias("pages")), "wrappers")
@@ -346,12 +359,15 @@ def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     small = size["n"] <= BROADCAST_HOSTS and size["b"] <= BROADCAST_BYTES
     side = (lambda df: F.broadcast(df)) if small else (lambda df: df)
     counts = own.select("host", "html").join(side(hosts.where(F.col("pages") >= MIN_PAGES).select("host", "wrapper")), "host")
-    counts = counts.select("host", "wrapper", "html").mapInArrow(slot_rows, "host string, slot int, text_hash long, n long")
-    by_text = counts.groupBy("host", "slot", "text_hash").agg(F.sum("n").alias("n"))
-    by_slot = by_text.groupBy("host", "slot").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-    fixed = by_slot.join(side(hosts.select("host", "pages")), "host").where((F.col("most") >= TEMPLATE_SHARE * F.col("all")) & (F.col("most") >= 2) & (F.col("all") * 2 >= F.col("pages")))
-    surely = (F.col("most") >= ARTICLE_PAGES) & (F.col("most") >= ARTICLE_SHARE * F.col("pages"))
-    template = fixed.groupBy("host").agg(F.collect_set("slot").alias("template"), F.collect_set(F.when(surely, F.col("slot"))).alias("fixed"))  # slots of one page at most
+    found = counts.select("host", "wrapper", "html").mapInArrow(slot_rows, "host string, main binary, slots array<int>, hashes array<long>")
+    distinct = written(found.groupBy("host", "main").agg(F.min(F.struct("slots", "hashes")).alias("p")), "distinct-pages")
+    pages_of = distinct.groupBy("host").agg(F.count("*").alias("pages"))
+    by_text = distinct.select("host", F.explode(F.arrays_zip("p.slots", "p.hashes")).alias("x")).groupBy("host", F.col("x.slots").alias("slot"), F.col("x.hashes").alias("text_hash")).agg(F.count("*").alias("n"))
+    by_slot = by_text.groupBy("host", "slot").agg(F.max(F.struct("n", "text_hash")).alias("most"), F.sum("n").alias("all"))
+    by_slot = by_slot.select("host", "most.n", "most.text_hash", "all")
+    fixed = by_slot.join(side(pages_of), "host").where((F.col("n") >= TEMPLATE_SHARE * F.col("all")) & (F.col("n") >= MIN_PAGES) & (F.col("all") * 2 >= F.col("pages")))
+    surely = (F.col("n") >= ARTICLE_PAGES) & (F.col("n") >= ARTICLE_SHARE * F.col("pages"))
+    template = fixed.groupBy("host").agg(F.collect_set("text_hash").alias("template"), F.collect_set(F.when(surely, F.col("text_hash"))).alias("fixed"))  # slots of one page at most
     wrappers = written(hosts.join(template, "host", "left").select("host", "wrapper", "template", "fixed"), "wrappers")
     full = own.join(side(wrappers), "host").select("page_id", "url", "host", "wrapper", "template", "fixed", "html")
     kind = pages.schema[page_id].dataType.simpleString()

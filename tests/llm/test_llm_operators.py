@@ -184,6 +184,20 @@ def test_main_text(spark):
     assert wrapper.extract_text(df.where("page_id < 0")).count() == 0
 
 
+def test_main_text_of_copied_pages(spark):
+    body = lambda *ps: "<html><body><div>" + "".join(f"<p>{p}</p>" for p in ps) + "</div></body></html>"
+    given = [(i, "http://copies.example/", body("One text", "on all pages")) for i in range(5)]
+    given += [(10 + i, f"http://some.example/{i}", body("Copied", "page") + f"<script>{i}</script>") for i in range(3)]
+    given += [(13 + i, f"http://some.example/{i + 3}", body(f"Own {i}", f"text {i}")) for i in range(2)]
+    given += [(20 + i, f"http://article.example/{i}", f"<body><nav>{i}</nav><article><p>Copied</p><p>article</p></article></body>") for i in range(25)]
+    given += [(50 + i, f"http://most.example/{i}", body("Template" if i else "Not this", f"Own {i}")) for i in range(6)]
+    got = {r.page_id: r.text for r in wrapper.extract_text(spark.createDataFrame(given, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "One text\non all pages" for i in range(5))
+    assert all(got[10 + i] == "Copied\npage" for i in range(3)) and all(got[13 + i] == f"Own {i}\ntext {i}" for i in range(2))
+    assert all(got[20 + i] == "Copied\narticle" for i in range(25))
+    assert all(got[50 + i] == f"Own {i}" for i in range(1, 6)) and got[50] == "Not this\nOwn 0"  # another text in a template slot stays
+
+
 def test_tree_matching_is_maximal():
     def slow(a, b):
         if a.tag != b.tag:
