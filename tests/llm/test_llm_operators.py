@@ -142,6 +142,39 @@ def test_passages_of_few_words_that_repeat(spark):
     assert {(r.doc_id, r.partner_id) for r in got} == {(2, 1)} and all(85 <= r.n_equal <= 90 for r in got)
 
 
+def test_pieces_are_all_maximal_passages():
+    rng = random.Random(8)
+    for _ in range(300):
+        runs, at = [], (0, 0)
+        for _ in range(rng.randint(1, 12)):
+            runs.append((*at, rng.choice([2, 9, 30, 60])))
+            at = tuple(x + runs[-1][2] + rng.choice([0, 1, 2, 8, 20, 45]) for x in at)
+        good = set()
+        for i, (a, b, _) in enumerate(runs):
+            for j in range(i, len(runs)):
+                end_a, end_b = runs[j][0] + runs[j][2], runs[j][1] + runs[j][2]
+                equal = sum(n for _, _, n in runs[i : j + 1])
+                if min(end_a - a, end_b - b) >= chaining.MIN_WORDS and equal >= chaining.IDENTITY * max(end_a - a, end_b - b):
+                    good.add((a, end_a, b, end_b, equal))
+        longest = {x for x in good if not any(y != x and y[0] <= x[0] and y[1] >= x[1] for y in good)}
+        got = chaining.pieces(runs)
+        assert set(got) <= longest and len(set(got)) == len(got)
+        words = lambda some: {w for x in some for w in range(x[0], x[1])}
+        assert words(got) == words(longest)
+
+
+def test_two_passages_of_one_pair(spark):
+    rng = random.Random(7)
+    rows, want = [], set()
+    for t, (one, gap, two) in enumerate([(60, 40, 60), (100, 60, 100), (200, 150, 200)] * 8):
+        x, y = prose(rng, one), prose(rng, two)
+        rows += [(2 * t + k, f"{x} {prose(rng, gap)} {y}") for k in range(2)]
+        want |= {(2 * t + 1, 2 * t, 0, one), (2 * t + 1, 2 * t, one + gap, one + gap + two)}
+    got = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    near = lambda x: [(r.doc_id, r.partner_id) == x[:2] and abs(r.doc_from - x[2]) < 12 and abs(r.doc_to - x[3]) < 12 for r in got]
+    assert all(sum(near(x)) == 1 for x in want) and len(got) == len(want)
+
+
 # 2 -----------------------------------------------------------------------------------------------------------------
 def test_chat_round_trip(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "a\\b <|im_end|> \\<|x"), (1, 2, "assistant", "<\\|<|im_start|>user\n"), (2, 0, "user", None), (2, 1, None, "x"), (3, 1, "assistant", "z"), (3, 0, "user", "y"), (4, 0, "Odd\nRole", ""), (None, 0, "user", "n"), (5, None, "user", "t"), (5, None, "user", "t")]
