@@ -175,6 +175,19 @@ def test_two_passages_of_one_pair(spark):
     assert all(sum(near(x)) == 1 for x in want) and len(got) == len(want)
 
 
+def test_passage_of_phrases_that_earlier_documents_have(spark):
+    rng = random.Random(9)
+    rows, want = [], set()
+    for t in range(8):
+        p = prose(rng, 56).split()
+        phrases = [" ".join(p[i : i + chaining.K]) for i in range(len(p) - chaining.K + 1)]
+        rows += [(1000 * t + i, f"{prose(rng, 12)} {x} {prose(rng, 12)}") for i, x in enumerate(phrases)]
+        rows += [(1000 * t + 900, f"{prose(rng, 30)} {' '.join(p)} {prose(rng, 30)}"), (1000 * t + 901, f"{rng.choice(phrases)} {prose(rng, 50)} {' '.join(p)}")]
+        want.add((1000 * t + 901, 1000 * t + 900))
+    got = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.partner_id) for r in got) == sorted(want) and all(r.n_equal >= 56 for r in got)
+
+
 # 2 -----------------------------------------------------------------------------------------------------------------
 def test_chat_round_trip(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "a\\b <|im_end|> \\<|x"), (1, 2, "assistant", "<\\|<|im_start|>user\n"), (2, 0, "user", None), (2, 1, None, "x"), (3, 1, "assistant", "z"), (3, 0, "user", "y"), (4, 0, "Odd\nRole", ""), (None, 0, "user", "n"), (5, None, "user", "t"), (5, None, "user", "t")]
