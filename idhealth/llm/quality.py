@@ -8,18 +8,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textflat as tf
-from .base import read
-
-#: Weights are hashed into 2**BITS buckets. FIT_ROWS bounds the labelled documents that the fit reads, in order of their id's hash.
-BITS, FIT_ROWS, EPOCHS, BATCH, RATE, DECAY = 19, 16_000, 10, 128, 0.3, 1.2
-#: Least minibatches of a fit: a small sample is gone through more often.
-MIN_STEPS = 1000
-#: Part of the sample that sets thresholds and scale, if it has so many rows at least.
-HELD, MIN_HELD = 0.2, 40
+from .base import read, text_key, text_of, written
+
+#: Weights are hashed into 2**BITS buckets. FIT_ROWS and FIT_BYTES bound the labelled documents that the fit reads, in order of their id's hash.
+BITS, FIT_ROWS, FIT_BYTES = 19, 16_000, 128 << 20
+#: Strength of the weights' quadratic penalty (for the whole sample), most steps of the fit, gradients it remembers.
+DECAY, STEPS, MEMORY = 0.1, 50, 8
 #: Beginnings of words, in bytes, that are features besides the words; value of any such feature, and of a step of shape.
 PREFIXES, WORD_VALUE, SHAPE_VALUE = (4, 5), 0.3, 2.0
 #: Grades: 0 toxic, 1 poor, 2 good.
@@ -90,84 +88,105 @@ class OrdinalModel:
         return sum(self.tail(score, k) for k in range(1, len(self.thresholds) + 1))
 
 
-def likelihood(s: np.ndarray, y: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients of the mean negative log-likelihood by each score and by each threshold."""
+def likelihood(s: np.ndarray, y: np.ndarray, theta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log-likelihood, and its gradients by each score and by each threshold."""
     cuts = np.concatenate([[-1e9], theta, [1e9]])
     upper, lower = 1 / (1 + np.exp(np.clip(s - cuts[y + 1], -60, 60))), 1 / (1 + np.exp(np.clip(s - cuts[y], -60, 60)))
-    p = np.maximum(upper - lower, 1e-9)
+    p = np.maximum(upper - lower, 1e-12)
     by_theta = [-(upper * (1 - upper) / p)[y == k].sum() + (lower * (1 - lower) / p)[y == k + 1].sum() for k in range(len(theta))]
-    return (1 - upper - lower) / len(s), np.array(by_theta) / len(s)
+    return -np.log(p).mean(), (1 - upper - lower) / len(s), np.array(by_theta) / len(s)
+
+
+def minimize(loss, x: np.ndarray) -> np.ndarray:
+    """L-BFGS with backtracking (Nocedal and Wright, "Numerical Optimization"); loss gives a value and its gradient."""
+    f, g = loss(x)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        d, parts = -g, []
+        for s, y in reversed(moves):
+            parts.append((s @ d) / (s @ y))
+            d = d - parts[-1] * y
+        if moves:
+            s, y = moves[-1]
+            d = d * ((s @ y) / (y @ y))
+        for (s, y), part in zip(moves, reversed(parts), strict=True):
+            d = d + s * (part - (y @ d) / (s @ y))
+        step, slope = 1.0 if moves else 1 / max(1e-9, np.abs(g).sum()), g @ d
+        while True:
+            nx = x + step * d
+            nf, ng = loss(nx)
+            if nf <= f + 1e-4 * step * slope or step < 1e-8:
+                break
+            step /= 2
+        if (nx - x) @ (ng - g) > 1e-12:
+            moves = [*moves, (nx - x, ng - g)][-MEMORY:]
+        done = f - nf < 1e-6 * max(1.0, abs(f))
+        x, f, g = nx, nf, ng
+        if done:
+            break
+    return x
 
 
 def fit_sample(texts: list[str], grades: np.ndarray) -> OrdinalModel:
-    """Fits the weights by AdaGrad on minibatches, in a fixed order so that equal samples give equal models.
+    """Fits weights and thresholds together on the whole sample, so that equal samples give equal models.
 
-    A HELD part of the sample is left out of that, and then sets the thresholds and the scale of the scores.
+    The penalty keeps words of few documents near 0. Grades that the sample lacks get a probability near 0.
     """
-    buckets, values, lengths = [], [], []
+    rows, buckets, values, at = [], [], [], 0
     for c in tf.chunks(pa.record_batch([pa.array(texts, pa.large_string())], ["text"]), "text"):
         row, bucket, value = features(c.column("text"))
-        order = np.argsort(row, kind="stable")
-        buckets.append(bucket[order].astype(np.int32))
-        values.append(value[order].astype(np.float32))
-        lengths.append(np.bincount(row, minlength=c.num_rows))
-    bucket, value = np.concatenate(buckets), np.concatenate(values)
-    del buckets, values
-    begin = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
-    w, square = np.zeros(1 << BITS), np.full(1 << BITS, 1e-4)
-    theta, tsquare = np.linspace(-1.0, 1.0, GRADES - 1), np.full(GRADES - 1, 1e-2)
-    rng = np.random.default_rng(7)
-    shuffled = rng.permutation(len(texts))
-    n_held = int(len(texts) * HELD)
-    held, used = shuffled[:n_held], shuffled[n_held:]
-
-    def scores(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        lens = begin[ids + 1] - begin[ids]
-        where = np.repeat(begin[ids] - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
-        r, b, v = np.repeat(np.arange(len(ids)), lens), bucket[where], value[where]
-        return np.bincount(r, w[b] * v, minlength=len(ids)), r, b, v
-
-    epochs, mean, n_mean = max(EPOCHS, -(-MIN_STEPS * BATCH // max(BATCH, len(used)))), np.zeros(1 << BITS), 0
-    for epoch in range(epochs):
-        for ids in np.array_split(rng.permutation(used), max(1, len(used) // BATCH)):
-            s, r, b, v = scores(ids)
-            ds, gt = likelihood(s, grades[ids], theta)
-            g = np.bincount(b, ds[r] * v, minlength=1 << BITS)
-            touched = np.flatnonzero(g)
-            g = g[touched] + DECAY / len(used) * w[touched]
-            square[touched] += g * g
-            w[touched] -= RATE * g / np.sqrt(square[touched])
-            tsquare += gt * gt
-            theta = np.sort(theta - 0.1 * gt / np.sqrt(tsquare))
-            if 2 * epoch >= epochs:
-                mean += w
-                n_mean += 1
-    w = mean / max(1, n_mean)  # the mean of the second half's steps
-    if n_held >= MIN_HELD:
-        s, y = scores(held)[0], grades[held]
-        scale, sums = 1.0, np.full(GRADES, 1e-4)
-        for _ in range(2000):
-            ds, gt = likelihood(scale * s, y, theta)
-            g = np.append(gt, (ds * s).sum())
-            sums += g * g
-            step = 0.2 * g / np.sqrt(sums)
-            theta, scale = np.sort(theta - step[:-1]), max(1e-3, scale - step[-1])
-        w *= scale
-    return OrdinalModel(w.astype(np.float32), theta)
-
-
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> OrdinalModel:
-    """Fits on the `rows` labelled documents whose ids hash lowest (all, if there are fewer), in one task of that bounded size.
-
-    A toxic document has grade 0 whatever its quality; repeated labels of a document count as their least grade, labels
-    that are null in quality (and not toxic) are left out, repeated documents count each. Without any labelled document
-    the model has no weights and calls everything good.
+        rows.append((row + at).astype(np.int32))
+        buckets.append(bucket.astype(np.int32))
+        values.append(value.astype(np.float32))
+        at += c.num_rows
+    row, bucket, value = np.concatenate(rows), np.concatenate(buckets), np.concatenate(values)
+    del rows, buckets, values
+    known, bucket = np.unique(bucket, return_inverse=True)
+    bucket = bucket.astype(np.int32)
+    n, decay = len(texts), DECAY / len(texts)
+
+    def cuts(x: np.ndarray) -> np.ndarray:
+        """Thresholds: the first, then steps that are above 0."""
+        return x[0] + np.concatenate([[0.0], np.cumsum(np.exp(x[1:]))])
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        w, t = x[: len(known)], x[len(known) :]
+        f, ds, gt = likelihood(np.bincount(row, w[bucket] * value, minlength=n), grades, cuts(t))
+        gw = np.bincount(bucket, ds[row] * value, minlength=len(known)) + decay * w
+        steps = np.cumsum(gt[::-1])[::-1]
+        steps[1:] = steps[1:] * np.exp(t[1:]) + 1e-3 * t[1:]
+        return f + decay / 2 * (w @ w) + 5e-4 * (t[1:] @ t[1:]), np.concatenate([gw, steps])
+
+    x = minimize(loss, np.concatenate([np.zeros(len(known)), [-1.0], np.zeros(GRADES - 2)]))
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[known] = x[: len(known)]
+    return OrdinalModel(weights, cuts(x[len(known) :]))
+
+
+def sample(docs: DataFrame, labels: DataFrame, rows: int, size: int) -> DataFrame:
+    """doc_id, grade, text of the labelled documents whose ids hash lowest: at most `rows`, with `size` bytes of text together.
+
+    Ids and lengths are chosen first, so that no task ever holds more texts than that.
     """
     grade = F.when(F.col("toxic") > 0, 0).when(F.col("quality") <= 0, 1).when(F.col("quality") > 0, 2)
     graded = labels.select("doc_id", grade.alias("grade")).where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    chosen = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most `rows` ids
-    own = own.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows)
+    low = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    own = docs.select("doc_id", text_key("text").alias("tkey"), text_of("text").alias("text"))
+    found = own.select("doc_id", "tkey", F.octet_length("text").alias("bytes")).join(F.broadcast(low), "doc_id").groupBy("doc_id", "tkey").agg(F.first("bytes").alias("bytes"), F.first("grade").alias("grade"))
+    found = found.orderBy(F.xxhash64("doc_id"), "doc_id", "tkey").limit(rows)
+    upto = F.sum("bytes").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "tkey").rowsBetween(Window.unboundedPreceding, 0))  # `rows` ids at most
+    chosen = written(found.withColumn("upto", upto).where(F.col("upto") <= size).select("doc_id", "tkey", "grade"), "fit-sample")
+    return own.join(F.broadcast(chosen), ["doc_id", "tkey"]).dropDuplicates(["doc_id", "tkey"]).select("doc_id", "grade", "text")  # at most `rows` ids
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, size: int = FIT_BYTES) -> OrdinalModel:
+    """Fits on the labelled documents of `sample`, in one task of that bounded size.
+
+    A toxic document has grade 0 whatever its quality; repeated labels of a document count as their least grade, labels
+    that are null in quality (and not toxic) are left out. Documents that share an id but not a text count each, rows
+    equal in both count once. Without any labelled document (an empty table too) the model has no weights and calls
+    everything good.
+    """
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"])
@@ -176,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> OrdinalMode
         cuts = pd.DataFrame({"k": -1 - np.arange(GRADES - 1), "v": m.thresholds})
         return pd.concat([pd.DataFrame({"k": used, "v": m.weights[used].astype(float)}), cuts])
 
-    model = own.groupBy(F.lit("all").alias("all")).applyInPandas(train, "k long, v double").toPandas()  # 2**BITS rows at most
+    model = sample(docs, labels, rows, size).groupBy(F.lit("all").alias("all")).applyInPandas(train, "k long, v double").toPandas()  # 2**BITS rows at most
     weights, cuts = np.zeros(1 << BITS, np.float32), np.full(GRADES - 1, -4.0)
     at = model["k"].to_numpy()
     weights[at[at >= 0]] = model["v"].to_numpy()[at >= 0]
@@ -187,7 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> OrdinalMode
 def classify(docs: DataFrame, model: OrdinalModel, min_tail: float = 0.7) -> DataFrame:
     """One row per row of docs: doc_id, score, expected_grade, p_good (probability of the best grade), keep (p_good >= min_tail).
 
-    A null text counts as empty; a null id stays null. Narrow: no shuffle. Columns besides doc_id and text are not read.
+    A null text counts as empty; a null id stays null; rows that repeat an id are judged each, equal texts alike. Empty
+    table: no rows. Narrow: no shuffle. Columns besides doc_id and text are not read.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +222,7 @@ def classify(docs: DataFrame, model: OrdinalModel, min_tail: float = 0.7) -> Dat
 
 
 def select_good(docs: DataFrame, model: OrdinalModel, min_tail: float = 0.7) -> DataFrame:
-    """The rows of docs that the model keeps, with all their columns."""
+    """The rows of docs that the model keeps, with all their columns, whatever their names; nulls, repeats and an empty table as in classify."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
