@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own: dict[str, str] = {}
-
-
 #: Rows and bytes of an Arrow batch: texts may be long, and a task holds a batch in the JVM and in Python.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
@@ -27,14 +25,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset (tests), an own one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a session in one process (tests) gets a folder of its own where it is unset."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-    return _own[app]
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return "file://" + _own_dir(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _own_dir(app: str) -> str:
+    return tempfile.mkdtemp(prefix="spark-shared-")
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
@@ -59,10 +61,34 @@ def text_key(column: str) -> Column:
     return F.xxhash64(text_of(column))
 
 
+#: Separators of words, and how A-Z are lower-cased; other letters keep their case.
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def split_words(text: Column, separators: str) -> Column:
+    """What stands between runs of separators, in order; splitting is far cheaper than extracting every match."""
+    return F.array_remove(F.split(text, separators), "")
+
+
+def packed(df: DataFrame, **keys: Column) -> DataFrame:
+    """Each row as one struct `row`, beside keys: whatever its columns are called, they don't clash with others."""
+    return df.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in keys.items()])
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
 #: Ids that may be broadcast (8 bytes each, about 100 MB as a hash relation at the most).
 BROADCAST_IDS = 1_000_000
 
 
-def small_side(ids: DataFrame) -> DataFrame:
-    """Marks a written id table for broadcast if its rows are counted to be few enough; otherwise the join shuffles."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def small_side(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """Marks a written table of short rows for broadcast if they are counted to be few enough; otherwise the join shuffles."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
+def few_bytes(table: DataFrame, size: Column, most: int = 64 << 20) -> DataFrame:
+    """Marks a written table for broadcast if the bytes of its rows are summed to be few enough."""
+    return F.broadcast(table) if (table.agg(F.sum(size + 32).alias("b")).first()["b"] or 0) <= most else table

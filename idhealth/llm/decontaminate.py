@@ -1,19 +1,19 @@
-r"""Benchmark decontamination by a prefix-filtered set join (operator 5). Native functions only.
+"""Benchmark decontamination by a prefix-filtered set join (operator 5). Native functions only.
 
 A window is a set of word shingles. Containment of a whole window needs all its shingles, so the prefix that must be
-joined is one shingle: the rarest in the corpus. Its offset in the window bounds where a document can hold the window.
-What is left is compared word by word.
+joined is one shingle: the rarest in the corpus, which a count of the benchmark's shingles tells first. Its offset in the
+window and the window's length bound where a document can hold the window. What is left is compared word by word.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import read, small_side, text_key, text_of, written
+from .base import LOWER, SEPARATORS, UPPER, few_bytes, packed, read, small_side, split_words, text_key, text_of, unpacked, written
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a shingle; shorter windows have one shingle of all their words.
 SHINGLE = 3
 #: Benchmark shingles that may be broadcast (about 16 bytes each); more go by a shuffle join.
@@ -22,18 +22,16 @@ BROADCAST_SHINGLES = 1_000_000
 
 def words(text: Column) -> Column:
     """Words after lower-casing A-Z only."""
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
-
-
-def coarse_words(text: Column) -> Column:
-    """As many words at the same places, in full lower case: equal wherever `words` are equal, and cheaper to make."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return split_words(F.translate(text, UPPER, LOWER), SEPARATORS)
 
 
-def shingle_hashes(w: Column, k: int) -> Column:
-    """One hash for each k consecutive words, by position; none if there are fewer."""
-    n = F.size(w) - k
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)]))).otherwise(F.array().cast("array<long>"))
+def shingles(own: DataFrame, keep: Iterable[str], sizes: Iterable[int]) -> DataFrame:
+    """keep, n (words of w), pos, k, g for each k consecutive words of w: array of words."""
+    at = own.select(*keep, F.size("w").alias("n"), "w", F.posexplode_outer("w").alias("pos", "first")).where("pos IS NOT NULL")
+    each = [F.when(F.col("pos") + k <= F.col("n"), F.struct(F.lit(k).alias("k"), F.xxhash64("first", *[F.get("w", F.col("pos") + j) for j in range(1, k)]).alias("g"))) for k in sizes]
+    if len(each) == 1:
+        return at.select(*keep, "n", "pos", each[0].alias("s")).where("s IS NOT NULL").select(*keep, "n", "pos", "s.k", "s.g")
+    return at.select(*keep, "n", "pos", F.explode(F.array(*each)).alias("s")).where("s IS NOT NULL").select(*keep, "n", "pos", "s.k", "s.g")
 
 
 def bench_windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
@@ -55,35 +53,27 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("tkey"), text_of(text).alias("text"))
     win = written(bench_windows(items, item_id, item_text, window).withColumn("k", F.least(F.lit(SHINGLE), F.col("n_w"))), "bench-windows")
-    grams = [win.where(F.col("k") == k).select("window_id", F.posexplode(shingle_hashes(F.transform("w", F.lower), k)).alias("j", "g")).withColumn("k", F.lit(k)) for k in range(1, SHINGLE + 1)]
-    wanted = grams[0].unionByName(grams[1]).unionByName(grams[2])
-    sizes = {r["k"]: r["n"] for r in wanted.groupBy("k").agg(F.countDistinct("g").alias("n")).collect()}  # SHINGLE rows at most
-    seen = None
-    for k, n in sizes.items():
-        keys = wanted.where(F.col("k") == k).select("g").distinct()
-        keys = F.broadcast(keys) if n <= BROADCAST_SHINGLES else keys
-        w = coarse_words(F.col("text"))
-        at = own.select("doc_id", "tkey", w.alias("w")).select("doc_id", "tkey", F.size("w").alias("n_words"), F.posexplode(shingle_hashes(F.col("w"), k)).alias("pos", "g"))
-        at = at.join(keys, "g").withColumn("k", F.lit(k))
-        seen = at if seen is None else seen.unionByName(at)
-    if seen is None:
-        hits = own.where(F.lit(False)).select("doc_id", "tkey", F.array().cast("array<struct<s:int,n_w:int,w:array<string>,items:array<string>>>").alias("c"))
-    else:
-        seen = written(seen, "bench-seen")
-        rarity = seen.groupBy("k", "g").agg(F.count("*").alias("df"))
-        ranked = wanted.join(rarity, ["k", "g"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
-        prefix = ranked.groupBy("window_id", "k").agg(F.min(F.struct("df", "g", "j")).alias("p"))
-        prefix = prefix.where(F.col("p.df") > 0).select("window_id", "k", F.col("p.g").alias("g"), F.col("p.j").alias("j")).join(win.select("window_id", "w", "n_w", "items"), "window_id")
-        start = F.col("pos") - F.col("j")
-        found = seen.join(prefix, ["k", "g"]).where((start >= 0) & (start + F.col("n_w") <= F.col("n_words")))
-        found = found.select("doc_id", "tkey", F.struct(start.alias("s"), "n_w", "w", "items").alias("c")).distinct()
-        hits = found.groupBy("doc_id", "tkey").agg(F.array_sort(F.collect_list("c")).alias("c"))
-    # Rows equal in id and text meet the same candidates; each keeps its own row.
-    hits = hits.select(F.col("doc_id").alias("hit_id"), F.col("tkey").alias("hit_key"), "c")
-    full = own.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tkey") == F.col("hit_key")), "left").select("doc_id", "tkey", "text", "c")
-    exact = F.when(F.col("c").isNull(), F.size(coarse_words(F.col("text")))).otherwise(F.size("dw"))
-    full = full.withColumn("dw", F.when(F.col("c").isNotNull(), words(F.col("text"))))
-    full = full.select("doc_id", "tkey", exact.cast("long").alias("n_words"), F.coalesce(F.filter("c", lambda x: F.slice(F.col("dw"), x["s"] + 1, x["n_w"]) == x["w"]), F.array().cast("array<struct<s:int,n_w:int,w:array<string>,items:array<string>>>")).alias("c"))
+    sizes = sorted(r["k"] for r in win.select("k").distinct().collect())  # SHINGLE rows at most
+    wanted = written(shingles(win.withColumnRenamed("k", "size"), ["window_id", "n_w", "size"], sizes or [SHINGLE]).where("k = size").select("window_id", "n_w", "k", "g", F.col("pos").alias("j")), "bench-shingles")
+    keys = written(wanted.select("k", "g").distinct(), "bench-keys")
+    split = own.select("doc_id", "tkey", words(F.col("text")).alias("w"))
+    seen = shingles(split, [], sizes or [SHINGLE]).select("k", "g").join(small_side(keys, BROADCAST_SHINGLES), ["k", "g"])
+    rarity = written(seen.groupBy("k", "g").agg(F.count("*").alias("df")), "bench-rarity")
+    # a window with a shingle that no document has occurs nowhere
+    ranked = wanted.join(rarity, ["k", "g"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    prefix = ranked.groupBy("window_id", "n_w", "k").agg(F.min(F.struct("df", "g", "j")).alias("p")).where("p.df > 0")
+    prefix = written(prefix.select("window_id", "n_w", "k", "p.g", "p.j"), "bench-prefixes")
+    start = F.col("pos") - F.col("j")
+    found = shingles(split, ["doc_id", "tkey"], sizes or [SHINGLE]).join(small_side(prefix, BROADCAST_SHINGLES), ["k", "g"])
+    found = found.where((start >= 0) & (start + F.col("n_w") <= F.col("n"))).select("doc_id", "tkey", start.alias("s"), "window_id")
+    found = written(found.distinct(), "bench-found")
+    # Rows equal in id and text meet the same candidates: one of them is compared.
+    asked = small_side(written(found.select(F.col("doc_id").alias("hit_id"), F.col("tkey").alias("hit_key")).distinct(), "bench-asked"))
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tkey") == F.col("hit_key"))
+    texts = own.join(asked, same, "left_semi").select("doc_id", "tkey", words(F.col("text")).alias("dw")).dropDuplicates(["doc_id", "tkey"])
+    each = found.join(few_bytes(win.select("window_id", "w", "n_w", "items"), F.lit(16) * (F.size("w") + F.size("items"))), "window_id")
+    each = each.groupBy(F.col("doc_id").alias("hit_id"), F.col("tkey").alias("hit_key")).agg(F.array_sort(F.collect_list(F.struct("s", "n_w", "w", "items"))).alias("c"))
+    sure = texts.join(each, same).select("hit_id", "hit_key", F.filter("c", lambda x: F.slice(F.col("dw"), x["s"] + 1, x["n_w"]) == x["w"]).alias("c")).where(F.size("c") > 0)
     covered = F.aggregate(
         "c",
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
@@ -91,15 +81,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         lambda a: a["n"],
     )
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform("c", lambda x: x["items"]))))
-    full = full.select("doc_id", "tkey", "n_words", covered.alias("n_hit"), ids.alias("ids"))
-    return full.select("doc_id", "tkey", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"), F.sha2(F.encode(F.array_join("ids", ","), "UTF-8"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    sure = written(sure.select("hit_id", "hit_key", covered.alias("n_hit"), ids.alias("ids")), "bench-hits")
+    sure = few_bytes(sure, F.lit(40) + F.lit(16) * F.size("ids"))
+    full = own.select("doc_id", "tkey", F.size(words(F.col("text"))).cast("long").alias("n_words")).join(sure, same, "left")
+    n_hit, ids = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("ids", F.array().cast("array<string>"))
+    return full.select("doc_id", "tkey", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.encode(F.array_join(ids, ","), "UTF-8"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs (doc_id, text and more) in which no window of an item occurs."""
+    """The rows of docs (doc_id, text and any other columns) in which no window of an item occurs; nulls, repeats and an empty table as in decontaminate."""
     hit = decontaminate(docs, items).where("contaminated").select(F.col("doc_id").alias("hit_id"), F.col("tkey").alias("hit_key")).distinct()
     hit = small_side(written(hit, "bench-hit"))
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (text_key("text") == F.col("hit_key")), "left_anti")
+    rows = packed(docs, doc_id=F.col("doc_id"), tkey=text_key("text"))
+    return unpacked(rows.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tkey") == F.col("hit_key")), "left_anti"))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

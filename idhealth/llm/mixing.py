@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .base import read, small_side, written
+from .base import packed, read, small_side, split_words, written
 
 #: Bits of a document's hash, and how many each histogram level resolves.
 HASH_BITS, LEVEL_BITS = 52, 13
@@ -75,7 +75,7 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
 
 def word_count(text: Column) -> Column:
     """Runs of other than white space; null has none."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    return F.size(split_words(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")).cast("long")
 
 
 def source_key(source: Column) -> Column:
@@ -113,12 +113,15 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
-    """The rows of docs (doc_id, text, source and more) that the mix takes, with mix_size and mix_taken (words, repeats counted)."""
+    """The rows of docs (doc_id, text, source and any other columns) that the mix takes, with mix_size and mix_taken (words, repeats counted).
+
+    Columns of docs with these two names are replaced; nulls, repeats and an empty table as in mix.
+    """
     cols = {"source_key": source_key(F.col("source")), "size": word_count(F.col("text")), "h": doc_hash(F.col("doc_id"))}
     rows = written(docs.select("source", *[c.alias(n) for n, c in cols.items()]), "mix-sizes")
     plan = small_side(written(mix_plan(rows, weights, max_repeats), "mix-plan"))
-    d = docs.select(F.struct(*docs.columns).alias("d"), *[c.alias(n) for n, c in cols.items()])
-    return d.join(plan, "source_key").where(taken() > 0).select("d.*", F.col("size").alias("mix_size"), taken().alias("mix_taken"))
+    d = packed(docs.drop("mix_size", "mix_taken"), **cols)
+    return d.join(plan, "source_key").where(taken() > 0).select("row.*", F.col("size").alias("mix_size"), taken().alias("mix_taken"))
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

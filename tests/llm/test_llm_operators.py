@@ -334,6 +334,26 @@ def test_decontaminate(spark, docs, texts):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == want[r.doc_id], r.doc_id
     assert decontaminate.decontaminate(docs, bench.where("item_id > 100")).where("contaminated").count() == 0
     assert decontaminate.decontaminate(empty(docs), bench).count() == 0
+    assert decontaminate.decontaminate(docs, bench.where("item_id > 100")).count() == len(texts) + 1
+
+
+def test_decontaminate_lowers_only_ascii(spark):
+    for between in ("'", ".", ":", " "):
+        x = f"ΟΔΟΣ{between}ΑΒ " * 12
+        d = spark.createDataFrame([(1, x), (2, x.lower()), (3, "Ab " + x)], "doc_id long, text string")
+        got = {r.doc_id: r for r in decontaminate.decontaminate(d, spark.createDataFrame([(1, x)], "item_id long, text string")).collect()}
+        assert got[1].n_hit == got[1].n_words == 24 and got[2].n_hit == 0 and got[3].n_hit == 24 and got[3].n_words == 25
+
+
+def test_clashing_columns(spark, docs):
+    names = "doc spans whole gone gone_id digest_ hit_id hit_key row rep n k g w tkey key d mix_size source_key size h threshold stays class_id".split()
+    wide = docs.drop("h", "bands").withColumns({n: F.lit(i) for i, n in enumerate(names)})
+    bench = spark.createDataFrame([(1, "one")], "item_id long, text string")
+    for out in (suffixdedup.remove_repeats(wide, keep_text=True).drop("n_removed"), neardup.without_near_duplicates(wide), decontaminate.without_benchmark(wide, bench)):
+        assert out.columns == wide.columns
+        assert all([r[n] for n in names] == list(range(len(names))) for r in out.collect())
+    left = mixing.mixed_documents(wide)
+    assert left.columns == [*wide.drop("mix_size").columns, "mix_size", "mix_taken"] and left.count() > 0
 
 
 # 6 -----------------------------------------------------------------------------------------------------------------
