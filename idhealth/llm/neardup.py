@@ -1,5 +1,8 @@
 """Near-duplicate classes by ProbMinHash signatures, banding and exact verification (operator 6).
 
+A band's bucket is compared with a leader; the few members unlike it with all others. Texts of buckets that hold many
+unlike ones meet by their rarest shingles instead (prefix filtering), which is exact, and common base text costs nothing.
+
 ProbMinHash (Ertl, "ProbMinHash - A Class of Locality-Sensitive Hash Algorithms for the (Probability) Jaccard
 Similarity"): each weighted shingle starts a Poisson process of its weight's rate; each arrival falls on a signature
 component; a component keeps its earliest arrival. A shingle stops as soon as its next arrival is later than all
@@ -12,17 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textflat as tf
-from .base import read, small_side, text_of, written
+from .base import packed, read, small_side, text_of, unpacked, written
 from .components import components
 
 #: Words of a shingle and least similarity; bands and signature components in each (at 0.8, all bands miss 2 in 100,000).
 SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 20, 4
-#: Randomly dealt members of a bucket that others meet besides the most frequent one, and classes of a bucket up to which all meet.
-LEADERS, SMALL = 3, 4
+#: Texts unlike the rest of a group up to which they meet all of it at once, and by how much that grows from round to round.
+LOOSE, GROWTH = 8, 8
 
 
 def weighted_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,10 +77,10 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = c.num_rows
             row, g, w = weighted_shingles(c.column("text"))
             keys = band_keys(prob_min_hash(row, g, w, n, BANDS * ROWS), BANDS, ROWS)
-            some = np.bincount(row, minlength=n) > 0
-            offsets = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)
-            values = keys[some].ravel().view(np.int64)
-            yield pa.record_batch([c.column("doc_id"), c.column("digest"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["doc_id", "digest", "bands"])
+            size = np.bincount(row, minlength=n)
+            offsets = np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))]).astype(np.int32)
+            values = keys[size > 0].ravel().view(np.int64)
+            yield pa.record_batch([c.column("doc_id"), c.column("digest"), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["doc_id", "digest", "n", "bands"])
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +88,7 @@ def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in tf.chunks(batch, "text"):
             row, g, _ = weighted_shingles(c.column("text"))
             offsets = np.searchsorted(row, np.arange(c.num_rows + 1)).astype(np.int32)
-            yield pa.record_batch([c.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array((g >> tf.U64(32)).astype(np.uint32).view(np.int32)))], ["doc_id", "g"])
+            yield pa.record_batch([c.column("tid"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(g.view(np.int64)))], ["tid", "g"])
 
 
 def similar(pairs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,88 +112,156 @@ def tf_offsets(column: pa.ListArray) -> np.ndarray:
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar. A much-used leader's rows are split by Spark's skew join."""
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("g").alias("ga")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("g").alias("gb")), "b")
+    both = pairs.join(sets.select(F.col("tid").alias("a"), F.col("g").alias("ga")), "a").join(sets.select(F.col("tid").alias("b"), F.col("g").alias("gb")), "b")
     return written(both.select("a", "b", "ga", "gb").mapInArrow(similar, "a long, b long"), "near-links")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, class_id (least doc_id of its class), n_links (verified links found at its text's representative), is_kept.
-
-    Two texts are linked if they are equal or their sets of five-word shingles have a Jaccard similarity of 0.8 or more;
-    a text of one to four words has one shingle, one without words equals only equal texts. Classes are the connected
-    components of the links. A null text is empty. Ids are integers; a null id makes a row of its own class (class_id
-    null, kept). Rows that repeat an id are one document: of its texts each is compared, one row of the class's least id
-    is kept (the one with the least text digest). Empty table: no rows. Columns besides id and text are not read.
-
-    Equal texts are reduced to one representative first. Members of a band's bucket are compared with the bucket's most
-    frequent member; where a bucket then holds more than one class, with LEADERS randomly dealt members of it too, other
-    ones in each band, and in buckets of at most SMALL classes with one member of each. So a bucket of n texts costs O(n)
-    comparisons. Two texts whose common part is their own stand alone in some bucket and meet there; two that share a
-    common original meet it as the most frequent member.
-    """
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text")).withColumn("digest", F.md5(F.encode("text", "UTF-8")))
-    sig = written(base.where("doc_id IS NOT NULL").select("doc_id", "digest", "text").mapInArrow(signatures, "doc_id long, digest string, bands array<long>"), "near-signatures")
+def alike_sizes(n: str, m: str) -> Column:
+    """Numbers of shingles that allow the similarity."""
+    return F.least(n, m) >= SIMILAR * F.greatest(n, m) - 1e-9
+
+
+def pair(x: str, y: str) -> list[Column]:
+    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+
+
+def distinct_texts(sig: DataFrame) -> DataFrame:
+    """Adds rep (least id that has the text) and tid, the text's own id: rep, or for a further text of one id a hash above all ids."""
     # written before it is joined: Spark can then split the rows of a text with very many copies
     reps = written(sig.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "near-copies")
-    known = sig.join(reps, "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    copies = known.select("doc_id", "digest", "rep")
-    cells = known.where("doc_id = rep").select("doc_id", F.explode(F.array_distinct("bands")).alias("cell")).distinct()
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    cells = written(cells.join(sizes, "cell"), "near-cells")
-    weight = written(cells.groupBy("doc_id").agg(F.sum("n").alias("pop")), "near-weights")
-    cells = cells.join(weight, "doc_id").select("cell", "doc_id", "pop")
-    keys = small_side(weight.select("doc_id"))
-    sets = base.select("doc_id", "text").join(keys, "doc_id", "left_semi").mapInArrow(shingle_sets, "doc_id long, g array<int>")
-    sets = written(sets.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("g"))).alias("g")), "near-sets")
-    # first the member that stands in most and largest buckets
-    lead = cells.groupBy("cell").agg(F.max(F.struct("pop", (-F.col("doc_id")).alias("b"))).alias("top"))
-    led = written(cells.join(lead, "cell").select("cell", "doc_id", (-F.col("top.b")).alias("b")), "near-led")
-    tried = led.where("doc_id <> b").select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
+    known = sig.join(small_side(reps), "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    several = known.groupBy("rep").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most").select("rep", "least")
+    known = known.join(small_side(written(several, "near-several")), "rep", "left")
+    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("digest"), 2)
+    return known.withColumn("tid", F.when(F.col("least").isNull() | (F.col("digest") == F.col("least")), F.col("rep")).otherwise(own)).drop("least")
+
+
+def leader_links(cells: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For cells (cell, tid, n, pop): links with the buckets' leaders, pairs tried, and led (cell, tid, n, b: leader, same: linked to it or it)."""
+    # the member that stands in most and largest buckets; of equal ones the least id
+    lead = cells.groupBy("cell").agg(F.max(F.struct("pop", (-F.col("tid")).alias("b"), "n")).alias("top"))
+    lead = written(lead.select("cell", (-F.col("top.b")).alias("b"), F.col("top.n").alias("bn")), "near-leaders")
+    led = written(cells.join(small_side(lead), "cell").select("cell", "tid", "n", "b", "bn"), "near-led")
+    tried = written(led.where((F.col("tid") != F.col("b")) & alike_sizes("n", "bn")).select(*pair("tid", "b")).distinct(), "near-tried")
     links = verified(tried, sets)
-    # then, where members of a bucket are not linked to its leader, others of it
-    linked = links.withColumn("same", F.lit(True))
-    pair = led.withColumn("a", F.greatest("doc_id", "b")).withColumn("low", F.least("doc_id", "b"))
-    now = pair.join(linked.withColumnRenamed("b", "low"), ["a", "low"], "left").select("cell", "doc_id", "b", F.when((F.col("doc_id") == F.col("b")) | F.col("same"), F.col("b")).otherwise(F.col("doc_id")).alias("root"))
-    now = written(now, "near-open")
-    split = now.groupBy("cell").agg(F.sum((F.col("root") != F.col("b")).cast("int")).alias("loose")).where("loose > 0")
-    dealt = now.groupBy("cell").agg(*[F.min(F.struct(F.xxhash64("cell", "doc_id", F.lit(k)), "doc_id", "root")).alias(f"l{k}") for k in range(LEADERS)])
-    dealt = written(dealt.join(split, "cell"), "near-dealt")
-    open_ = now.join(dealt, "cell")
-    new = open_.select("doc_id", "root", F.explode(F.array(*[F.struct(F.col(f"l{k}.doc_id").alias("b"), F.col(f"l{k}.root").alias("broot")) for k in range(LEADERS)])).alias("l")).where("root <> l.broot").select("doc_id", F.col("l.b").alias("b"))
-    few = open_.where(F.col("loose") <= SMALL - 1)
-    loose = few.where("root <> b").select("cell", F.col("doc_id").alias("other"))  # SMALL - 1 for a cell at most
-    new = new.union(few.select("cell", "doc_id").join(loose, "cell").where("doc_id <> other").select("doc_id", F.col("other").alias("b")))
-    new = new.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
-    links = links.union(verified(new.join(tried, ["a", "b"], "left_anti"), sets))
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    # texts of one id belong together: link the representatives of a repeated id's texts
-    same = copies.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
-    roots = components(links.union(same)).withColumnRenamed("id", "rep")
-    classes = written(roots.join(degree, "rep", "left").select("rep", "root", F.coalesce("n_links", F.lit(0)).alias("n_links")), "near-classes")
-    classes = copies.join(classes, "rep", "left").select("doc_id", "digest", F.coalesce("root", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    classes = classes.withColumn("row", F.row_number().over(repeats()))
-    # a class's id is its least document, which has the least representative as its text's first one
-    kept = (F.col("doc_id") == F.col("class_id")) & (F.col("row") == 1)
-    out = classes.select("doc_id", "class_id", "n_links", kept.alias("is_kept"), "digest")
-    none = base.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("is_kept"), "digest")
-    return out.unionByName(none)
+    linked = links.withColumn("linked", F.lit(True))
+    marked = led.select("cell", "tid", "n", "b", *pair("tid", "b")[:1], F.least("tid", "b").alias("low")).join(linked.withColumnRenamed("b", "low"), ["a", "low"], "left")
+    return links, tried, written(marked.select("cell", "tid", "n", "b", ((F.col("tid") == F.col("b")) | F.coalesce("linked", F.lit(False))).alias("same")), "near-marked")
+
 
+def loose_links(led: DataFrame, tried: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links of members unlike their leader with all others of their bucket, if they are few; the texts of the other buckets (tid)."""
+    split = written(led.where("NOT same").groupBy("cell").agg(F.count("*").alias("loose")), "near-split")
+    few, many = split.where(F.col("loose") <= LOOSE), split.where(F.col("loose") > LOOSE)
+    loose = written(led.where("NOT same").join(small_side(few), "cell").select("cell", F.col("tid").alias("other"), F.col("n").alias("m")), "near-loose")  # LOOSE for a cell at most
+    new = led.select("cell", "tid", "n").join(small_side(loose), "cell").where((F.col("tid") != F.col("other")) & alike_sizes("n", "m"))
+    new = new.select(*pair("tid", "other")).distinct().join(tried, ["a", "b"], "left_anti")
+    return verified(new, sets), written(led.join(small_side(many), "cell").select("tid").distinct(), "near-open")
 
-def repeats():
-    """Numbers the rows of one id."""
-    return Window.partitionBy("doc_id").orderBy("digest")
+
+def prefix_rows(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, tid, n, pos, short) for the rarest shingles of the texts (tid).
+
+    Shingles are ordered by how many of the texts have them. A text x and one y that isn't shorter, similar by t, share a
+    shingle among x's first |x| - ceil(2t / (1 + t) |x|) + 1 (short) and y's first |y| - ceil(t |y|) + 1 (Xiao et al.,
+    "Efficient Similarity Joins for Near Duplicate Detection"). Shingles of one text only have their places, but no rows.
+    """
+    own = sets.join(small_side(texts), "tid", "left_semi").select("tid", F.size("g").alias("n"), F.explode("g").alias("g"))
+    common = written(own.groupBy("g").agg(F.count("*").alias("df")).where("df > 1"), "near-common")
+    lists = own.join(small_side(common), "g").groupBy("tid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("g"))
+    long_, short = (F.col("n") - F.ceil(x * F.col("n") - 1e-9) + 1 for x in (SIMILAR, 2 * SIMILAR / (1 + SIMILAR)))
+    lists = lists.withColumn("rare", F.col("n") - F.size("g")).withColumn("most", long_ - F.col("rare")).where("most > 0")
+    rows = lists.select("tid", "n", "rare", short.alias("upto"), F.posexplode(F.slice("g", F.lit(1), F.col("most").cast("int"))).alias("i", "g"))
+    pos = F.col("rare") + F.col("i")
+    return written(rows.select(F.col("g.g").alias("key"), "tid", "n", pos.cast("int").alias("pos"), (pos < F.col("upto")).alias("short")), "near-prefixes")
+
+
+def prefix_links(texts: DataFrame, tried: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """All links between different classes of the texts, besides the known ones.
+
+    Texts that share a prefix shingle make a group. Where all of a group belongs to one class already, nothing is to be
+    done. Else the members outside its largest class meet all others whose sizes and places allow the similarity: LOOSE
+    of them at first; the links found merge classes, and what is then still apart goes on with GROWTH times as many,
+    until no group is left.
+    """
+    rows, limit = prefix_rows(texts, sets), LOOSE
+    while True:
+        roots = components(links).withColumnRenamed("id", "tid")
+        now = written(rows.join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid")), "near-rows")
+        mixed = now.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.min(F.when(F.col("short"), F.col("n"))).alias("least")).where("r <> s AND least IS NOT NULL")
+        mixed = written(mixed.select("key", "least"), "near-mixed")
+        # a text whose first common shingle stands so far behind is like shorter ones only
+        fits = F.col("short") | ((1 + 1 / SIMILAR) * (F.col("n") - F.col("pos")) - F.col("n") >= F.col("least") - 1e-6)
+        now = written(now.join(small_side(mixed), "key").where(fits).drop("least"), "near-rows")
+        by_class = now.groupBy("key", "root").agg(F.count("*").alias("c"))
+        groups = by_class.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("top"))
+        groups = written(groups.select("key", F.col("top.root").alias("main"), (F.col("all") - F.col("top.c")).alias("others")).where("others > 0"), "near-groups")
+        dealt = F.pmod(F.xxhash64("tid", F.lit(limit)), F.col("others")) < limit
+        chosen = now.join(small_side(groups), "key").where((F.col("root") != F.col("main")) & dealt)
+        chosen = written(chosen.select("key", *[F.col(c).alias(f"o_{c}") for c in ("tid", "n", "pos", "short", "root")]), "near-chosen")
+        first, second = F.col("n") <= F.col("o_n"), F.col("n") >= F.col("o_n")  # which of the two is the one that isn't longer
+        places = F.least(F.col("n") - F.col("pos"), F.col("o_n") - F.col("o_pos")) * (1 + SIMILAR) >= SIMILAR * (F.col("n") + F.col("o_n")) - 1e-6
+        meet = (F.col("root") != F.col("o_root")) & alike_sizes("n", "o_n") & places & (first & F.col("short") | second & F.col("o_short"))
+        new = now.join(small_side(chosen), "key").where(meet).select(*pair("tid", "o_tid")).distinct().join(tried, ["a", "b"], "left_anti")
+        new = written(new, "near-tried")
+        links, tried = links.union(verified(new, sets)), tried.union(new)
+        left = written(groups.where(F.col("others") > limit).select("key"), "near-left")
+        if not left.take(1):
+            return links
+        rows, limit = rows.join(small_side(left), "key", "left_semi"), limit * GROWTH
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, class_id (least doc_id of its class), is_kept, digest (MD5 of the text).
+
+    Two texts are linked if they are equal or their sets of five-word shingles have a Jaccard similarity of 0.8 or more
+    and a band of their signatures in common; a text of one to four words has one shingle, one without words equals only
+    equal texts. Classes are the connected components of the links. A null text is empty. Ids are integers below 2**62; a
+    null id makes a row of its own class (class_id null, kept). Rows that repeat an id are one document: of its texts each
+    is compared, one row of the class's least id is kept (of its texts the one with the least digest, of rows equal in
+    both any one). Empty table: no rows. Columns besides id and text are not read.
+
+    Equal texts are reduced to one representative first. A bucket's members are compared with the one that stands in most
+    and largest buckets (of equal ones the least id), and where up to LOOSE members are unlike it, these with all of them.
+    Texts of other buckets go through prefix_links, which finds all links between their classes.
+    """
+    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text")).withColumn("digest", F.md5(F.encode("text", "UTF-8")))
+    sig = written(base.where("doc_id IS NOT NULL").select("doc_id", "digest", "text").mapInArrow(signatures, "doc_id long, digest string, n int, bands array<long>"), "near-signatures")
+    known = written(distinct_texts(sig), "near-known")
+    cells = known.where("doc_id = rep").select("tid", "n", F.explode(F.array_distinct("bands")).alias("cell"))
+    sizes = written(cells.groupBy("cell").agg(F.count("*").alias("members")).where("members > 1"), "near-sizes")
+    cells = written(cells.join(small_side(sizes), "cell"), "near-cells")
+    weight = written(cells.groupBy("tid").agg(F.sum("members").alias("pop")), "near-weights")
+    cells = cells.select("cell", "tid", "n").join(small_side(weight), "tid")
+    asked = known.where("doc_id = rep").join(small_side(weight), "tid", "left_semi").select("tid", "doc_id", "digest").dropDuplicates(["tid"])
+    asked = small_side(written(asked, "near-asked"))
+    sets = base.join(asked, ["doc_id", "digest"]).select("tid", "text").mapInArrow(shingle_sets, "tid long, g array<long>")
+    sets = written(sets.dropDuplicates(["tid"]), "near-sets")
+    links, tried, led = leader_links(cells, sets)
+    more, open_ = loose_links(led, tried, sets)
+    links = links.union(more)
+    if open_.take(1):
+        links = prefix_links(open_, tried, links, sets)
+    # texts of one id belong together
+    same = known.groupBy("doc_id").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).where("a <> b").select("a", "b")
+    roots = written(components(links.union(same)).withColumnRenamed("id", "tid"), "near-classes")
+    out = known.select("doc_id", "digest", "tid").join(small_side(roots), "tid", "left").select("doc_id", F.coalesce("root", "tid").alias("class_id"), "digest")
+    # a class's least id has the least text id too; of its rows the first by digest is kept
+    first = Window.partitionBy("doc_id").orderBy("digest")
+    out = out.withColumn("is_kept", (F.row_number().over(first) == 1) & (F.col("doc_id") == F.col("class_id"))).select("doc_id", "class_id", "is_kept", "digest")
+    none = base.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("is_kept"), "digest")
+    return out.unionByName(none)
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs (doc_id, text and more) that near_duplicates keeps."""
-    key = F.md5(F.encode(text_of("text"), "UTF-8"))
-    judged = written(near_duplicates(docs).groupBy("doc_id", "digest").agg(F.max("is_kept").alias("stays"), F.count("*").alias("rows")), "near-judged")
-    gone = small_side(written(judged.where(~F.col("stays")).select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone")), "near-gone"))
-    left = docs.withColumn("digest_", key)
-    left = left.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("digest_") == F.col("gone")), "left_anti")
+    """The rows of docs (doc_id, text and any other columns) that near_duplicates keeps; nulls, repeats, ties and an empty table as there."""
+    judged = written(near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id", "digest").agg(F.max("is_kept").alias("stays"), F.count("*").alias("rows")), "near-judged")
+    gone = small_side(written(judged.where(~F.col("stays")).select("doc_id", "digest"), "near-gone"))
+    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), digest=F.md5(F.encode(text_of("text"), "UTF-8")))
+    left = rows.join(gone, ["doc_id", "digest"], "left_anti")
     if judged.where("rows > 1").take(1):
-        left = left.dropDuplicates(["doc_id", "digest_"])
-    return left.drop("digest_")
+        left = left.where("doc_id IS NULL").unionByName(left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "digest"]))
+    return unpacked(left)
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -390,6 +390,69 @@ def test_near_duplicates(docs, texts):
     assert neardup.near_duplicates(empty(docs)).count() == 0
 
 
+def mixed_boilerplate(rng, pairs):
+    """Texts of 12 of 20 common segments and 16 own words, in pairs with one word changed; their classes by brute force."""
+    segments = [prose(rng, 20) for _ in range(20)]
+    out = []
+    for i in range(pairs):
+        w = " ".join(rng.sample(segments, 12)) + " " + " ".join(f"own{i}x{k}" for k in range(16))
+        v = w.split()
+        for k in range(2):
+            v[rng.randrange(240)] = f"edit{i}x{k}"
+        out += [w, " ".join(v)]
+    return out
+
+
+def linked_by_counting(texts):
+    sets = []
+    for x in texts:
+        w = x.split()
+        sets.append({hash(tuple(w[i : i + 5])) for i in range(len(w) - 4)})
+    df = defaultdict(int)
+    for s in sets:
+        for g in s:
+            df[g] += 1
+    column = {g: i for i, g in enumerate(g for g, n in df.items() if n > 1)}
+    m = np.zeros((len(texts), len(column)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [column[g] for g in s if g in column]] = 1
+    size, links = np.array([len(s) for s in sets]), set()
+    for a in range(0, len(texts), 1000):
+        both = m[a : a + 1000] @ m.T
+        x, y = np.nonzero(both >= 0.8 * (size[a : a + 1000, None] + size[None] - both) - 1e-6)
+        links |= {(int(i) + a, int(j)) for i, j in zip(x, y) if i + a < j}
+    return links
+
+
+def test_links_of_mixed_boilerplate(spark):
+    texts = mixed_boilerplate(random.Random(3), 600)
+    want = linked_by_counting(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    class_of = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
+    lost = [x for x in want if class_of[x[0]] != class_of[x[1]]]
+    assert len(want) > 550 and not lost
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in want:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    assert [class_of[i] for i in range(len(texts))] == [find(i) for i in range(len(texts))]
+
+
+def test_chain_of_truncated_copies(spark):
+    """Each text is like its neighbours only; many share every band's bucket."""
+    rng = random.Random(4)
+    w = prose(rng, 400).split()
+    texts = [" ".join(w[:n]) for n in range(60, 401, 4)]
+    got = neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.class_id for r in got} == {0}
+
+
 def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "x y z u v w"), (2, "x y z u v w")], "doc_id long, text string")
     got = neardup.near_duplicates(df).collect()
