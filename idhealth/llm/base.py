@@ -92,3 +92,32 @@ def small_side(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
 def few_bytes(table: DataFrame, size: Column, most: int = 64 << 20) -> DataFrame:
     """Marks a written table for broadcast if the bytes of its rows are summed to be few enough."""
     return F.broadcast(table) if (table.agg(F.sum(size + 32).alias("b")).first()["b"] or 0) <= most else table
+
+
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """Adds rep (least id that has the text) and tid, the text's own id: rep, or for a further text of one id a hash above all ids (2**62).
+
+    rows: doc_id (long, not null), digest and more. Copies are counted and written before they are joined, so that Spark
+    can split the rows of a text with very many copies.
+    """
+    reps = written(rows.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "copies")
+    known = rows.join(small_side(reps), "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    several = known.groupBy("rep").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most").select("rep", "least")
+    known = known.join(small_side(written(several, "several")), "rep", "left")
+    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("digest"), 2)
+    return known.withColumn("tid", F.when(F.col("least").isNull() | (F.col("digest") == F.col("least")), F.col("rep")).otherwise(own)).drop("least")
+
+
+def collapsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For docs (doc_id long, not null; text): (tid, text) of each distinct text, and (doc_id, digest, rep, tid) of all rows.
+
+    The texts stay where they are: copies and texts of repeated ids are marked by a join with their keys.
+    """
+    base = docs.select("doc_id", F.md5(F.encode("text", "UTF-8")).alias("digest"), "text")
+    known = written(distinct_texts(base.select("doc_id", "digest")), "texts")
+    again = small_side(written(known.where("doc_id <> rep").select("doc_id", "digest").distinct(), "texts-again"))
+    odd = small_side(written(known.where("tid <> rep").select("doc_id", "digest", "tid").distinct(), "texts-odd"))
+    own = base.join(again, ["doc_id", "digest"], "left_anti").join(odd, ["doc_id", "digest"], "left").select(F.coalesce("tid", "doc_id").alias("tid"), "text")
+    if known.where("doc_id = rep").groupBy("doc_id", "digest").count().where("count > 1").take(1):
+        own = own.dropDuplicates(["tid"])
+    return own, known

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textflat as tf
-from .base import packed, read, small_side, text_of, unpacked, written
+from .base import distinct_texts, packed, read, small_side, text_of, unpacked, written
 from .components import components
 
 #: Words of a shingle and least similarity; bands and signature components in each (at 0.8, all bands miss 2 in 100,000).
@@ -125,17 +125,6 @@ def pair(x: str, y: str) -> list[Column]:
     return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
 
 
-def distinct_texts(sig: DataFrame) -> DataFrame:
-    """Adds rep (least id that has the text) and tid, the text's own id: rep, or for a further text of one id a hash above all ids."""
-    # written before it is joined: Spark can then split the rows of a text with very many copies
-    reps = written(sig.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "near-copies")
-    known = sig.join(small_side(reps), "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    several = known.groupBy("rep").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least <> most").select("rep", "least")
-    known = known.join(small_side(written(several, "near-several")), "rep", "left")
-    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("digest"), 2)
-    return known.withColumn("tid", F.when(F.col("least").isNull() | (F.col("digest") == F.col("least")), F.col("rep")).otherwise(own)).drop("least")
-
-
 def leader_links(cells: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For cells (cell, tid, n, pop): links with the buckets' leaders, pairs tried, and led (cell, tid, n, b: leader, same: linked to it or it)."""
     # the member that stands in most and largest buckets; of equal ones the least id

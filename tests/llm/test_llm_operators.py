@@ -188,6 +188,30 @@ def test_passage_of_phrases_that_earlier_documents_have(spark):
     assert sorted((r.doc_id, r.partner_id) for r in got) == sorted(want) and all(r.n_equal >= 56 for r in got)
 
 
+def test_recall_of_fuzzy_passages(spark):
+    """80-word passages with every 7th word replaced (identity 0.86), at a place of its own in each text."""
+    rng = random.Random(10)
+    rows = []
+    for t in range(300):
+        p = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        q = [f"x{t}y{i}" if i % 7 == 3 else w for i, w in enumerate(p)]
+        for k, x in enumerate((p, q)):
+            rows.append((2 * t + k, " ".join([f"a{rng.randrange(10**6)}" for _ in range(rng.randint(0, 60))] + x + [f"b{rng.randrange(10**6)}" for _ in range(rng.randint(0, 60))])))
+    got = {(r.doc_id, r.partner_id) for r in chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got <= {(2 * t + 1, 2 * t) for t in range(300)} and len(got) >= 0.95 * 300
+
+
+def test_exact_passages_whose_halves_stand_in_earlier_texts(spark):
+    rng = random.Random(11)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows = []
+    for t in range(100):
+        x, y = words(40), words(40)
+        rows += [(4 * t + k, z) for k, z in enumerate([f"{words(30)} {x} {words(9)}", f"{y} {words(30)}", f"{words(20)} {x} {y} {words(20)}", f"{words(5)} {x} {y}"])]
+    got = {(r.doc_id, r.partner_id) for r in chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(4 * t + 3, 4 * t + 2) for t in range(100)}
+
+
 # 2 -----------------------------------------------------------------------------------------------------------------
 def test_chat_round_trip(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "a\\b <|im_end|> \\<|x"), (1, 2, "assistant", "<\\|<|im_start|>user\n"), (2, 0, "user", None), (2, 1, None, "x"), (3, 1, "assistant", "z"), (3, 0, "user", "y"), (4, 0, "Odd\nRole", ""), (None, 0, "user", "n"), (5, None, "user", "t"), (5, None, "user", "t")]
