@@ -17,18 +17,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from . import textflat as tf
-from .base import BROADCAST_IDS, read, small_side, text_of, written
+from .base import few_bytes, read, small_side, text_of, written
 
 #: Bytes of a string that must repeat, and of the strings whose hashes choose the anchors.
 LENGTH, GRAM = 200, 48
 #: Bits for a place in the bytes worked on at once.
 PLACE_BITS = 27
-#: Rows that a bucket's sort holds at once; a group of one GRAM-byte string with more is sorted string by string instead.
+#: Rows that a bucket's sort holds at once. Equal leading tokens can't be split over buckets, so the strings of a group with more are counted one by one.
 BUCKET_ROWS = 40_000
 #: place: the anchor's byte, then how far before it its strings start at most and at least, 8 bits each.
-ANCHORS = "doc long, h long, place long"
+ANCHORS = "doc binary, h long, place long"
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -192,19 +193,18 @@ def bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For anchors of hot groups: a row for each of their strings, with two independent hashes of its bytes."""
+    """For anchors of hot groups: a row for each of their strings, with the 128-bit BLAKE2 digest of its bytes."""
     for batch in batches:
         for k in range(0, batch.num_rows, 2000):
             c = batch.slice(k, 2000)
             data, offsets = tf.flat(c.column("body"))
+            raw = data.tobytes()
             low = c.column("low").to_numpy().astype(np.int64)
             count = np.diff(offsets) - LENGTH + 1
             row = np.repeat(np.arange(c.num_rows), count)
             within = np.arange(count.sum()) - np.repeat(np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-            start = offsets[row] + within
-            one = tf.spans_hash(data, start, start + LENGTH)
-            two = tf.spans_hash(data ^ np.uint8(0x5A), start, start + LENGTH)
-            yield pa.record_batch([c.column("doc").take(pa.array(row)), pa.array((low[row] + within).astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], ["doc", "s", "f", "g"])
+            digests = [hashlib.blake2b(raw[i : i + LENGTH], digest_size=16).digest() for i in (offsets[row] + within).tolist()]
+            yield pa.record_batch([c.column("doc").take(pa.array(row)), pa.array((low[row] + within).astype(np.int32)), pa.array(digests, pa.binary())], ["doc", "s", "f"])
 
 
 def cut_rows(keep_text: bool):
@@ -238,7 +238,7 @@ def cut_rows(keep_text: bool):
                     digest.append(hashlib.sha256(kept).hexdigest())
                     left.append(kept)
                 if keep_text:
-                    rest = {f: c.column(f) for f in c.schema.names if f not in ("text", "spans", "whole", "doc")}
+                    rest = {"row": c.column("row")}
                     # a character may lose some of its bytes: what is left of it goes as well
                     rest["text"] = pa.array([x.decode("utf-8", "ignore") if r else x.decode("utf-8") for x, r in zip(left, removed, strict=True)])
                     rest["n_removed"] = pa.array(removed, pa.int64())
@@ -261,39 +261,39 @@ def merge(b: np.ndarray, e: np.ndarray) -> list[tuple[int, int]]:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc, spans array<struct<b,e>>, whole) for docs (doc: distinct id of a row, text).
+    """(doc, spans array<struct<b,e>>, whole) for docs (doc: digest of the text, id: tells copies apart, text).
 
-    Equal texts are compared once: `whole` marks those that have a copy, and only one of them gives suffixes.
+    Equal texts are compared once: `whole` marks those that have a copy, and only the one of the least id gives suffixes.
+    Rows equal in id and text, which give them each, only repeat what is repeated anyway; so do copies without any id.
     """
     spark = docs.sparkSession
-    digests = written(docs.select("doc", F.md5(F.encode("text", "UTF-8")).alias("digest")).where("digest IS NOT NULL"), "suffix-digests")
-    copies = digests.groupBy("digest").agg(F.min("doc").alias("rep"), F.count("*").alias("n")).where("n > 1")
-    copied = digests.join(copies, "digest").select("doc", (F.col("doc") != F.col("rep")).alias("again"))
-    copied = written(copied, "suffix-copies")
-    again = small_side(copied.where("again").select("doc"))
-    docs = docs.select("doc", "text").join(again, "doc", "left_anti")
+    # counted and written before it is joined: Spark can then split the rows of a text with very many copies
+    copies = docs.select("doc", "id").groupBy("doc").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("doc", "rep")
+    copies = written(copies, "suffix-copies")
+    docs = docs.join(small_side(copies), "doc", "left").where("rep IS NULL OR id = rep").select("doc", "text")
     found = docs.mapInArrow(anchor_rows, ANCHORS)
     # rows of one document count too: a string may repeat within it
     groups = small_side(written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-groups"))
     open_ = found.join(groups, "h").select("doc", F.struct("place", "h", (F.col("n") > BUCKET_ROWS).alias("hot")).alias("a"))
     lists = open_.groupBy("doc").agg(F.collect_list("a").alias("a"))
     wanted = docs.select("doc", "text").join(lists, "doc")
-    schema = "doc long, pos int, low int, high int, h long, lead binary, body binary"
+    schema = "doc binary, pos int, low int, high int, h long, lead binary, body binary"
     normal = wanted.select("doc", "text", F.filter("a", lambda x: ~x["hot"]).alias("a")).where(F.size("a") > 0)
     hot = wanted.select("doc", "text", F.filter("a", lambda x: x["hot"]).alias("a")).where(F.size("a") > 0)
     suffixes = normal.mapInArrow(suffix_rows, schema)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # Spark samples the splitters; equal leading tokens and hashes meet in one bucket, so no match crosses a boundary
     buckets = suffixes.repartitionByRange(parts, "lead", "h").sortWithinPartitions("lead", "h")
-    sorted_spans = buckets.mapInArrow(bucket_rows, "doc long, b int, e int")
-    strings = hot.mapInArrow(suffix_rows, schema).select("doc", "low", "body").mapInArrow(string_rows, "doc long, s int, f long, g long")
-    strings = written(strings, "suffix-strings")
-    twice = written(strings.groupBy("f", "g").agg(F.count("*").alias("n")).where("n > 1"), "suffix-twice")  # written: Spark can then split a hot string
-    hot_spans = strings.join(twice, ["f", "g"]).groupBy("doc", "s").agg(F.lit(1)).select("doc", F.col("s").alias("b"), (F.col("s") + LENGTH).alias("e"))
+    sorted_spans = buckets.mapInArrow(bucket_rows, "doc binary, b int, e int")
+    strings = written(hot.mapInArrow(suffix_rows, schema).select("doc", "low", "body").mapInArrow(string_rows, "doc binary, s int, f binary"), "suffix-strings")
+    twice = small_side(written(strings.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "suffix-twice"))  # written: Spark can then split a hot string
+    hot_spans = strings.join(twice, "f").select("doc", F.col("s").alias("b"), (F.col("s") + LENGTH).alias("e")).distinct()
     all_spans = sorted_spans.unionByName(hot_spans)
-    lists = all_spans.groupBy("doc").agg(F.collect_list(F.struct("b", "e")).alias("spans")).mapInArrow(merged_rows, "doc long, spans array<struct<b:int,e:int>>")
-    out = lists.join(copied.groupBy("doc").agg(F.lit(True).alias("whole")), "doc", "full_outer").select("doc", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
-    return written(out, "suffix-spans")
+    lists = all_spans.groupBy("doc").agg(F.collect_list(F.struct("b", "e")).alias("spans")).mapInArrow(merged_rows, "doc binary, spans array<struct<b:int,e:int>>")
+    out = lists.join(copies.select("doc", F.lit(True).alias("whole")), "doc", "full_outer")
+    # a text with copies goes as a whole: its spans need not be kept
+    whole = F.coalesce("whole", F.lit(False))
+    return written(out.select("doc", F.when(~whole, F.col("spans")).alias("spans"), whole.alias("whole")), "suffix-spans")
 
 
 def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,33 +307,29 @@ def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([c.column("doc"), pa.array(runs, kind)], ["doc", "spans"])
 
 
-#: Spans that may be broadcast (8 bytes each).
-BROADCAST_SPANS = 2_000_000
-
-
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
     """Removes every byte covered by a LENGTH-byte string that also starts anywhere else, in any document or the same one.
 
     Returns one row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep_text the columns of
-    docs, text cut (bytes of a character that was cut in part go too), and n_removed. Texts are UTF-8 bytes; null is
-    empty. Texts shorter than LENGTH lose nothing. Overlapping repeats count; strings are judged on the input. Rows
-    that are equal in id and text are copies of each other. Empty table: no rows. A document's spans are one row.
+    docs, text cut (bytes of a character that was cut in part go too), and n_removed, which replaces a column of that
+    name. Texts are UTF-8 bytes, whole ones of any length; null is empty. Texts shorter than LENGTH lose nothing.
+    Overlapping repeats count; strings are judged on the input. Rows that repeat an id, or are equal in all, are documents
+    of their own: equal texts are copies of each other, and no copy is preferred. Empty table: no rows. A document's spans
+    are one row.
     """
-    own = docs.withColumns({text: text_of(text)})
-    own = own.withColumn("doc", F.xxhash64(F.col(doc_id), F.col(text))).withColumnRenamed(text, "text")
-    # rows equal in id and text share `doc`: they are one row to the search, and copies of each other in the result
-    single = own.select("doc", "text")
-    table = spans(single)
-    size = table.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.greatest(F.size("spans"), F.lit(0))), F.lit(0)).alias("spans")).first()
-    if size["docs"] <= BROADCAST_IDS and size["spans"] <= BROADCAST_SPANS:
-        table = F.broadcast(table)
-    joined = own.join(table, "doc", "left").withColumn("whole", F.coalesce("whole", F.lit(False)))
+    docs = docs.drop("n_removed") if keep_text else docs
+    digest = F.unhex(F.md5(F.encode(text_of(text), "UTF-8")))
+    table = few_bytes(spans(docs.select(digest.alias("doc"), F.col(doc_id).alias("id"), text_of(text).alias("text"))), F.lit(40) + F.lit(8) * F.greatest(F.size("spans"), F.lit(0)))
     if keep_text:
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name not in ("text", "doc"))
-        out = joined.mapInArrow(cut_rows(True), f"{fields}{', ' * bool(fields)}text string, n_removed long")
-        return out.withColumnRenamed("text", text).select(*docs.columns, "n_removed")
+        rest = [c for c in docs.columns if c != text]
+        own = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), text_of(text).alias("text"), digest.alias("doc"))
+        joined = own.join(table, "doc", "left").select("row", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
+        out = joined.mapInArrow(cut_rows(True), StructType([own.schema["row"], StructField("text", StringType()), StructField("n_removed", LongType())]))
+        return out.select(*[F.col("text").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns], "n_removed")
+    own = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"), digest.alias("doc"))
+    joined = own.join(table, "doc", "left").select("doc_id", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    return joined.select(F.col(doc_id).alias("doc_id"), "text", "spans", "whole").mapInArrow(cut_rows(False), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(cut_rows(False), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

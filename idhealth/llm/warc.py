@@ -22,7 +22,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import new_dir, read, text_of, written
+from .base import few_bytes, new_dir, read, text_of, written
 
 #: Lines of an index block, and bytes after which a task starts another archive.
 BLOCK, ROLL = 1000, 1 << 28
@@ -232,11 +232,14 @@ def lookup_rows(archive: str, index: str):
 def write_archives(pages: DataFrame, archive: str, min_bytes: int = 0) -> DataFrame:
     """A record per row of pages (page_id, url, html); the written captures. Of equal payloads of min_bytes or more the greatest (page_id, url) is the response."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", text_of("html").alias("html")).withColumn("key", url_key(F.col("url")))
-    own = own.withColumn("sha", F.sha2(F.encode("html", "UTF-8"), 256))
-    heads = own.select("sha", F.struct("page_id", "url").alias("id"), F.col("key")).groupBy("sha").agg(F.max(F.struct("id", "key")).alias("first"))
+    own = own.withColumn("sha", F.unhex(F.sha2(F.encode("html", "UTF-8"), 256)))
+    heads = own.select("sha", "page_id", "url", "key").groupBy("sha").agg(F.max(F.struct("page_id", "url", "key")).alias("first"), F.count("*").alias("n"))
+    # payloads of several pages only, written before they are joined: a very common one is then broadcast, or split by Spark
+    heads = written(heads.where("n > 1").select("sha", "first"), "warc-heads")
+    heads = few_bytes(heads, F.coalesce(F.octet_length("first.url") + F.octet_length("first.key"), F.lit(0)) + F.lit(60))
     big = F.octet_length("html") >= min_bytes
-    same = F.col("page_id").eqNullSafe(F.col("first.id.page_id")) & F.col("url").eqNullSafe(F.col("first.id.url"))
-    joined = own.join(heads, "sha").select("page_id", "url", "html", "key", (~big | same).alias("is_response"), F.col("first.id.page_id").alias("first_id"), F.col("first.id.url").alias("first_url"), F.col("first.key").alias("first_key"))
+    same = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
+    joined = own.join(heads, "sha", "left").select("page_id", "url", "html", "key", (F.col("first").isNull() | ~big | same).alias("is_response"), F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"), F.col("first.key").alias("first_key"))
     return written(joined.mapInArrow(archive_rows(archive), CAPTURES), "warc-captures")
 
 
@@ -273,8 +276,9 @@ def archive_pages(pages: DataFrame, archive: str, index: str, min_bytes: int = 0
     """Archives and indexes all pages and reads them back through the index.
 
     One row per row of pages: page_id, payload_bytes, payload_digest, record_type, refers_to. A null html is an empty
-    payload, a null url an empty key, a null page_id a value like others. Rows equal in id, url and payload are all
-    alike (responses if they are the greatest). Empty table: no rows. Further columns are not read.
+    payload, a null url an empty key, a null page_id a value like others. Of equal payloads the greatest (page_id, url) is
+    the response; rows equal in id, url and payload are all alike (responses if they are the greatest). Empty table: no
+    rows. Payloads of any length are one record. Further columns are not read.
     """
     captures = write_archives(pages, archive, min_bytes)
     files = write_index(captures, index)
