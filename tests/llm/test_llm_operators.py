@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -268,6 +269,89 @@ def test_main_text_of_copied_pages(spark):
     assert all(got[50 + i] == f"Own {i}" for i in range(1, 6)) and got[50] == "Not this\nOwn 0"  # another text in a template slot stays
 
 
+def plain(node):
+    """A tree with each element a node of its own."""
+    out = wrapper.Part(node.tag)
+    out.kids = [plain(k) for k in node.kids if k.tag.strip()]
+    return wrapper.finish(out)
+
+
+def test_wrapper_holds_optional_and_repeated_nodes():
+    one = wrapper.outline(wrapper.parse("<body><nav>a</nav><div><p>1</p></div><footer>x</footer></body>"))
+    two = wrapper.outline(wrapper.parse("<body><nav>a</nav><div><h1>t</h1><p>1</p><p>2</p><p>3</p><ul><li>i</ul></div><section>s</section><footer>x</footer></body>"))
+    w = wrapper.read_tree(wrapper.written_tree(wrapper.merge(one, two)))
+    body = w.kids[0]
+    assert [k.tag for k in body.kids] == ["nav", "div", "section", "footer"] and [k.tag for k in body.kids[1].kids] == ["h1", "p", "ul"]
+    page = wrapper.parse("<body><nav>a</nav><div><p>1</p><p>2</p><p>3</p><p>4</p></div><footer>x</footer></body>")
+    wrapper.align(w, wrapper.outline(page), {})
+    kids = page.kids[0].kids
+    assert [k.slot for k in kids] == [body.kids[i].slot for i in (0, 1, 3)] and {k.slot for k in kids[1].kids} == {body.kids[1].kids[1].slot}
+
+
+def templated(i, rename=lambda c: c, rng=random.Random(0)):
+    body = "".join(f"<p>{prose(rng, 20)}</p>" for _ in range(rng.randint(1, 6)))
+    extra = f"<section><p>{prose(rng, 10)}</p></section>" if i % 3 == 0 else ""
+    c = rename
+    page = (f"<body><div class='{c('menu')}'><ul><li>Home<li>About<li>Contact</ul></div><div class='{c('promo')}'>Buy now</div><div class='{c('post')}'><h1>{prose(rng, 4)}</h1>{body}{extra}"
+            f"<div class='{c('share')}'>Share this</div></div><div class='{c('legal')}'>All rights</div></body>")
+    return page, body + extra
+
+
+def test_main_text_comes_from_the_wrapper(spark, monkeypatch):
+    """With class names that say nothing the text is the same; without wrappers it isn't."""
+    def texts(rename):
+        rng = random.Random(12)
+        rows = [(i, f"http://h{i % 4}.example/{i}", templated(i, rename, rng)[0]) for i in range(60)]
+        return {r.page_id: r.text for r in wrapper.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+    clear, blind = texts(lambda c: c), texts(lambda c: "x" + hashlib.md5(c.encode()).hexdigest()[:5])
+    rng = random.Random(12)
+    for i in range(60):
+        html = templated(i, rng=rng)[0]
+        want = [x for x in re.split(r"<[^>]*>", html) if x and x not in ("Home", "About", "Contact", "Buy now", "Share this", "All rights")]
+        assert clear[i].split("\n") == want
+    assert blind == clear
+    monkeypatch.setattr(wrapper, "MIN_PAGES", 1000)
+    without = texts(lambda c: "x" + hashlib.md5(c.encode()).hexdigest()[:5])
+    assert all(without[i] != clear[i] for i in range(60))
+
+
+def test_varying_menus_and_adverts_without_any_marks(spark):
+    """Only divs, whose every text varies: the wrapper's node with nearly all of the text is the article."""
+    rng = random.Random(14)
+    rows, want = [], {}
+    for i in range(30):
+        art = [prose(rng, 5), *(prose(rng, rng.randint(3, 60)) for _ in range(rng.randint(2, 9)))]
+        body = f"<h1>{art[0]}</h1>" + "".join(f"<p>{x}</p>" for x in art[1:])
+        rows.append((i, f"http://o{i % 2}.example/{i}", f"<body><div><ul>{''.join(f'<li>{prose(rng, 1)}</li>' for _ in range(6))}</ul></div><div>{prose(rng, 4)}</div><div>{body}</div><div>{prose(rng, 4)}</div></body>"))
+        want[i] = "\n".join(art)
+    got = {r.page_id: r.text for r in wrapper.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_odd_markup(spark):
+    given = ["Hello <a href=x title=it's>link</a> more", "<!--><p>kept</p><!-- c -->", "<!---><p>kept</p>", "<p title=\"a>b\">x</p>", "<p title='a>b' hidden=false>x", "<p a=\"open>lost"]
+    df = spark.createDataFrame([(i, None, x) for i, x in enumerate(given)], "page_id long, url string, html string")
+    assert [r.text for r in wrapper.extract_text(df).orderBy("page_id").collect()] == ["Hello link more", "kept", "kept", "x", "x", "lost"]
+
+
+def test_articles_own_notices_and_teasers(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(8):
+        rows.append((i, f"http://n.example/{i}", f"<body><div class=search>Find</div><main><article class=teaser>{prose(rng, 3)}</article><h1>Head {i}</h1><p class=alert>Mind {prose(rng, 5)}</p><p>{prose(rng, 40)}</p></main><div class=related>{prose(rng, 9)}</div></body>"))
+    got = {r.page_id: r.text.split("\n") for r in wrapper.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert len(got[i]) == 4 and got[i][1] == f"Head {i}" and got[i][2].startswith("Mind ")
+
+
+def test_very_long_and_wide_pages(spark):
+    given = ["<div>" * 3000 + "deep", "".join(f"<h2>t{i}</h2><p>x{i}</p>" for i in range(3000)), "".join(f"<div class=c{i}><b>x{i}</b></div>" for i in range(3000))]
+    df = spark.createDataFrame([(i, "http://wide.example", x) for i, x in enumerate(given)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrapper.extract_text(df).collect()}
+    assert got[0] == "deep" and got[1].count("\n") == 5999 and got[2].count("\n") == 2999
+
+
 def test_tree_matching_is_maximal():
     def slow(a, b):
         if a.tag != b.tag:
@@ -284,7 +368,7 @@ def test_tree_matching_is_maximal():
         return f"<{(t := rng.choice(['div', 'span', 'b']))}>" + "".join(tree(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0)) + f"</{t}>"
 
     for _ in range(40):
-        a, b = wrapper.parse(tree(3)), wrapper.parse(tree(3))
+        a, b = plain(wrapper.parse(tree(3))), plain(wrapper.parse(tree(3)))
         assert wrapper.match(a, b, {}) == slow(a, b)
 
 
