@@ -80,8 +80,8 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select("row.*")
 
 
-#: Ids that may be broadcast (8 bytes each, about 100 MB as a hash relation at the most).
-BROADCAST_IDS = 1_000_000
+#: Rows of short tables that may be broadcast; several of them may be held at once (about 20 MB each as hash relations).
+BROADCAST_IDS = 200_000
 
 
 def small_side(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:

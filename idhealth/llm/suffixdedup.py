@@ -307,17 +307,17 @@ def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([c.column("doc"), pa.array(runs, kind)], ["doc", "spans"])
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False, counted: bool = True) -> DataFrame:
     """Removes every byte covered by a LENGTH-byte string that also starts anywhere else, in any document or the same one.
 
     Returns one row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with keep_text the columns of
-    docs, text cut (bytes of a character that was cut in part go too), and n_removed, which replaces a column of that
-    name. Texts are UTF-8 bytes, whole ones of any length; null is empty. Texts shorter than LENGTH lose nothing.
+    docs, text cut (bytes of a character that was cut in part go too), and, if counted, n_removed, which replaces a column
+    of that name. Texts are UTF-8 bytes, whole ones of any length; null is empty. Texts shorter than LENGTH lose nothing.
     Overlapping repeats count; strings are judged on the input. Rows that repeat an id, or are equal in all, are documents
     of their own: equal texts are copies of each other, and no copy is preferred. Empty table: no rows. A document's spans
     are one row.
     """
-    docs = docs.drop("n_removed") if keep_text else docs
+    docs = docs.drop("n_removed") if keep_text and counted else docs
     digest = F.unhex(F.md5(F.encode(text_of(text), "UTF-8")))
     table = few_bytes(spans(docs.select(digest.alias("doc"), F.col(doc_id).alias("id"), text_of(text).alias("text"))), F.lit(40) + F.lit(8) * F.greatest(F.size("spans"), F.lit(0)))
     if keep_text:
@@ -325,7 +325,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         own = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), text_of(text).alias("text"), digest.alias("doc"))
         joined = own.join(table, "doc", "left").select("row", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
         out = joined.mapInArrow(cut_rows(True), StructType([own.schema["row"], StructField("text", StringType()), StructField("n_removed", LongType())]))
-        return out.select(*[F.col("text").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns], "n_removed")
+        return out.select(*[F.col("text").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns], *["n_removed"] * counted)
     own = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"), digest.alias("doc"))
     joined = own.join(table, "doc", "left").select("doc_id", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
     kind = docs.schema[doc_id].dataType.simpleString()
