@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import ipaddress
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -45,6 +47,36 @@ def ip_bin(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
+def replaced_v6(key: str, kept: Sequence[str] = ()) -> Callable[[Column], Column]:
+    """Column function: an IPv6 address whose groups, but the first one and those of 0, 1 and ffff, are digits of a keyed hash; null for other texts.
+
+    The canonical form is what is replaced; addresses in kept stay. An IPv4 tail keeps its first number.
+    """
+    listed = frozenset(kept)
+
+    def one(x: str | None) -> str | None:
+        try:
+            a = ipaddress.IPv6Address(x.strip())
+        except (ValueError, AttributeError):
+            return None
+        groups = f"::ffff:{a.ipv4_mapped}".split(":") if a.ipv4_mapped else str(a).split(":")
+        if ":".join(groups) in listed:
+            return ":".join(groups)
+        code = hashlib.sha256((key + "".join(groups) + key).encode()).digest()
+        for i, g in enumerate(groups):
+            if "." in g:
+                groups[i] = ".".join([g.split(".")[0], *(str(c) for c in code[1:4])])
+            elif i and g not in ("", "0", "1", "ffff"):
+                groups[i] = "".join(f"{code[(4 * i + j) % 32] & 15:x}" for j in range(len(g)))
+        return ":".join(groups)
+
+    @F.pandas_udf(T.StringType())
+    def replaced(text: pd.Series) -> pd.Series:
+        return text.map(one)
+
+    return replaced
+
+
 @F.pandas_udf(RANGE)
 def cidr_range(text: pd.Series) -> pd.DataFrame:
     """First and last address of a prefix as 16 bytes; nulls if it is none."""

@@ -27,12 +27,28 @@ def top_with_rest(df: DataFrame, keys: Sequence[str], key: str, count: str, n: i
 
     rest may depend on the key, for example a length bucket. Rows must be unique by keys + key.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(count).desc(), F.col(key).asc()))
     other = F.lit(rest) if isinstance(rest, str) else rest
-    named = df.withColumn("rank_", rank).withColumn(key, F.when(F.col("rank_") <= n, F.col(key)).otherwise(other))
+    named = top_marked(df, keys, key, count, n).withColumn(key, F.when(F.col("top_"), F.col(key)).otherwise(other))
     return named.groupBy(*keys, key).agg(F.sum(count).alias(count))
 
 
+#: Parts in which a group is ranked before its first ones are ranked together.
+PARTS = 64
+
+
+def top_marked(df: DataFrame, keys: Sequence[str], key: str, count: str, n: int) -> DataFrame:
+    """Adds top_, whether the row is among the n greatest of its group (count down, key up).
+
+    No group is sorted as a whole: only the n first rows of each of its PARTS can be among its n first ones.
+    """
+    order = (F.col(count).desc(), F.col(key).asc())
+    parts = df.withColumn("part_", F.pmod(F.xxhash64(key), F.lit(PARTS)))
+    parts = parts.withColumn("rank_", F.row_number().over(Window.partitionBy(*keys, "part_").orderBy(*order)))
+    first = parts.where(F.col("rank_") <= n).withColumn("rank_", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    rest = parts.where(F.col("rank_") > n)
+    return first.withColumn("top_", F.col("rank_") <= n).unionByName(rest.withColumn("top_", F.lit(False))).drop("part_", "rank_")
+
+
 def merge_summaries(df: DataFrame, capped: Sequence[str], n: int = 256, least: int = 4, compat: bool = False) -> DataFrame:
     """Merges summaries (registry, key, count): registries in `capped` keep their n greatest keys, the rest goes by key length.
 
@@ -44,10 +60,9 @@ def merge_summaries(df: DataFrame, capped: Sequence[str], n: int = 256, least: i
     small = is_capped & (F.col("count") <= least)
     rekeyed = df.select(F.when(small, F.lit("LeakByLength")).otherwise(F.col("registry")).alias("registry"), F.when(small, length).otherwise(F.col("key")).alias("key"), (F.when(small, 1).otherwise(F.col("count")) if compat else F.col("count")).cast("long").alias("count"))
     merged = merge_counts(rekeyed)
-    rank = F.row_number().over(Window.partitionBy("registry").orderBy(F.col("count").desc(), F.col("key").asc()))
-    cut = merged.where(is_capped).withColumn("rank_", rank)
-    over = cut.where(F.col("rank_") > n).select(F.lit("LeakByLength").alias("registry"), length.alias("key"), "count")
-    kept = cut.where(F.col("rank_") <= n).drop("rank_")
+    cut = top_marked(merged.where(is_capped), ["registry"], "key", "count", n)
+    over = cut.where("NOT top_").select(F.lit("LeakByLength").alias("registry"), length.alias("key"), "count")
+    kept = cut.where("top_").drop("top_")
     return merge_counts(kept.unionByName(over).unionByName(merged.where(~is_capped)))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from idhealth.functions import names as n
+from idhealth.functions.addresses import is_v4, replaced_v6
 
 from .counters import top_with_rest
 
@@ -125,13 +126,22 @@ def normalize_suffixes(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def anonymize_ip(text: Column, key: str, kept: Sequence[str] = ()) -> Column:
-    """Keyed replacement of IPv4 addresses: listed ones and special ones (0, 127, from 224 on) stay, private ones keep two octets, others one."""
+    """Keyed replacement of addresses; a text that is none gives null.
+
+    IPv4: listed ones and special ones (0, 127, from 224 on) stay, private ones keep two octets, others one. IPv6, in
+    canonical form: the first group stays, as do groups of 0, 1 and ffff; an IPv4 tail is replaced as such.
+    """
+    v6 = replaced_v6(key, kept)(text)
+    return F.when(is_v4(text), anonymize_v4(text, key, kept)).otherwise(v6)
+
+
+def anonymize_v4(text: Column, key: str, kept: Sequence[str]) -> Column:
     p = F.split(text, r"\.")
     o = lambda i: F.get(p, F.lit(i))
     first, second = o(0).try_cast("int"), o(1).try_cast("int")
-    digest = F.sha2(F.concat(F.lit(key), text, F.lit(key)), 256)
+    digest = F.sha2(F.concat(F.lit(key), F.replace(text, F.lit("."), F.lit("")), F.lit(key)), 256)
     made = lambda i: F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10)
     two = ((first == 172) & second.between(16, 31)) | ((first == 192) & (second == 168)) | ((first == 169) & (second == 254))
     whole = text.isin(*kept) if kept else F.lit(False)
-    whole = whole | first.isNull() | first.isin(0, 127) | (first >= 224)
+    whole = whole | first.isin(0, 127) | (first >= 224)
     return F.when(whole, text).otherwise(F.concat_ws(".", o(0), F.when(two, o(1)).otherwise(made(1)), made(2), made(3)))

@@ -13,13 +13,26 @@ from .counters import share
 def runs(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
     """(group…, value, n_, before_, ahead_): each distinct value with its entities, and the sum and number of entities with greater values.
 
-    Entities of one value are alike in any ranking, so the window runs over distinct values, not over entities: with a
-    total of T there are at most about sqrt(2 T) distinct whole values.
+    Entities of one value are alike in any ranking, so values are counted first. Sums run within bands of values, FINE for
+    each power of two; the bands' own sums (a few thousand rows a group) are added to them.
     """
     counted = df.groupBy(*group, value).agg(F.count("*").alias("n_"))
-    above = Window.partitionBy(*group).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    v = F.col(value).cast("double")
+    counted = counted.withColumn("band_", (F.signum(v) * F.ceil(F.log2(F.abs(v) + 1) * FINE)).cast("int"))
+    above = lambda *keys: Window.partitionBy(*keys).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
-    return counted.withColumns({"before_": F.coalesce(F.sum(F.col(value) * F.col("n_")).over(above), zero), "ahead_": F.coalesce(F.sum("n_").over(above), zero)})
+    product = F.col(value) * F.col("n_")
+    higher = Window.partitionBy(*group).orderBy(F.col("band_").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bands = counted.groupBy(*group, "band_").agg(F.sum(product).alias("p_"), F.sum("n_").alias("c_"))
+    bands = bands.select(*group, "band_", F.coalesce(F.sum("p_").over(higher), zero).alias("p_"), F.coalesce(F.sum("c_").over(higher), zero).alias("c_"))
+    within = counted.withColumns({"before_": F.coalesce(F.sum(product).over(above(*group, "band_")), zero), "ahead_": F.coalesce(F.sum("n_").over(above(*group, "band_")), zero)})
+    same = [F.col(f"a.`{g}`").eqNullSafe(F.col(f"b.`{g}`")) for g in [*group, "band_"]]
+    joined = within.alias("a").join(bands.alias("b"), same)
+    return joined.select(*[F.col(f"a.`{g}`") for g in [*group, value, "n_"]], (F.col("a.before_") + F.col("b.p_")).alias("before_"), (F.col("a.ahead_") + F.col("b.c_")).alias("ahead_"))
+
+
+#: Bands of values for each power of two.
+FINE = 16
 
 
 def concentration(df: DataFrame, group: Sequence[str], entity: str, value: str, parts: Sequence[float] = (0.5, 0.9)) -> DataFrame:

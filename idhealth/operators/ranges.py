@@ -29,11 +29,44 @@ def most_specific(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str,
     return df.join(best, key, "left")
 
 
+def hex_prefixes(ranges: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Adds bits_ and prefix_: the longest hexadecimal prefix that both ends of a range of bytes have in common; all of the range lies below it."""
+    a, b = F.hex(lo), F.hex(hi)
+    same = F.aggregate(F.sequence(F.lit(1), F.length(a)), F.lit(0), lambda n, k: n + (F.substring(a, F.lit(1), k) == F.substring(b, F.lit(1), k)).cast("int"))
+    return ranges.withColumn("bits_", same).withColumn("prefix_", F.substring(a, F.lit(1), F.col("bits_")))
+
+
+def hits_of_bytes(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Distinct keys with every range that holds them. Keys, lo and hi are bytes of one length (ip_bin: 16), which compare as unsigned.
+
+    A key meets the ranges below its own prefixes, of those lengths that occur (at most one for each four bits of a key).
+    """
+    r = hex_prefixes(ranges, lo, hi)
+    lengths = sorted(x["bits_"] for x in r.select("bits_").where("bits_ IS NOT NULL").distinct().collect())  # 33 for addresses
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    keys = keys.withColumn("p_", F.explode(F.array(*[F.struct(F.lit(n).alias("bits_"), F.substring(F.hex(key), 1, n).alias("prefix_")) for n in lengths or [0]]))).select(key, "p_.*")
+    return keys.join(r, ["bits_", "prefix_"]).where((F.col(key) >= F.col(lo)) & (F.col(key) <= F.col(hi)))
+
+
+def interval_join_bytes(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str, value: str, default: object) -> DataFrame:
+    """interval_join for IPv4 and IPv6 addresses as bytes; null keys get the default."""
+    hits = hits_of_bytes(df, key, ranges.select(lo, hi, value), lo, hi).select(key, value)
+    return df.join(hits, key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))
+
+
+def most_specific_bytes(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str, value: str) -> DataFrame:
+    """most_specific for IPv4 and IPv6 addresses as bytes: of the ranges around a key the latest start wins, then the earliest end; among nested networks that is the smallest."""
+    upto = F.translate(F.hex(hi), "0123456789ABCDEF", "FEDCBA9876543210")
+    hits = hits_of_bytes(df, key, ranges.select(lo, hi, value), lo, hi)
+    best = hits.groupBy(key).agg(F.max_by(value, F.struct(F.hex(lo), upto, value)).alias(value))
+    return df.join(best, key, "left")
+
+
 def flatten_ranges(ranges: DataFrame, lo: str = "lo", hi: str = "hi", value: str = "value", bits: int = 12) -> DataFrame:
     """Disjoint (lo, hi, value): on each stretch the range that starts latest wins, then the shortest, then the least value; neighbours of one value are merged.
 
-    Ranges are clipped to buckets, which are solved on their own; only the stretches at bucket borders are merged in one
-    window, two for a bucket at most.
+    Ranges are clipped to buckets, which are solved on their own; only the stretches at bucket borders, two for a bucket
+    at most, are merged further, in buckets that are LEVEL times as wide from step to step.
     """
     r = bucketed(ranges.select(F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.col(value).alias("value")), "lo", "hi", bits)
     first, last = F.shiftleft("bucket_", bits), F.shiftleft("bucket_", bits) + ((1 << bits) - 1)
@@ -42,13 +75,23 @@ def flatten_ranges(ranges: DataFrame, lo: str = "lo", hi: str = "hi", value: str
     points = r.select("bucket_", F.explode(F.array(F.col("a"), F.col("b") + 1)).alias("point")).distinct()
     segments = points.withColumn("next", F.lead("point").over(in_bucket)).where("next IS NOT NULL").select("bucket_", F.col("point").alias("x"), (F.col("next") - 1).alias("y"))
     covered = segments.join(r, "bucket_").where("a <= x AND y <= b").groupBy("bucket_", "x", "y").agg(F.max_by("value", F.struct("lo", -F.col("hi"), -F.col("value"))).alias("value"))
-    islands = merged(covered, ["bucket_"])
-    first, last = F.shiftleft("bucket_", bits), F.shiftleft("bucket_", bits) + ((1 << bits) - 1)
-    border = (F.col("x") == first) | (F.col("y") == last)
-    out = islands.where(~border).select("x", "y", "value").unionByName(merged(islands.where(border).select("x", "y", "value"), []))
+    left, out, width = merged(covered, ["bucket_"]), None, bits
+    while width < 63:
+        first = F.shiftleft("bucket_", width)
+        border = (F.col("x") == first) | (F.col("y") == first + ((1 << width) - 1))
+        inner = left.where(~border).select("x", "y", "value")
+        out = inner if out is None else out.unionByName(inner)
+        width = min(63, width + LEVEL)
+        wide = left.where(border).select(F.shiftright("x", width).alias("bucket_"), "x", "y", "value")
+        left = merged(wide, ["bucket_"])
+    out = out.unionByName(left.select("x", "y", "value"))
     return out.select(F.col("x").alias("lo"), F.col("y").alias("hi"), "value")
 
 
+#: Bits by which buckets get wider from one merging step to the next.
+LEVEL = 13
+
+
 def merged(df: DataFrame, keys: list[str]) -> DataFrame:
     """Joins neighbouring (x, y, value) rows of one value within keys: gaps and islands."""
     w = Window.partitionBy(*keys).orderBy("x")

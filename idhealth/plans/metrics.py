@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idhealth.operators.counters import coverage, keep_share, remainder, share, shares
+from idhealth.operators.counters import coverage, densify, keep_share, remainder, share, shares
 from idhealth.operators.populations import concentration
 from idhealth.operators.statistics import mean_by_key, zone_dnssec
 
@@ -61,7 +61,7 @@ def listed(summary: DataFrame, registry: str, metric: str, base: Column, least:
 
 
 def m3(summary: DataFrame) -> DataFrame:
-    """Root traffic: NX share, repeats, leak shares by class, EDNS, DO, name minimisation, recursion, probes, labels."""
+    """Root traffic: NX share, repeats, leak shares by class, EDNS, DO, name minimisation, recursion, probes, names by number of labels (0 to 34 and more)."""
     n = of("root-QR", "0") + of("root-QR", "3")
     scalars = summary.agg(
         share(of("root-QR", "3"), n).alias("M3.1"),
@@ -79,6 +79,9 @@ def m3(summary: DataFrame) -> DataFrame:
         out = out.unionByName(x)
     options = summary.agg(of("EDNS_OPTIONS_TOTAL_QUERIES", "0").alias("base_"))
     out = out.unionByName(summary.where("registry = 'EDNS_OPTIONS_USAGE'").crossJoin(F.broadcast(options)).select(F.lit("M3.4.2").alias("metric"), "key", share(F.col("count"), F.col("base_")).alias("value")))  # one row
+    labels = summary.where("registry = 'DNS_NAME_PARTS_COUNT'").groupBy(F.least(F.col("key").try_cast("int"), F.lit(34)).alias("key")).agg(F.sum("count").alias("count"))
+    labels = shares(densify(labels, "key", summary.sparkSession.range(35).select(F.col("id").cast("int").alias("key")), {"count": 0}), [], "count")
+    out = out.unionByName(labels.select(F.lit("M3.10").alias("metric"), F.col("key").cast("string").alias("key"), F.col("share").alias("value")))
     parts = out.where("metric IN ('M3.3.1', 'M3.3.2', 'M3.3.3')").agg(F.sum("value").alias("listed"))
     rest = scalars.select("`M3.1`").crossJoin(parts)  # one row each
     return out.unionByName(rest.select(F.lit("M3.3.4").alias("metric"), F.lit("").alias("key"), remainder(F.col("`M3.1`"), F.col("listed")).alias("value")))
@@ -153,16 +156,24 @@ def message_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = messages(spark, sf_dir)
     count = lambda df, registry, key: df.groupBy(F.lit(registry).alias("registry"), key.cast("string").alias("key")).agg(F.count("*").alias("count"))
     nx = m.where("rcode = 3")
-    clients = m.groupBy("client").agg(F.bool_or(F.col("k") % 2 == 1).alias("do"), F.bool_or(F.col("k") > 95).alias("edns"))
-    parts = [count(m, "root-QR", F.col("rcode")), count(m, "RCODE", F.col("rcode")), count(nx, "LeakedTLD", F.col("tld")), count(nx.where("k < 10"), "LeakByLength", F.concat(F.lit("length_"), F.char_length("tld"))), count(clients, "DNSSEC_Client_Usage", F.col("do").cast("int")), count(clients, "EDNS_CLIENT_USAGE", F.col("edns").cast("int"))]
+    clients = m.groupBy("client").agg(F.bool_or(F.col("k") % 2 == 1).alias("do"), F.bool_or(F.col("k") > 95).alias("edns"), F.bool_or(F.col("k") % 7 == 3).alias("recursive"))
+    k, tld, some = F.col("k"), F.col("tld"), m.where("k IS NOT NULL")
+    parts = [count(m, "root-QR", F.col("rcode")), count(m, "RCODE", F.col("rcode")), count(nx, "LeakedTLD", tld), count(nx.where("k < 10"), "LeakByLength", F.concat(F.lit("length_"), F.char_length("tld"))), count(clients, "DNSSEC_Client_Usage", F.col("do").cast("int")), count(clients, "EDNS_CLIENT_USAGE", F.col("edns").cast("int"))]
+    parts += [count(some, "UsefulQueries", k % 4), count(nx.where("k % 10 = 3"), "RFC6761Usage", tld), count(some, "QNAME_MINIMIZATION_USAGE", (k % 3 == 0).cast("int")), count(clients, "SENDING_RECURSIVE_SET", F.col("recursive").cast("int"))]
+    parts += [count(nx.where("k % 6 = 1"), "CHROMIUM_PROBES", F.lit("p")), count(nx, "CHROMIUM_LEAK_REF", F.lit("r")), count(nx.where("k < 20"), "Leaked2ndLD", F.concat(F.lit("x."), tld)), count(m.where("k > 50"), "EDNS_OPTIONS_TOTAL_QUERIES", F.lit(0))]
+    parts += [count(m.where("k > 50"), "EDNS_OPTIONS_USAGE", k % 5), count(some, "DNS_NAME_PARTS_COUNT", k % 40), count(m, "TLD-Usage-Count", (F.col("rcode") == 0).cast("int")), count(nx.where("k % 5 = 1"), "Frequent-TLD-usage", tld), count(nx.where("k % 5 = 2"), "Local_TLD_Usage_Count", F.concat(F.lit("h"), k.cast("string")))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-SUMMARY_SQL = MESSAGES_SQL + """, cl AS (SELECT client, bool_or(k % 2 = 1)::INT AS d, bool_or(k > 95)::INT AS e FROM dns GROUP BY client),
-q AS (SELECT count(*) AS n, sum((rcode = 3)::INT) AS nx FROM dns),
+SUMMARY_SQL = MESSAGES_SQL + """, cl AS (SELECT client, bool_or(k % 2 = 1)::INT AS d, bool_or(k > 95)::INT AS e, bool_or(k % 7 = 3)::INT AS r FROM dns GROUP BY client),
+q AS (SELECT count(*) AS n, sum((rcode = 3)::INT) AS nx, count(*) FILTER (k % 4 = 0)::DOUBLE AS u0, count(*) FILTER (k % 4 = 1) AS u1, count(*) FILTER (k % 4 = 2) AS u2, count(*) FILTER (k % 4 = 3)::DOUBLE AS u3, avg((k % 3 = 0)::INT) AS mini,
+  count(*) FILTER (rcode = 3 AND k % 6 = 1) AS probes, count(*) FILTER (k > 50)::DOUBLE AS opt, count(k)::DOUBLE AS nk FROM dns),
+rf AS (SELECT tld AS key, count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 AND k % 10 = 3 GROUP BY 1),
+fr AS (SELECT tld AS key, count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 AND k % 5 = 1 GROUP BY 1 HAVING count(*)::DOUBLE / (SELECT n FROM q) >= (SELECT least(nx::DOUBLE / n / 500, 0.001) FROM q)),
+lo AS (SELECT count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 AND k % 5 = 2),
 ld AS (SELECT tld AS key, count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 GROUP BY 1),
 ll AS (SELECT 'length_' || length(tld) AS key, count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 AND k < 10 GROUP BY 1)
 """
@@ -170,15 +181,17 @@ ll AS (SELECT 'length_' || length(tld) AS key, count(*)::DOUBLE / (SELECT n FROM
 
 @query("metrics_m3", SUMMARY_SQL + """
 SELECT metric, key, round(value, 9) AS value FROM (
-  SELECT 'M3.1' AS metric, '' AS key, nx::DOUBLE / n AS value FROM q UNION ALL SELECT 'M3.2', '', 0 UNION ALL SELECT 'M3.4.1', '', avg(e) FROM cl UNION ALL SELECT 'M3.5', '', avg(d) FROM cl
-  UNION ALL SELECT 'M3.6', '', 0 UNION ALL SELECT 'M3.8', '', 0 UNION ALL SELECT 'M3.9', '', 0 UNION ALL SELECT 'M3.3.2', key, value FROM ld UNION ALL SELECT 'M3.3.3', key, value FROM ll
-  UNION ALL SELECT 'M3.3.4', '', greatest(0, (SELECT nx::DOUBLE / n FROM q) - (SELECT sum(value) FROM ld) - (SELECT coalesce(sum(value), 0) FROM ll)))
+  SELECT 'M3.1' AS metric, '' AS key, nx::DOUBLE / n AS value FROM q UNION ALL SELECT 'M3.2', '', u0 / (u0 + u1) FROM q UNION ALL SELECT 'M3.3.5', '', u3 / (u2 + u3) FROM q WHERE u3 > 0 UNION ALL SELECT 'M3.4.1', '', avg(e) FROM cl UNION ALL SELECT 'M3.5', '', avg(d) FROM cl
+  UNION ALL SELECT 'M3.6', '', mini FROM q UNION ALL SELECT 'M3.8', '', avg(r) FROM cl UNION ALL SELECT 'M3.9', '', probes::DOUBLE / nx FROM q UNION ALL SELECT 'M3.3.1', key, value FROM rf UNION ALL SELECT 'M3.3.2', key, value FROM ld UNION ALL SELECT 'M3.3.3', key, value FROM ll
+  UNION ALL SELECT 'M3.7', 'x.' || tld, count(*)::DOUBLE / (SELECT n FROM q) FROM dns WHERE rcode = 3 AND k < 20 GROUP BY tld UNION ALL SELECT 'M3.4.2', (k % 5)::VARCHAR, count(*) / (SELECT opt FROM q) FROM dns WHERE k > 50 GROUP BY k % 5
+  UNION ALL SELECT 'M3.10', i::VARCHAR, (SELECT count(*) FROM dns WHERE least(k % 40, 34) = i) / (SELECT nk FROM q) FROM range(35) t(i)
+  UNION ALL SELECT 'M3.3.4', '', greatest(0, (SELECT nx::DOUBLE / n FROM q) - (SELECT sum(value) FROM ld) - (SELECT coalesce(sum(value), 0) FROM ll) - (SELECT coalesce(sum(value), 0) FROM rf)))
 """)
 def metrics_m3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m3(message_summary(spark, sf_dir)).withColumn("value", F.round("value", 9))
 
 
-@query("metrics_m8", SUMMARY_SQL + "SELECT metric, key, round(value, 9) AS value FROM (SELECT 'M8.1' AS metric, '' AS key, nx::DOUBLE / (n / 2.0) AS value FROM q UNION ALL SELECT 'M8.2.1', '', avg(e) FROM cl UNION ALL SELECT 'M8.3', '', avg(d) FROM cl UNION ALL SELECT 'M8.4', '', 0)")
+@query("metrics_m8", SUMMARY_SQL + "SELECT metric, key, round(value, 9) AS value FROM (SELECT 'M8.1' AS metric, '' AS key, nx::DOUBLE / (n / 2.0) AS value FROM q UNION ALL SELECT 'M8.2.1', '', avg(e) FROM cl UNION ALL SELECT 'M8.3', '', avg(d) FROM cl UNION ALL SELECT 'M8.4', '', mini FROM q)")
 def metrics_m8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m8(message_summary(spark, sf_dir)).withColumn("value", F.round("value", 9))
 
@@ -206,9 +219,48 @@ def metrics_m2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m2(li, 2).withColumn("value", F.round("value", 6))
 
 
-@query("slice_summary", SUMMARY_SQL + "SELECT (SELECT n FROM q) AS queries, (SELECT nx::BIGINT FROM q) AS nx_domain, (SELECT (n - nx)::BIGINT FROM q) AS useful, count(*) FILTER (rcode = 3 AND k < 10 AND length(tld) BETWEEN 7 AND 15) AS dga FROM dns")
+@query("slice_summary", SUMMARY_SQL + """, s AS (SELECT n, nx::BIGINT AS nx, floor(u0 / (u0 + u1) * (n - nx))::BIGINT AS useless, probes, (SELECT count(*) FROM dns WHERE rcode = 3 AND k < 10 AND length(tld) BETWEEN 16 AND 64) AS jumbo, (SELECT count(*) FROM dns WHERE rcode = 3 AND k % 10 = 3) AS rfc FROM q)
+SELECT n AS queries, nx AS nx_domain, n - useless - nx AS useful, useless, probes AS dga, nx - probes - jumbo AS others, rfc AS rfc6761, nx - probes - jumbo AS other_names, jumbo FROM s""")
 def slice_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sum3(message_summary(spark, sf_dir)).select("queries", "nx_domain", "useful", "dga")
+    return sum3(message_summary(spark, sf_dir)).select("queries", "nx_domain", "useful", "useless", "dga", "others", "rfc6761", "other_names", "jumbo")
+
+
+@query("metrics_m4", SUMMARY_SQL + """
+SELECT metric, key, round(value, 9) AS value FROM (
+  SELECT 'M4.1' AS metric, '' AS key, (n - nx)::DOUBLE / n AS value FROM q UNION ALL SELECT 'M4.2', key, value FROM rf UNION ALL SELECT 'M4.3', key, value FROM fr UNION ALL SELECT 'M4.3', '(local host names)', value FROM lo WHERE value > 0
+  UNION ALL SELECT 'M4.4', '', greatest(0, (SELECT nx::DOUBLE / n FROM q) - (SELECT coalesce(sum(value), 0) FROM rf) - (SELECT coalesce(sum(value), 0) FROM fr) - (SELECT value FROM lo)) UNION ALL SELECT 'M4.5', '', avg(d) FROM cl)
+""")
+def metrics_m4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m4(message_summary(spark, sf_dir)).withColumn("value", F.round("value", 9))
+
+
+@query("metrics_m6", """WITH c AS (SELECT l_returnflag AS t, l_linenumber::VARCHAR AS key, count(*) AS n FROM lineitem GROUP BY ALL), r AS (SELECT DISTINCT l_returnflag AS t, ((s_suppkey % 6) * 2)::VARCHAR AS key FROM supplier, (SELECT DISTINCT l_returnflag FROM lineitem))
+SELECT metric, key, round(value, 9) AS value FROM (
+  SELECT 'M6.' || r.t || '.1' AS metric, '' AS key, count(c.key)::DOUBLE / count(*) AS value FROM r LEFT JOIN c ON r.t = c.t AND r.key = c.key GROUP BY r.t
+  UNION ALL SELECT 'M6.' || c.t || '.2', '', coalesce(sum(n) FILTER (r.key IS NULL), 0)::DOUBLE / sum(n) FROM c LEFT JOIN r ON r.t = c.t AND r.key = c.key GROUP BY c.t
+  UNION ALL SELECT 'M6.' || t || '.3', key, n::DOUBLE / sum(n) OVER (PARTITION BY t) FROM c)
+""")
+def metrics_m6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers as parameters in use; even ones are registered."""
+    li = read(spark, sf_dir, "lineitem")
+    counts = li.groupBy(F.col("l_returnflag").alias("table_id"), F.col("l_linenumber").cast("string").alias("key")).agg(F.count("*").alias("count"))
+    keys = read(spark, sf_dir, "supplier").select(((F.col("s_suppkey") % 6) * 2).cast("string").alias("key")).distinct()
+    tables = li.select(F.col("l_returnflag").alias("table_id")).distinct()
+    return m6(counts, tables.crossJoin(F.broadcast(keys))).withColumn("value", F.round("value", 9))  # three flags, six keys
+
+
+@query("metrics_m10", """WITH c AS (SELECT upper(substr(n_name, 1, 2)) AS cc, c_mktsegment AS seg, c_acctbal AS a FROM customer JOIN nation ON c_nationkey = n_nationkey),
+s AS (SELECT cc, seg, count(*) AS n FROM c GROUP BY ALL), l AS (SELECT cc, string_agg(seg, ',' ORDER BY n DESC, seg) AS services, count(*)::INT AS n_services FROM s GROUP BY cc)
+SELECT cc, count(*)::DOUBLE AS allopnrvrs, (count(*) FILTER (a > 9000))::DOUBLE AS samecc, (count(*) FILTER (a < -900))::DOUBLE AS diffcc, services, n_services FROM c JOIN l USING (cc) GROUP BY ALL
+""")
+def metrics_m10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as countries, customers as users of resolvers, market segments as services."""
+    n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.upper(F.substring("n_name", 1, 2)).alias("cc"))
+    c = read(spark, sf_dir, "customer").join(n, "c_nationkey")
+    name = lambda x: F.concat(F.lit("M10."), F.col("cc"), F.lit(f".{x}")).alias("metric")
+    count = lambda df, x, *key: df.groupBy(name(x), (F.col(key[0]) if key else F.lit("")).alias("key")).agg(F.count("*").cast("double").alias("value"))
+    rows = count(c, "allopnrvrs").unionByName(count(c.where("c_acctbal > 9000"), "samecc")).unionByName(count(c.where("c_acctbal < -900"), "diffcc")).unionByName(count(c, "service", "c_mktsegment"))
+    return m10(rows).withColumn("services", F.array_join("services", ","))
 
 
 @query("pair_metrics", "WITH a AS (SELECT o_custkey::VARCHAR AS key, count(*)::DOUBLE AS share FROM orders GROUP BY 1), b AS (SELECT o_custkey::VARCHAR AS key, count(*)::DOUBLE AS dnssec FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) SELECT a.key, share, coalesce(dnssec, 0) AS dnssec FROM a LEFT JOIN b ON a.key = b.key")

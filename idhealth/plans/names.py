@@ -79,9 +79,10 @@ def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("name_patterns")
 def name_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of all documents by pattern; is_random needs transcendental sums that engines round differently at the bounds."""
-    w = document_words(spark, sf_dir).where("length(word) < 64")
-    return w.groupBy(F.coalesce(n.name_pattern(F.col("word")), F.lit("-")).alias("pattern")).agg(F.count("*").alias("words"), F.sum("count").alias("count"))
+    """Words of all documents by pattern, those too long for a label apart; is_random needs transcendental sums that engines round differently at the bounds."""
+    w = document_words(spark, sf_dir)
+    pattern = F.when(F.length("word") >= 64, "long").otherwise(F.coalesce(n.name_pattern(F.col("word")), F.lit("-")))
+    return w.groupBy(pattern.alias("pattern")).agg(F.count("*").alias("words"), F.sum("count").alias("count"))
 
 
 @query("name_histogram", f"""WITH h AS (SELECT string_split({_HOST}, '.') AS l FROM pages)
@@ -98,13 +99,17 @@ def tld_study(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts(spark, sf_dir).groupBy(n.tld(c).alias("tld")).agg(F.max(n.n_labels(c)).alias("most_labels"), F.count("*").alias("count"), F.countDistinct(n.sld(c)).alias("slds"))
 
 
-@query("safe_text", r"""SELECT doc_id, array_to_string(list_transform(string_split(left(text, 200), ''), lambda c, i: CASE
-  WHEN regexp_matches(c, '[^\x20-\x7E]|[",\\]') OR (i = 1 AND c = '=') OR (c = ' ' AND (i = 1 OR i = length(left(text, 200)) OR substr(text, (i - 1)::INT, 1) = ' '))
-  THEN array_to_string(list_transform(regexp_extract_all(hex(c), '..'), lambda b: '\' || lpad((('0x' || b)::INT)::VARCHAR, 3, '0')), '') ELSE c END), '') AS safe FROM documents WHERE text <> ''
+@query("safe_text", r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, '') AS l FROM documents),
+c AS (SELECT r, unnest(l) AS c, generate_subscripts(l, 1) AS i, len(l) AS n FROM d WHERE text <> ''),
+p AS (SELECT r, c, i, n, lag(c) OVER (PARTITION BY r ORDER BY i) AS before FROM c),
+e AS (SELECT r, i, CASE WHEN regexp_matches(c, '[^\x20-\x7E]|[",\\]') OR (i = 1 AND c = '=') OR (c = ' ' AND (i = 1 OR i = n OR before = ' '))
+  THEN array_to_string(list_transform(regexp_extract_all(hex(c), '..'), lambda b: '\' || lpad((('0x' || b)::INT)::VARCHAR, 3, '0')), '') ELSE c END AS x FROM p),
+s AS (SELECT r, string_agg(x, '' ORDER BY i) AS safe FROM e GROUP BY r)
+SELECT doc_id, CASE WHEN text = '' THEN '' ELSE safe END AS safe FROM d LEFT JOIN s USING (r)
 """)
 def safe_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reports show the first 200 characters of a text."""
-    return read(spark, sf_dir, "documents").where("text <> ''").select("doc_id", n.safe_text(F.substring("text", 1, 200)).alias("safe"))
+    """Whole texts."""
+    return read(spark, sf_dir, "documents").select("doc_id", n.safe_text(F.col("text")).alias("safe"))
 
 
 @query("anonymize", f"""

@@ -42,15 +42,16 @@ def load_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("overlap", "WITH " + CUSTOMERS_SQL + """,
-l AS (SELECT custkey, orders AS v FROM c WHERE custkey % 3 <> 0), r AS (SELECT c_custkey AS custkey, c_nationkey::BIGINT AS v FROM customer WHERE c_custkey % 2 = 0),
+l AS (SELECT custkey, orders AS v FROM c WHERE orders > 3), r AS (SELECT c_custkey AS custkey, c_nationkey::BIGINT AS v FROM customer WHERE c_acctbal > 0),
 b AS (SELECT l.v AS l, r.v AS r FROM l FULL JOIN r ON l.custkey = r.custkey)
 SELECT 'left only' AS part, count(*) AS count, sum(l)::BIGINT AS value FROM b WHERE r IS NULL UNION ALL SELECT 'right only', count(*), sum(r)::BIGINT FROM b WHERE l IS NULL
 UNION ALL SELECT 'both, left value', count(*), sum(l)::BIGINT FROM b WHERE l IS NOT NULL AND r IS NOT NULL
 UNION ALL SELECT 'both, right value', count(*), sum(r)::BIGINT FROM b WHERE l IS NOT NULL AND r IS NOT NULL
 """)
 def overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = customers(spark, sf_dir).where("custkey % 3 <> 0").select("custkey", F.col("orders").alias("v"))
-    right = read(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").cast("long").alias("v"))
+    """Customers of several orders and customers with a balance above 0."""
+    left = customers(spark, sf_dir).where("orders > 3").select("custkey", F.col("orders").alias("v"))
+    right = read(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").cast("long").alias("v"))
     return p.overlap(left, right, "custkey", "v")
 
 

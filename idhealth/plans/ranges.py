@@ -20,13 +20,13 @@ def ip_to_asn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.interval_join(li, "l_partkey", blocks, "lo", "hi", "asn", 0, bits=8)
 
 
-_NETS = "n AS (SELECT (c_custkey * 37) % 20000 AS lo, (c_custkey * 37) % 20000 + (c_custkey * 13) % 200 AS hi, c_custkey % 5 AS value FROM customer WHERE c_custkey % 3 = 0)"
+_NETS = "n AS (SELECT (c_custkey * 37) % 20000 AS lo, (c_custkey * 37) % 20000 + (c_custkey * 13) % 200 AS hi, c_custkey % 5 AS value FROM customer)"
 
 
 def nets(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
     lo = (c * 37) % 20000
-    return read(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(lo.alias("lo"), (lo + (c * 13) % 200).alias("hi"), (c % 5).alias("value"))
+    return read(spark, sf_dir, "customer").select(lo.alias("lo"), (lo + (c * 13) % 200).alias("hi"), (c % 5).alias("value"))
 
 
 @query("net_match", f"""WITH {_NETS}, k AS (SELECT DISTINCT l_partkey FROM lineitem)
@@ -37,6 +37,35 @@ def net_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.most_specific(keys, "l_partkey", nets(spark, sf_dir), "lo", "hi", "value", bits=8)
 
 
+_BYTES = "b AS (SELECT DISTINCT substr(md5(p_partkey::VARCHAR), 1, 2) AS b FROM part), r AS (SELECT rpad(b, 32, '0') AS lo, rpad(b || '7', 32, 'f') AS hi, 'block ' || b AS value FROM b)"
+
+
+def byte_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of each block of addresses that the first byte of a part key's MD5 names."""
+    b = F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 2)
+    blocks = read(spark, sf_dir, "part").select(b.alias("b")).distinct()
+    return blocks.select(F.unhex(F.rpad("b", 32, "0")).alias("lo"), F.unhex(F.rpad(F.concat("b", F.lit("7")), 32, "f")).alias("hi"), F.concat(F.lit("block "), "b").alias("value"))
+
+
+@query("ip6_to_asn", f"WITH {_BYTES} SELECT o_orderkey, coalesce(value, 'none') AS value FROM orders LEFT JOIN r ON md5(o_orderkey::VARCHAR) BETWEEN lo AND hi")
+def ip6_to_asn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of 16 bytes, made from orders' keys."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.unhex(F.md5(F.col("o_orderkey").cast("string"))).alias("address"))
+    return r.interval_join_bytes(o, "address", byte_blocks(spark, sf_dir), "lo", "hi", "value", "none").select("o_orderkey", "value")
+
+
+@query("net6_match", f"""WITH {_BYTES}, s AS (SELECT DISTINCT substr(md5(s_suppkey::VARCHAR), 1, 3) AS b FROM supplier),
+n AS (SELECT lo, hi, value FROM r UNION ALL SELECT rpad(b, 32, '0'), rpad(b, 32, 'f'), 'net ' || b FROM s)
+SELECT o_orderkey, arg_max(value, (lo, translate(hi, '0123456789abcdef', 'fedcba9876543210'))) AS value FROM orders LEFT JOIN n ON md5(o_orderkey::VARCHAR) BETWEEN lo AND hi GROUP BY o_orderkey
+""")
+def net6_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = F.substring(F.md5(F.col("s_suppkey").cast("string")), 1, 3)
+    s = read(spark, sf_dir, "supplier").select(b.alias("b")).distinct()
+    nets = byte_blocks(spark, sf_dir).unionByName(s.select(F.unhex(F.rpad("b", 32, "0")).alias("lo"), F.unhex(F.rpad("b", 32, "f")).alias("hi"), F.concat(F.lit("net "), "b").alias("value")))
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.unhex(F.md5(F.col("o_orderkey").cast("string"))).alias("address"))
+    return r.most_specific_bytes(o, "address", nets, "lo", "hi", "value").select("o_orderkey", "value")
+
+
 @query("flatten_ranges", f"""WITH {_NETS},
 p AS (SELECT lo AS x FROM n UNION SELECT hi + 1 FROM n), s AS (SELECT x, lead(x) OVER (ORDER BY x) - 1 AS y FROM p),
 c AS (SELECT x, y, arg_max(value, (lo, -hi, -value)) AS value FROM s JOIN n ON lo <= x AND y <= hi GROUP BY x, y),

@@ -113,28 +113,26 @@ def resolver_subnets(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINES = "l AS (SELECT event_id, user_id, epoch_us(ts) AS us, event_type FROM events)"
 
 
-@query("rsv_log_parse", f"WITH {_LINES} SELECT event_id, us, '10.1.' || (user_id % 200)::VARCHAR || '.9' AS resolver, (1024 + event_id % 1000)::INT AS port, 'params' AS shape, 'u' || user_id::VARCHAR AS user, 'C' || (user_id % 9)::VARCHAR AS cc, user_id * 3 AS asn, us // 1000000 - 5 AS ad_time, '1.2.3.' || (user_id % 256)::VARCHAR AS client, event_type AS experiment FROM l")
+@query("rsv_log_parse", f"WITH {_LINES} SELECT event_id, us, '10.1.' || (user_id % 200)::VARCHAR || '.9' AS resolver, (1024 + event_id % 1000)::INT AS port, 'params' AS shape, 'u' || user_id::VARCHAR AS user, CASE WHEN user_id % 9 BETWEEN 1 AND 3 THEN ['AD', 'AE', 'AF'][user_id % 9] ELSE 'c' || (user_id % 9)::VARCHAR END AS cc, user_id * 3 AS asn, us // 1000000 - 5 AS ad_time, '1.2.3.' || (user_id % 256)::VARCHAR AS client, '0du' AS prefix, event_type AS experiment, event_id % 2 = 0 AS is_results, event_type || '.example.net' AS server FROM l")
 def rsv_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines are made from events and parsed back."""
     from idhealth.functions.times import micros
 
     e = read(spark, sf_dir, "events").withColumn("us", micros(F.col("ts")))
     u = F.col("user_id")
-    name = F.format_string("0du-u%d-cC%d-a%s-s%d-i010203%s-0.%s.ap.example.net", u, u % 9, F.lower(F.hex(u * 3)), F.floor(F.col("us") / 1_000_000) - 5, F.lpad(F.lower(F.hex(u % 256)), 2, "0"), F.col("event_type"))
+    results = F.when(F.col("event_id") % 2 == 0, "results-").otherwise("")
+    name = F.format_string("0du-%su%d-c%d-a%s-s%d-i010203%s-0.%s.example.net.", results, u, u % 9, F.lower(F.hex(u * 3)), F.floor(F.col("us") / 1_000_000) - 5, F.lpad(F.lower(F.hex(u % 256)), 2, "0"), F.col("event_type"))
     line = F.format_string("%d.%06d client 10.1.%d.9#%d: query: %s IN A -ED", F.floor(F.col("us") / 1_000_000), F.col("us") % 1_000_000, u % 200, 1024 + F.col("event_id") % 1000, name)
     lines = e.select("event_id", line.alias("value"))
-    got = rsvlog.parse(lines.select("value").distinct())
+    got = rsvlog.parse(lines.select("value").distinct(), codes=("AD", "AE", "AF"))
     joined = lines.join(got.withColumn("value_us", F.col("us")), F.regexp_extract("value", r"^(\d+)\.(\d{6})", 0) == F.format_string("%d.%06d", F.floor(F.col("us") / 1_000_000), F.col("us") % 1_000_000))
-    return joined.select("event_id", "us", "resolver", "port", "shape", "user", "cc", "asn", "ad_time", "client", "experiment")
+    return joined.select("event_id", "us", "resolver", "port", "shape", "user", "cc", "asn", "ad_time", "client", "prefix", "experiment", "is_results", "server")
 
 
-@query("explain_names", "WITH c AS (SELECT p_brand AS brand, p_type AS type, sum(p_size)::BIGINT AS inner_total, max(p_size) AS most FROM part GROUP BY ALL), t AS (SELECT brand, sum(inner_total)::BIGINT AS outer_total FROM c GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) SELECT brand, type, inner_total, most, outer_total FROM (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY inner_total DESC, type) AS r FROM c JOIN t USING (brand)) WHERE r <= 3")
+@query("explain_names", "WITH c AS (SELECT p_brand AS brand, p_type AS type, sum(p_size)::BIGINT AS inner_total, max(p_size) AS most FROM part GROUP BY ALL), t AS (SELECT brand, sum(inner_total)::BIGINT AS outer_total FROM c GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) SELECT brand, type, inner_total, most, outer_total FROM (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY inner_total DESC, type) AS r FROM c JOIN t USING (brand)) WHERE r <= 10")
 def explain_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_type").alias("type"), "p_size")
-    out = statistics.attach_totals(p, "brand", "type", "p_size", 10)
-    from pyspark.sql import Window
-
-    return out.withColumn("r", F.row_number().over(Window.partitionBy("brand").orderBy(F.col("inner_total").desc(), "type"))).where("r <= 3").drop("r")
+    return statistics.attach_totals(p, "brand", "type", "p_size", 10)
 
 
 @query("zone_dnssec", "WITH r AS (SELECT c_custkey AS zone, o_orderpriority AS algo, length(c_custkey::VARCHAR) = 2 AS s FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') o ON c_custkey = o_custkey), b AS (SELECT zone, s, count(algo) AS n FROM r GROUP BY ALL), a AS (SELECT zone, algo, count(*) AS c FROM r WHERE algo IS NOT NULL GROUP BY ALL) SELECT 'signed' AS metric, 'all' AS key, round(avg((n > 0)::INT), 9) AS value FROM b UNION ALL SELECT 'signed', 'short', round(avg((n > 0)::INT), 9) FROM b WHERE s UNION ALL SELECT 'algorithm', algo, round(sum(c::DOUBLE / n) / (SELECT count(*) FROM b), 9) FROM a JOIN b USING (zone) GROUP BY algo")
@@ -161,9 +159,11 @@ def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.sample(0.01, seed=7).union(li.orderBy("l_orderkey", "l_linenumber").limit(1)).distinct()
 
 
-@query("set_difference", "SELECT s_nationkey AS nation FROM supplier EXCEPT SELECT c_nationkey FROM customer WHERE c_acctbal > 9000")
+@query("set_difference", "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation")).subtract(read(spark, sf_dir, "customer").where("c_acctbal > 9000").select("c_nationkey"))
+    """Customers without an urgent order."""
+    urgent = read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey")
+    return read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey")).subtract(urgent)
 
 
 @query("set_equality", "WITH a AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY 1) SELECT (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) AS only_left, (SELECT count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_right")
