@@ -15,8 +15,11 @@ from .catalog import query, read
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder in spark.checkpoint.dir, which the cluster shares; where it is unset (tests) in an own one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
+    """A new folder in spark.checkpoint.dir, which the cluster shares; only a session in one process (tests) may leave it unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    base = base or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -54,6 +57,13 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_type", day, "count", micros(F.col("first_ts")).alias("first_us"), micros(F.col("last_ts")).alias("last_us"))
 
 
+@query("stream_capped_rows", "WITH e AS (SELECT user_id, epoch_us(ts) // 3600000000 AS h FROM events) SELECT user_id, sum(least(n, 2))::BIGINT AS kept FROM (SELECT user_id, h, count(*) AS n FROM e GROUP BY ALL) GROUP BY user_id")
+def stream_capped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a cap of two a client and hour keeps."""
+    s = events(spark, sf_dir).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("t"))
+    return ran(spark, stages.capped_rows(s, "user_id", "t", 2), "capped-rows").groupBy("user_id").agg(F.count("*").alias("kept"))
+
+
 @query("stream_capped", "WITH e AS (SELECT user_id, epoch_us(ts) // 3600000000 AS h FROM events) SELECT user_id, h AS hour, count(*) AS seen, least(count(*), 2) AS kept FROM e WHERE h < (SELECT max(h) - 1 FROM e) GROUP BY ALL")
 def stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = events(spark, sf_dir).withColumn("t", F.col("ts").cast("timestamp"))

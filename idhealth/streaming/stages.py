@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,47 +44,39 @@ def distinct_messages(stream: DataFrame, ts: str, keys: list[str], late: str = "
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
-def thresholds(stream: DataFrame, node: str, ts: str, hours: int, late: str = "1 day") -> DataFrame:
+def thresholds(stream: DataFrame, node: str, ts: str, hours: int, late: str = "1 day", keep_days: int = 60) -> DataFrame:
     """(node, mark, last): a node's rows reached the next multiple of `hours` of the day, or another day.
 
     The first row of a node stores the mark `hours` after midnight (the day's end if hours >= 24), and is reported if it
     is past it. A later row past the stored mark, or of a later day, reports the stored mark; the new mark is the least
-    multiple of `hours` after its time, or the day's end. Rows of one trigger are taken in order of time.
+    multiple of `hours` after its time, or the day's end. Rows of one trigger are taken in order of time; rows older than
+    the watermark are dropped. A node that is silent until the watermark is keep_days past its mark is forgotten.
     """
     kind = stream.schema[node].dataType.simpleString()
+    day, step = 86_400_000_000, hours * 3_600_000_000
 
-    def mark_of(t: pd.Timestamp, first: bool) -> pd.Timestamp:
-        day = t.normalize()
-        end = day + pd.Timedelta(days=1) - pd.Timedelta(microseconds=1)
-        if hours >= 24:
-            return end
-        step = pd.Timedelta(hours=hours)
-        mark = day + step if first else day + step * ((t - day) // step + 1)
-        return min(mark, end)
+    def mark_of(t: int, first: bool) -> int:
+        begin = t // day * day
+        return begin + day - 1 if hours >= 24 else min(begin + (step if first else step * ((t - begin) // step + 1)), begin + day - 1)
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        stored = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        out = []
-        times = pd.concat([f[ts] for f in frames]).sort_values()
-        for t in times:
-            t = pd.Timestamp(t)
-            if stored is None:
-                stored = mark_of(t, True)
-                if t <= stored:
-                    continue
-            elif t <= stored and t.normalize() <= stored.normalize():
-                continue
+        out, at = [], 0
+        times = np.sort(np.concatenate([f[ts].to_numpy("datetime64[us]").astype(np.int64) for f in frames]))
+        stored = state.get[0] if state.exists else mark_of(int(times[0]), True)
+        while (at := int(np.searchsorted(times, stored, "right"))) < len(times):  # the next row past the mark
+            t = int(times[at])
             out.append((key[0], stored, t))
             stored = mark_of(t, False)
-        state.update((int(stored.value // 1000),))
+        state.update((stored,))
+        state.setTimeoutTimestamp(max(stored // 1000, state.getCurrentWatermarkMs()) + keep_days * (day // 1000))
         if out:
-            yield pd.DataFrame(out, columns=["node", "mark", "last"])
+            yield pd.DataFrame(out, columns=["node", "mark", "last"]).astype({"mark": "datetime64[us]", "last": "datetime64[us]"})
 
     own = stream.select(F.col(node).alias("node"), F.col(ts).cast("timestamp").alias(ts)).withWatermark(ts, late)
-    return own.groupBy("node").applyInPandasWithState(run, f"node {kind}, mark timestamp, last timestamp", "mark long", "append", GroupStateTimeout.NoTimeout)
+    return own.groupBy("node").applyInPandasWithState(run, f"node {kind}, mark timestamp, last timestamp", "mark long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def pattern_days(stream: DataFrame, ts: str, cc: str | None, city: str | None, late: str = "1 day") -> DataFrame:
@@ -103,6 +96,23 @@ def capped(stream: DataFrame, key: str, ts: str, n: int, late: str = "1 hour") -
     return counts.select(key, F.col("w.start").alias("start"), "seen", F.least("seen", F.lit(n)).alias("kept"))
 
 
+def capped_rows(stream: DataFrame, key: str, ts: str, n: int, late: str = "1 hour") -> DataFrame:
+    """The rows that a cap of n a key and hour keeps: the first ones by trigger and time. Counts are forgotten once the watermark has passed the hour."""
+
+    def run(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen = state.get[0] if state.exists else 0
+        rows = pd.concat(list(frames)).sort_values(ts, kind="stable")
+        state.update((seen + len(rows),))
+        state.setTimeoutTimestamp(max(int(group[1].timestamp() * 1000) + 3_600_000, state.getCurrentWatermarkMs() + 1))
+        yield rows.head(max(0, n - seen)).drop(columns=["hour_"])
+
+    own = stream.withWatermark(ts, late).withColumn("hour_", F.date_trunc("hour", ts))
+    return own.groupBy(key, "hour_").applyInPandasWithState(run, stream.schema, "seen long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def run_once(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Runs a query over what its sources have now, and writes Parquet."""
     df.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
