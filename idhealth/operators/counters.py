@@ -111,3 +111,30 @@ def coverage(counts: DataFrame, registry: DataFrame) -> DataFrame:
         share(F.sum(F.when(F.col("registered").isNotNull() & F.col("count").isNotNull(), 1).otherwise(0)), F.count("registered")).alias("seen_share"),
         share(F.sum(F.when(F.col("registered").isNull(), F.col("count")).otherwise(0)), F.sum("count")).alias("unregistered_share"),
     )
+
+
+def extract(summary: DataFrame, registry: str) -> DataFrame:
+    """(key, count) of one registry."""
+    return summary.where(F.col("registry") == registry).select("key", "count")
+
+
+def lookup(summary: DataFrame, wanted: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """One row with a column for each wanted (registry, key): its counter, 0 if absent. All lookups are one pass."""
+    cells = [F.coalesce(F.sum(F.when((F.col("registry") == r) & (F.col("key") == k), F.col("count"))), F.lit(0)).cast("long").alias(n) for n, (r, k) in wanted.items()]
+    return summary.agg(*cells)
+
+
+def non_tiny(df: DataFrame, total: str, least: int = 1000) -> DataFrame:
+    """Rows with more than `least` in all."""
+    return df.where(F.col(total) > least)
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first n rows in order, as a capture's first packets."""
+    return df.orderBy(*order).limit(n)
+
+
+def sampled_largest(df: DataFrame, key: str, value: str, rows: int = 13, seed: int = 0) -> DataFrame:
+    """Of a random sample of `rows` rows (by a hash of key and seed, so that reruns agree) the one with the greatest value; ties by key."""
+    drawn = df.orderBy(F.md5(F.concat(F.lit(f"{seed} "), F.col(key).cast("string"))), key).limit(rows)
+    return drawn.orderBy(F.col(value).desc(), key).limit(1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idhealth.operators.counters import coverage, densify, keep_share, remainder, share, shares
+from idhealth.operators.counters import coverage, densify, extract, keep_share, lookup, remainder, share, shares
 from idhealth.operators.populations import concentration
 from idhealth.operators.statistics import mean_by_key, zone_dnssec
 
@@ -234,6 +234,16 @@ def metrics_m4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m4(message_summary(spark, sf_dir)).withColumn("value", F.round("value", 9))
 
 
+@query("lookup", SUMMARY_SQL + "SELECT (SELECT nx::BIGINT FROM q) AS nx, (SELECT count(*) FROM dns WHERE k % 4 = 2) AS useful_2, 0::BIGINT AS absent")
+def lookup_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup(message_summary(spark, sf_dir), {"nx": ("root-QR", "3"), "useful_2": ("UsefulQueries", "2"), "absent": ("root-QR", "99")})
+
+
+@query("extract", SUMMARY_SQL + "SELECT tld AS key, count(*) AS count FROM dns WHERE rcode = 3 GROUP BY 1")
+def extract_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(message_summary(spark, sf_dir), "LeakedTLD")
+
+
 @query("metrics_m6", """WITH c AS (SELECT l_returnflag AS t, l_linenumber::VARCHAR AS key, count(*) AS n FROM lineitem GROUP BY ALL), r AS (SELECT DISTINCT l_returnflag AS t, ((s_suppkey % 6) * 2)::VARCHAR AS key FROM supplier, (SELECT DISTINCT l_returnflag FROM lineitem))
 SELECT metric, key, round(value, 9) AS value FROM (
   SELECT 'M6.' || r.t || '.1' AS metric, '' AS key, count(c.key)::DOUBLE / count(*) AS value FROM r LEFT JOIN c ON r.t = c.t AND r.key = c.key GROUP BY r.t

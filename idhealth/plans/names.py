@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from idhealth.functions import names as n
 from idhealth.functions import sketches
+from idhealth.operators import leaks
 
 from .catalog import query, read
 
@@ -53,6 +54,12 @@ def leak_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made_names(spark, sf_dir).select("event_id", n.leak_type(F.col("name"), ("HOME", "CORP")).alias("leak"))
 
 
+@query("extract_names", f"WITH {_NAMES} SELECT event_id, name FROM x WHERE event_id % 11 = 2")
+def extract_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that are IPv4 addresses."""
+    return leaks.extract_names(made_names(spark, sf_dir), "name", "ipv4", 4).select("event_id", "name")
+
+
 @query("tld_check", f"""WITH {_NAMES}, t AS (SELECT *, {_T} AS t FROM x)
 SELECT event_id, regexp_matches(t, '[^\\x21-\\x7E]') AS is_binary, NOT regexp_full_match(t, '[A-Za-z0-9-]+') AS is_wrong_syntax, regexp_full_match(t, '-?[0-9]+') AS is_numeric FROM t
 """)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idhealth.operators import rsvlog, statistics
+from idhealth.operators import counters, rsvlog, statistics
 
 from .catalog import query, read
 from .traffic import MESSAGES_SQL, messages
@@ -152,6 +152,21 @@ def head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice").orderBy(F.col("l_extendedprice").desc(), "l_orderkey", "l_linenumber").limit(200)
 
 
+@query("non_tiny", "SELECT l_suppkey, count(*) AS total FROM lineitem GROUP BY 1 HAVING count(*) > 50")
+def non_tiny(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counters.non_tiny(read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("total")), "total", 50)
+
+
+@query("first_messages", MESSAGES_SQL + "SELECT msg_id, us, tld FROM dns ORDER BY us, msg_id LIMIT 500")
+def first_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counters.first_rows(messages(spark, sf_dir).select("msg_id", "us", "tld"), ["us", "msg_id"], 500)
+
+
+@query("sampled_largest", "SELECT * FROM (SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5('7 ' || o_orderkey::VARCHAR), o_orderkey LIMIT 13) ORDER BY o_totalprice DESC, o_orderkey LIMIT 1")
+def sampled_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counters.sampled_largest(read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", "o_totalprice", seed=7)
+
+
 @query("sample")
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One percent of the line items, at least the first one."""

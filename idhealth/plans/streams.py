@@ -57,6 +57,17 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_type", day, "count", micros(F.col("first_ts")).alias("first_us"), micros(F.col("last_ts")).alias("last_us"))
 
 
+@query("stream_node_series", "WITH e AS (SELECT event_type, user_id, epoch_us(ts) // 86400000000 AS d FROM events) SELECT event_type, d AS day, count(*) AS rows, sum(coalesce(n_nationkey, 0))::BIGINT AS n_nationkey FROM e JOIN (SELECT c_custkey, n_nationkey FROM customer JOIN nation ON c_nationkey = n_nationkey) ON user_id = c_custkey WHERE d < (SELECT max(d) - 1 FROM e) GROUP BY ALL")
+def stream_node_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events joined with their customer's nation, summed by day and event type; days that are surely final."""
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("long").alias("n_nationkey"))
+    s = events(spark, sf_dir).withColumn("t", F.col("ts").cast("timestamp"))
+    out = ran(spark, stages.node_series(stages.analyzed(s, c, "user_id"), "t", "event_type", ["n_nationkey"], 24), "series")
+    day = F.floor(micros(F.col("start")) / 86_400_000_000)
+    last = F.broadcast(read(spark, sf_dir, "events").agg((F.max(F.floor(micros(F.col("ts")) / 86_400_000_000)) - 1).alias("last")))  # one row
+    return out.withColumn("day", day).crossJoin(last).where("day < last").select("event_type", "day", "rows", "n_nationkey")
+
+
 @query("stream_capped_rows", "WITH e AS (SELECT user_id, epoch_us(ts) // 3600000000 AS h FROM events) SELECT user_id, sum(least(n, 2))::BIGINT AS kept FROM (SELECT user_id, h, count(*) AS n FROM e GROUP BY ALL) GROUP BY user_id")
 def stream_capped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a cap of two a client and hour keeps."""

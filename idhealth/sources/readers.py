@@ -97,10 +97,14 @@ def read_zone(spark: SparkSession, path: Paths) -> DataFrame:
 
 
 def read_m5(spark: SparkSession, path: Paths) -> DataFrame:
-    """(key, value) of survey files: an array of objects with keys M5.x.y; nulls are skipped."""
+    """(key, value) of survey files: an array of objects with keys M5.x.y; nulls are skipped. Of a broken file what can be read is kept."""
     text = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True)
-    one = F.explode(F.from_json("value", "array<map<string,string>>"))
-    return text.select(one.alias("m")).select(F.explode("m").alias("key", "v")).where("key LIKE 'M5.%'").select("key", F.col("v").try_cast("double").alias("value")).where("value IS NOT NULL")
+    parsed = F.from_json("value", "array<map<string,string>>")
+    cell = r'"(M5\.[0-9.]+)"\s*:\s*"?(-?[0-9.]+)'
+    pieces = F.transform(F.filter(F.split("value", "[{}]"), lambda x: x.rlike(cell)), lambda v: F.transform(F.regexp_extract_all(v, F.lit(cell), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, cell, 1).alias("key"), F.regexp_extract(x, cell, 2).alias("v"))))
+    whole = F.flatten(F.transform(parsed, lambda m: F.transform(F.map_entries(m), lambda x: F.struct(x["key"].alias("key"), x["value"].alias("v")))))
+    broken = parsed.isNull() | F.exists(parsed, lambda m: m.isNull())
+    return text.select(F.inline(F.when(broken, F.flatten(pieces)).otherwise(whole))).where("key LIKE 'M5.%'").select("key", F.col("v").try_cast("double").alias("value")).where("value IS NOT NULL")
 
 
 def read_address(spark: SparkSession, path: Paths) -> DataFrame:

@@ -113,6 +113,17 @@ def capped_rows(stream: DataFrame, key: str, ts: str, n: int, late: str = "1 hou
     return own.groupBy(key, "hour_").applyInPandasWithState(run, stream.schema, "seen long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def analyzed(stream: DataFrame, slices: DataFrame, path: str = "path") -> DataFrame:
+    """Messages with their slice's row of counters (slices: a static table with a column named like path), for further stages to use; messages without one wait for no one and are dropped."""
+    return stream.join(slices, path)
+
+
+def node_series(stream: DataFrame, ts: str, node: str, values: list[str], hours: int, late: str = "1 day") -> DataFrame:
+    """A point of each node's series for each window: number of rows, and the sum of each value; final once the watermark has passed the window."""
+    own = stream.withWatermark(ts, late).groupBy(F.window(ts, f"{hours} hours").alias("w"), node).agg(F.count("*").alias("rows"), *[F.sum(v).alias(v) for v in values])
+    return own.select(node, F.col("w.start").alias("start"), "rows", *values)
+
+
 def run_once(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Runs a query over what its sources have now, and writes Parquet."""
     df.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

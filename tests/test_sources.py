@@ -23,6 +23,13 @@ def test_summary_round_trip(spark, tmp_path):
     assert {tuple(r)[:4] for r in readers.read_summary(spark, str(tmp_path / "out")).collect()} == {("CLASS", 0, "1", 25), ("LeakedTLD", 1, "HOME", 3)}
 
 
+def test_broken_survey_file(spark, tmp_path):
+    put(tmp_path / "good.json", '[{"Date": "x", "M5.1.1": 3, "M5.1.2": null}, {"M5.1.1": 4}]')
+    put(tmp_path / "bad.json", '[{"M5.7.1": 12, "M5.7.2": null, "M5.7.10": 2}, {"M5.7.1": 13, "M5.')
+    got = sorted((r.key, r.value) for r in readers.read_m5(spark, [str(tmp_path / "good.json"), str(tmp_path / "bad.json")]).collect())
+    assert got == [("M5.1.1", 3.0), ("M5.1.1", 4.0), ("M5.7.1", 12.0), ("M5.7.1", 13.0), ("M5.7.10", 2.0)]
+
+
 def test_metrics_latest_day_and_bad_dates(spark, tmp_path):
     put(tmp_path / "M7-2017-02-27.csv", "M7.1,2017-02-27,v2, , 0.5,\n")
     put(tmp_path / "M7-2017-02-28.csv", 'M7.1,2017-02-31,v2, , 0.25,\n"M7.3",2017-02-28,v2,8,0.75,\n\n')
