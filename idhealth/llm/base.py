@@ -40,7 +40,23 @@ def _own_dir(app: str) -> str:
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder that doesn't exist yet; clean() deletes all that a session got."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_given: dict[str, list[str]] = {}
+
+
+def clean(spark: SparkSession) -> int:
+    """Deletes the intermediate tables, packs and archives of this application so far, and says how many. Results must have been read or written before."""
+    paths = _given.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

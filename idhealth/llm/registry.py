@@ -29,6 +29,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat": chat.OP2_SQL,
+        "op4_suffix_dedup": suffixdedup.OP4_SQL,
         "op5_decontaminate": decontaminate.OP5_SQL,
         "op7_warc": warc.OP7_SQL,
         "op8_mix": mixing.OP8_SQL,

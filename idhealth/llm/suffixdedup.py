@@ -334,3 +334,20 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"))
+
+
+#: Every string of LENGTH bytes by its MD5; texts are cut into blocks first, as taking a part of a long string is slow.
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS x FROM documents),
+j AS (SELECT r, x, length(x) // 2 AS n, unnest(range(0, length(x) // 2 - 199, 500)) AS j FROM d WHERE length(x) >= 400),
+y AS (SELECT r, j, n, substr(x, 2 * j + 1, 1400) AS y FROM j),
+w AS (SELECT r, j + i AS i, md5(substr(y, 2 * i + 1, 400)) AS h FROM (SELECT r, j, y, unnest(range(0, least(500, n - 199 - j))) AS i FROM y)),
+t AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+s AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM w SEMI JOIN t ON w.h = t.h),
+u AS (SELECT r, i, sum((before IS NULL OR i > before + 200)::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM s),
+g AS (SELECT r, run, min(i) AS b, max(i) + 200 AS e FROM u GROUP BY ALL),
+p AS (SELECT r, b, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY b), 0) AS a FROM g),
+k AS (SELECT r, count(*)::BIGINT AS n_spans, sum(e - b)::BIGINT AS n_removed, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY b) AS head, max(e) AS last FROM p JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(CASE WHEN last IS NULL THEN x ELSE head || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

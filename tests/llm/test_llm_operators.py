@@ -64,6 +64,17 @@ def slow_words(text):
     return out + ([cur] if cur else [])
 
 
+def test_intermediate_tables_can_be_cleaned(spark, tmp_path):
+    import os
+
+    from idhealth.llm import base
+
+    base.clean(spark)
+    base.written(spark.range(3).toDF(), "t-clean").count()
+    path = base._given[spark.sparkContext.applicationId][0].removeprefix("file://")
+    assert os.path.isdir(path) and base.clean(spark) == 1 and not os.path.exists(path) and base.clean(spark) == 0
+
+
 def test_words_and_hashes(texts):
     given = ["Ab,céD 12", None, "", "x", "  ", "Éa BÉ"]
     data, offsets = textflat.flat(pa.array(given))
@@ -622,7 +633,24 @@ def test_url_keys(spark):
     assert got == ["c,b,a)/x?y=1", "", "nonsense"]
 
 
+def test_equal_records_are_alike(spark):
+    rows = [(5, "http://a.example", "same"), (5, "http://a.example", "same"), (4, "http://a.example", "same"), (5, "http://b.example", "same"), (3, None, "same")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.record_type, r.refers_to or 0) for r in warc.archive_pages(df, new_dir(spark, "t-warc"), new_dir(spark, "t-cdx")).collect())
+    # the greatest (page_id, url) is the response
+    assert got == [(3, "revisit", 5), (4, "revisit", 5), (5, "response", 0), (5, "revisit", 5), (5, "revisit", 5)]
+
+
 # 8 -----------------------------------------------------------------------------------------------------------------
+def test_mix_takes_equal_ids_alike(spark):
+    df = spark.createDataFrame([(i // 2, "a b c", f"s{i % 2}") for i in range(40)] + [(None, "x", None), (None, "y z", None), (1, None, "s1")], "doc_id long, text string, source string")
+    got = mixing.mix(df).collect()
+    assert len(got) == 43
+    for s in ("s0", "s1", None):
+        for i in {r.doc_id for r in got if r.source == s}:
+            assert len({r.taken // r.size for r in got if r.source == s and r.doc_id == i and r.size}) <= 1
+
+
 def test_mix(docs):
     got = mixing.mix(docs).collect()
     by = defaultdict(list)
