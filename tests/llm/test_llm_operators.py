@@ -70,7 +70,7 @@ def test_intermediate_tables_can_be_cleaned(spark, tmp_path):
     from idhealth.llm import base
 
     base.clean(spark)
-    base.written(spark.range(3).toDF(), "t-clean").count()
+    base.written(spark.range(3), "t-clean").count()
     path = base._given[spark.sparkContext.applicationId][0].removeprefix("file://")
     assert os.path.isdir(path) and base.clean(spark) == 1 and not os.path.exists(path) and base.clean(spark) == 0
 
