@@ -28,6 +28,8 @@ LENGTH, GRAM = 200, 48
 PLACE_BITS = 27
 #: Rows that a bucket's sort holds at once. Equal leading tokens can't be split over buckets, so the strings of a group with more are counted one by one.
 BUCKET_ROWS = 40_000
+#: Groups that may be broadcast: two numbers each, about 40 MB as a hash relation.
+BROADCAST_GROUPS = 1_000_000
 #: place: the anchor's byte, then how far before it its strings start at most and at least, 8 bits each.
 ANCHORS = "doc binary, h long, place long"
 
@@ -273,9 +275,9 @@ def spans(docs: DataFrame) -> DataFrame:
     docs = docs.join(small_side(copies), "doc", "left").where("rep IS NULL OR id = rep").select("doc", "text")
     found = docs.mapInArrow(anchor_rows, ANCHORS)
     # rows of one document count too: a string may repeat within it
-    groups = small_side(written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-groups"))
-    open_ = found.join(groups, "h").select("doc", F.struct("place", "h", (F.col("n") > BUCKET_ROWS).alias("hot")).alias("a"))
-    lists = open_.groupBy("doc").agg(F.collect_list("a").alias("a"))
+    groups = written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-groups")
+    open_ = found.join(small_side(groups, BROADCAST_GROUPS), "h").select("doc", F.struct("place", "h", (F.col("n") > BUCKET_ROWS).alias("hot")).alias("a"))
+    lists = written(open_.groupBy("doc").agg(F.collect_list("a").alias("a")), "suffix-anchors")
     wanted = docs.select("doc", "text").join(lists, "doc")
     schema = "doc binary, pos int, low int, high int, h long, lead binary, body binary"
     normal = wanted.select("doc", "text", F.filter("a", lambda x: ~x["hot"]).alias("a")).where(F.size("a") > 0)
@@ -285,7 +287,8 @@ def spans(docs: DataFrame) -> DataFrame:
     # Spark samples the splitters; equal leading tokens and hashes meet in one bucket, so no match crosses a boundary
     buckets = suffixes.repartitionByRange(parts, "lead", "h").sortWithinPartitions("lead", "h")
     sorted_spans = buckets.mapInArrow(bucket_rows, "doc binary, b int, e int")
-    strings = written(hot.mapInArrow(suffix_rows, schema).select("doc", "low", "body").mapInArrow(string_rows, "doc binary, s int, f binary"), "suffix-strings")
+    strings = hot if groups.where(F.col("n") > BUCKET_ROWS).take(1) else hot.limit(0)
+    strings = written(strings.mapInArrow(suffix_rows, schema).select("doc", "low", "body").mapInArrow(string_rows, "doc binary, s int, f binary"), "suffix-strings")
     twice = small_side(written(strings.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "suffix-twice"))  # written: Spark can then split a hot string
     hot_spans = strings.join(twice, "f").select("doc", F.col("s").alias("b"), (F.col("s") + LENGTH).alias("e")).distinct()
     all_spans = sorted_spans.unionByName(hot_spans)
