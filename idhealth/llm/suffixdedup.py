@@ -287,7 +287,7 @@ def spans(docs: DataFrame) -> DataFrame:
     # Spark samples the splitters; equal leading tokens and hashes meet in one bucket, so no match crosses a boundary
     buckets = suffixes.repartitionByRange(parts, "lead", "h").sortWithinPartitions("lead", "h")
     sorted_spans = buckets.mapInArrow(bucket_rows, "doc binary, b int, e int")
-    strings = hot if groups.where(F.col("n") > BUCKET_ROWS).take(1) else hot.limit(0)
+    strings = hot if groups.where(F.col("n") > BUCKET_ROWS).take(1) else hot.where(F.lit(False))
     strings = written(strings.mapInArrow(suffix_rows, schema).select("doc", "low", "body").mapInArrow(string_rows, "doc binary, s int, f binary"), "suffix-strings")
     twice = small_side(written(strings.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "suffix-twice"))  # written: Spark can then split a hot string
     hot_spans = strings.join(twice, "f").select("doc", F.col("s").alias("b"), (F.col("s") + LENGTH).alias("e")).distinct()
