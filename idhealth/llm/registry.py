@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chaining, chat, decontaminate, media, mixing, neardup, quality, suffixdedup, warc, wrapper
+from . import chaining, chat, decontaminate, media, merkle, mixing, neardup, quality, simhash, suffixdedup, trie, warc, wrapper
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,9 @@ def queries() -> dict[str, Query]:
         "op8_mix": mixing.op8_mix,
         "op9_quality": quality.op9_quality,
         "op10_media": media.op10_media,
+        "op11_prefix_trie": trie.op11_prefix_trie,
+        "op12_simhash": simhash.op12_simhash,
+        "op13_manifest": merkle.op13_manifest,
     }
 
 
@@ -33,4 +36,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_decontaminate": decontaminate.OP5_SQL,
         "op7_warc": warc.OP7_SQL,
         "op8_mix": mixing.OP8_SQL,
+        "op11_prefix_trie": trie.OP11_SQL,
+        "op13_manifest": merkle.OP13_SQL,
     }
