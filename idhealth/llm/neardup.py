@@ -28,8 +28,12 @@ SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 20, 4
 LOOSE, GROWTH = 8, 8
 
 
-def weighted_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, distinct shingle hashes and their weights (1 + ln of the count), by row."""
+def weighted_shingles(column: pa.Array, by_count: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, distinct shingle hashes and their weights, by row.
+
+    Every weight is 1, by which the probability Jaccard is the set Jaccard that links are judged by: a line that one of two
+    texts repeats must not keep them from sharing a band. by_count weighs a shingle by 1 + ln of its count.
+    """
     data, offsets = tf.flat(column)
     row, _, _, h = tf.words(data, offsets)
     g, grow = tf.shingles(h, row, len(column), SHINGLE)
@@ -39,7 +43,7 @@ def weighted_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
     new[1:] = (g[1:] != g[:-1]) | (grow[1:] != grow[:-1])
     at = np.flatnonzero(new)
     count = np.diff(np.append(at, len(g)))
-    return grow[at], g[at], 1 + np.log(count)
+    return grow[at], g[at], 1 + np.log(count) if by_count else np.ones(len(at))
 
 
 def prob_min_hash(row: np.ndarray, g: np.ndarray, weight: np.ndarray, rows: int, m: int) -> np.ndarray:

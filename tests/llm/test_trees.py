@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from idhealth.llm import merkle, simhash, trie
+from idhealth.llm import merkle, neardup, simhash, trie
 
 
 def sha(x: str) -> str:
@@ -289,3 +289,28 @@ def test_fold_resumes_states():
     changed[11] = sha("new").encode()
     blind = [([b"forgotten" if j < i else x for j, x in enumerate(level)], states) for (level, states), i in zip(steps, (11, 1), strict=True)]
     assert merkle.fold(blind, 11, changed[11]) == merkle.climb(changed, 2)[1] != top
+
+
+# --- near-duplicates whose lines repeat ---
+
+
+@pytest.mark.parametrize("repeats", [1, 30, 300])
+def test_repeated_lines_keep_links(spark, repeats):
+    """Pairs at set Jaccard 0.83 are linked however often one text repeats a line."""
+    rng = random.Random(repeats)
+    texts = []
+    for _ in range(200):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(200)]
+        other = [*words[:185], *(f"v{rng.randint(0, 10**6)}" for _ in range(15))]
+        line = " ".join(words[:9])
+        texts += [" ".join(words) + ("\n" + line) * repeats, " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()}
+
+    def grams(t):
+        w = t.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    alike = [i for i in range(0, 400, 2) if len(grams(texts[i]) & grams(texts[i + 1])) >= 0.8 * len(grams(texts[i]) | grams(texts[i + 1]))]
+    assert len(alike) > 150
+    assert all(got[i + 1] == i for i in alike)
