@@ -38,3 +38,24 @@ def option_hash(code: Column) -> Column:
     """6-bit fold of an option code."""
     c = code.bitwiseXOR(F.shiftright(code, 6)).bitwiseXOR(F.shiftright(code, 12))
     return c.bitwiseAND(F.lit(63))
+
+
+def option_codes(rdata: Column) -> Column:
+    """Codes of the EDNS options in an OPT record's data, in order; an option that is cut off still counts, as its code was read."""
+    text = F.hex(rdata)
+    size = F.octet_length(rdata)
+    pair = lambda at: F.conv(F.substr(text, at * 2 + 1, F.lit(4)), 16, 10).cast("int")
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("codes"))
+
+    def step(s: Column, _: Column) -> Column:
+        more = F.struct((s["at"] + 4 + pair(s["at"] + 2)).alias("at"), F.array_append(s["codes"], pair(s["at"])).alias("codes"))
+        return F.when(s["at"] + 4 <= size, more).otherwise(s)
+
+    # no more options than four bytes each
+    return F.aggregate(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(size / 4).cast("int"))), start, step)["codes"]
+
+
+def flag_numbers(bits: Column, n: int = 16) -> Column:
+    """Numbers of the flags that are set in an n-bit field, 0 the highest."""
+    text = F.lpad(F.bin(bits), n, "0")
+    return F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.substr(text, i + 1, F.lit(1)) == "1")

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idhealth.operators.counters import coverage, densify, extract, keep_share, lookup, remainder, share, shares
+from idhealth.functions.names import RFC6761
+from idhealth.operators.counters import coverage, keep_share, remainder, share
 from idhealth.operators.populations import concentration
 from idhealth.operators.statistics import mean_by_key, zone_dnssec
 
 from .catalog import query, read
-from .traffic import MESSAGES_SQL, messages
 
 
 def long_rows(df: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -53,16 +53,40 @@ def m2(abuse: DataFrame, source: int, name: str = "name") -> DataFrame:
     return k.select(F.explode(cells).alias("x")).select("x.*")
 
 
-def listed(summary: DataFrame, registry: str, metric: str, base: Column, least: float = 0.0) -> DataFrame:
-    """Shares of a registry's keys in `base` (a total of the summary), small ones left out if the list is long."""
-    total = summary.agg(base.alias("base_"))
-    rows = summary.where(F.col("registry") == registry).crossJoin(F.broadcast(total)).select(F.lit(metric).alias("metric"), "key", share(F.col("count"), F.col("base_")).alias("value"))  # one row
-    return keep_share(rows, ["metric"], "value", least)
+#: Registry, its metric, what stands before or for its keys, the base of its shares, and the least share in a long list.
+Listing = tuple[str, str, Column, str, float]
+
+
+def listed(summary: DataFrame, bases: DataFrame, listings: Sequence[Listing]) -> DataFrame:
+    """(metric, key, value) of whole registries in one pass: each key's share in a base (a column of the one row `bases`), small ones left out of long lists."""
+    name, metric, key, base = F.col("registry"), F.lit(None), F.lit(None), F.lit(None)
+    least = F.lit(0.0)
+    for registry, m, k, b, smallest in listings:
+        here = name == registry
+        metric, key, base, least = F.when(here, m).otherwise(metric), F.when(here, k).otherwise(key), F.when(here, F.col(b)).otherwise(base), F.when(here, F.lit(smallest)).otherwise(least)
+    rows = summary.where(name.isin(*[x[0] for x in listings])).crossJoin(F.broadcast(bases))  # one row
+    rows = rows.select("registry", metric.alias("metric"), key.alias("key"), share(F.col("count"), base).alias("value"), least.alias("least_"))
+    return keep_share(rows, ["registry"], "value", F.col("least_")).select("metric", "key", "value")
+
+
+def rest_of(scalars: DataFrame, of_: Column, lists: DataFrame, metrics: Sequence[str], metric: str) -> DataFrame:
+    """What lists leave of a share, as one row."""
+    sums = lists.where(F.col("metric").isin(*metrics)).agg(F.sum("value").alias("listed"))
+    return scalars.select(of_.alias("base_")).crossJoin(sums).select(F.lit(metric).alias("metric"), F.lit("").alias("key"), remainder(F.col("base_"), F.col("listed")).alias("value"))  # one row each
+
+
+#: Labels that a name has at most in M3.10; names with more count here.
+MOST_LABELS = 34
 
 
 def m3(summary: DataFrame) -> DataFrame:
-    """Root traffic: NX share, repeats, leak shares by class, EDNS, DO, name minimisation, recursion, probes, names by number of labels (0 to 34 and more)."""
+    """Root traffic: NX share, repeats, leak shares by class, EDNS, DO, name minimisation, recursion, probes, names by number of labels (0 to 34 and more).
+
+    One aggregate gives all scalars, bases and label counts, one pass all lists.
+    """
     n = of("root-QR", "0") + of("root-QR", "3")
+    parts = [of("NAME_PARTS_COUNT", str(i)) for i in range(MOST_LABELS)]
+    parts.append(total_of("NAME_PARTS_COUNT") - sum(parts[1:], parts[0]))
     scalars = summary.agg(
         share(of("root-QR", "3"), n).alias("M3.1"),
         share(of("UsefulQueries", "0"), of("UsefulQueries", "0") + of("UsefulQueries", "1")).alias("M3.2"),
@@ -71,32 +95,33 @@ def m3(summary: DataFrame) -> DataFrame:
         key_share("DNSSEC_Client_Usage").alias("M3.5"),
         key_share("QNAME_MINIMIZATION_USAGE").alias("M3.6"),
         key_share("SENDING_RECURSIVE_SET").alias("M3.8"),
-        share(total_of("CHROMIUM_PROBES"), total_of("CHROMIUM_LEAK_REF")).alias("M3.9"),
-    )
-    out = long_rows(scalars, {c: F.col(f"`{c}`") for c in scalars.columns}).where("metric <> 'M3.3.5' OR value > 0")
-    lists = [listed(summary, "RFC6761Usage", "M3.3.1", n), listed(summary, "LeakedTLD", "M3.3.2", n, 0.001).where("key <> 'ARPA'"), listed(summary, "LeakByLength", "M3.3.3", n), listed(summary, "Leaked2ndLD", "M3.7", n, 0.001)]
-    for x in lists:
-        out = out.unionByName(x)
-    options = summary.agg(of("EDNS_OPTIONS_TOTAL_QUERIES", "0").alias("base_"))
-    out = out.unionByName(summary.where("registry = 'EDNS_OPTIONS_USAGE'").crossJoin(F.broadcast(options)).select(F.lit("M3.4.2").alias("metric"), "key", share(F.col("count"), F.col("base_")).alias("value")))  # one row
-    labels = summary.where("registry = 'DNS_NAME_PARTS_COUNT'").groupBy(F.least(F.col("key").try_cast("int"), F.lit(34)).alias("key")).agg(F.sum("count").alias("count"))
-    labels = shares(densify(labels, "key", summary.sparkSession.range(35).select(F.col("id").cast("int").alias("key")), {"count": 0}), [], "count")
-    out = out.unionByName(labels.select(F.lit("M3.10").alias("metric"), F.col("key").cast("string").alias("key"), F.col("share").alias("value")))
-    parts = out.where("metric IN ('M3.3.1', 'M3.3.2', 'M3.3.3')").agg(F.sum("value").alias("listed"))
-    rest = scalars.select("`M3.1`").crossJoin(parts)  # one row each
-    return out.unionByName(rest.select(F.lit("M3.3.4").alias("metric"), F.lit("").alias("key"), remainder(F.col("`M3.1`"), F.col("listed")).alias("value")))
+        share(total_of("CHROMIUM_PROBES"), of("CHROMIUM_LEAK_REF", "0")).alias("M3.9"),
+        F.array(*parts).alias("parts_"), n.alias("n_"), of("EDNS_OPTIONS_TOTAL_QUERIES", "0").alias("options_"),
+    )
+    out = long_rows(scalars, {c: F.col(f"`{c}`") for c in scalars.columns if c.startswith("M")}).where("metric <> 'M3.3.5' OR value > 0")
+    key, number = F.col("key"), F.regexp_extract("key", r"(\d+)$", 1)
+    listings: list[Listing] = [
+        ("RFC6761-TLD", "M3.3.1", key, "n_", 0.0), ("LeakedTLD", "M3.3.2", key, "n_", 0.001), ("LeakByLength", "M3.3.3", F.concat(F.lit("length_"), number), "n_", 0.001),
+        ("CHROMIUM_PROBES", "M3.3.3", F.concat(F.lit("chr_"), number), "n_", 0.001), ("LeakedTLD_BINARY", "M3.3.3", F.lit("binary"), "n_", 0.0), ("LeakedTLD_SYNTAX", "M3.3.3", F.lit("bad_syntax"), "n_", 0.0),
+        ("LeakedTLD_IPV4", "M3.3.3", F.lit("ipv4"), "n_", 0.0), ("LeakedTLD_NUMERIC", "M3.3.3", F.lit("numeric"), "n_", 0.0), ("Leaked2ndLD", "M3.7", key, "n_", 0.001),
+        ("EDNS_OPTIONS_USAGE", "M3.4.2", key, "options_", 0.0),
+    ]
+    lists = listed(summary, scalars.select("n_", "options_"), listings).where("metric <> 'M3.3.2' OR key <> 'ARPA'")
+    labels = scalars.select(F.posexplode("parts_").alias("i", "c"), F.aggregate("parts_", F.lit(0).cast("long"), lambda a, x: a + x).alias("all_"))
+    labels = labels.select(F.lit("M3.10").alias("metric"), F.col("i").cast("string").alias("key"), share(F.col("c"), F.col("all_")).alias("value"))
+    return out.unionByName(lists).unionByName(labels).unionByName(rest_of(scalars, F.col("`M3.1`"), lists, ("M3.3.1", "M3.3.2", "M3.3.3"), "M3.3.4"))
 
 
 def m4(summary: DataFrame) -> DataFrame:
     """Recursive traffic: share of delegated names, special-use and frequent names, rest, DO."""
     total = total_of("TLD-Usage-Count")
-    s = summary.agg(key_share("TLD-Usage-Count").alias("M4.1"), key_share("DNSSEC_Client_Usage").alias("M4.5"), F.least(share(of("TLD-Usage-Count", "0"), total) / 500, F.lit(0.001)).alias("least"))
-    rfc = listed(summary, "RFC6761Usage", "M4.2", total)
-    frequent = listed(summary, "Frequent-TLD-usage", "M4.3", total).crossJoin(F.broadcast(s.select("least"))).where("value >= least").drop("least")  # one row
-    local = listed(summary, "Local_TLD_Usage_Count", "M4.3", total).groupBy("metric").agg(F.sum("value").alias("value")).select("metric", F.lit("(local host names)").alias("key"), "value")
-    lists = rfc.unionByName(frequent).unionByName(local)
-    rest = s.crossJoin(lists.agg(F.sum("value").alias("listed"))).select(F.lit("M4.4").alias("metric"), F.lit("").alias("key"), remainder(1 - F.col("`M4.1`"), F.col("listed")).alias("value"))  # one row each
-    return long_rows(s, {"M4.1": F.col("`M4.1`"), "M4.5": F.col("`M4.5`")}).unionByName(lists).unionByName(rest)
+    least = F.least(share(of("TLD-Usage-Count", "0"), total * 500), F.lit(0.001))
+    s = summary.agg(key_share("TLD-Usage-Count").alias("M4.1"), key_share("DNSSEC_Client_Usage").alias("M4.5"), least.alias("least"), total.alias("n_"), total_of("Local_TLD_Usage_Count").alias("local_"))
+    lists = listed(summary, s.select("n_"), [("RFC6761Usage", "M4.2", F.col("key"), "n_", 0.0), ("Frequent-TLD-usage", "M4.3", F.col("key"), "n_", 0.0)])
+    # one row; a long list's least share goes by the traffic
+    lists = keep_share(lists.crossJoin(F.broadcast(s.select("least"))), ["metric"], "value", F.when(F.col("metric") == "M4.3", F.col("least")).otherwise(F.lit(0.0))).drop("least")
+    lists = lists.unionByName(s.where("local_ > 0").select(F.lit("M4.3").alias("metric"), F.lit("(local host names)").alias("key"), share(F.col("local_"), F.col("n_")).alias("value")))
+    return long_rows(s, {"M4.1": F.col("`M4.1`"), "M4.5": F.col("`M4.5`")}).unionByName(lists).unionByName(rest_of(s, 1 - F.col("`M4.1`"), lists, ("M4.2", "M4.3"), "M4.4"))
 
 
 def m5(survey: DataFrame, keys: DataFrame) -> DataFrame:
@@ -104,11 +129,11 @@ def m5(survey: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def m6(counts: DataFrame, registry: DataFrame) -> DataFrame:
-    """Per table: share of registered parameters in use, share of unregistered ones in the traffic, share of each key."""
+    """Per table: share of registered parameters in use, share of unregistered ones in the traffic, count of each key."""
     c = coverage(counts, registry)
     both = c.select(F.explode(F.array(F.struct(F.concat(F.lit("M6."), "table_id", F.lit(".1")).alias("metric"), F.lit("").alias("key"), F.col("seen_share").alias("value")), F.struct(F.concat(F.lit("M6."), "table_id", F.lit(".2")).alias("metric"), F.lit("").alias("key"), F.col("unregistered_share").alias("value")))).alias("x")).select("x.*")
-    each = shares(counts.groupBy("table_id", "key").agg(F.sum("count").alias("count")), ["table_id"], "count")
-    return both.unionByName(each.select(F.concat(F.lit("M6."), "table_id", F.lit(".3")).alias("metric"), F.col("key").cast("string").alias("key"), F.col("share").alias("value")))
+    each = counts.groupBy("table_id", "key").agg(F.sum("count").cast("double").alias("value"))
+    return both.unionByName(each.select(F.concat(F.lit("M6."), "table_id", F.lit(".3")).alias("metric"), F.col("key").cast("string").alias("key"), "value"))
 
 
 def m7(zone: DataFrame) -> DataFrame:
@@ -118,9 +143,10 @@ def m7(zone: DataFrame) -> DataFrame:
 
 
 def m8(summary: DataFrame) -> DataFrame:
-    """Authoritative traffic; the return-code table counts queries and responses, so half of it is the base."""
-    s = summary.agg(share(of("RCODE", "3"), (of("RCODE", "0") + of("RCODE", "3")) / 2).alias("M8.1"), key_share("EDNS_CLIENT_USAGE").alias("M8.2.1"), key_share("DNSSEC_Client_Usage").alias("M8.3"), key_share("QNAME_MINIMIZATION_USAGE").alias("M8.4"))
-    return long_rows(s, {c: F.col(f"`{c}`") for c in s.columns})
+    """Authoritative traffic: NX share, EDNS and options, DO, name minimisation; the return-code table counts queries and responses, so half of it is the base."""
+    s = summary.agg(share(of("RCODE", "3"), (of("RCODE", "0") + of("RCODE", "3")) / 2).alias("M8.1"), key_share("EDNS_CLIENT_USAGE").alias("M8.2.1"), key_share("DNSSEC_Client_Usage").alias("M8.3"), key_share("QNAME_MINIMIZATION_USAGE").alias("M8.4"), of("EDNS_OPTIONS_TOTAL_QUERIES", "0").alias("options_"))
+    options = listed(summary, s.select("options_"), [("EDNS_OPTIONS_USAGE", "M8.2.2", F.col("key"), "options_", 0.0)])
+    return long_rows(s, {c: F.col(f"`{c}`") for c in s.columns if c.startswith("M")}).unionByName(options)
 
 
 def m10(rows: DataFrame) -> DataFrame:
@@ -140,60 +166,16 @@ def pair_metrics(rows: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def sum3(summary: DataFrame, named: Sequence[str] = ("LOCAL", "LOCALHOST", "HOME", "LAN", "INTERNAL", "IP", "LOCALDOMAIN", "CORP", "MAIL")) -> DataFrame:
-    """One slice row from a summary: queries, nx_domain, useful, useless, dga, jumbo, others, the named leaks, other_names."""
+    """One slice row from a summary: queries, nx_domain, useful, useless, dga, jumbo, others, the named leaks, special-use names not among them (rfc6761), other_names."""
     length = lambda a, b: F.coalesce(F.sum(F.when((F.col("registry") == "LeakByLength") & F.regexp_extract("key", r"(\d+)$", 1).try_cast("int").between(a, b), F.col("count"))), F.lit(0))
-    leaks = [F.coalesce(F.sum(F.when(F.col("registry").isin("LeakedTLD", "RFC6761Usage") & (F.col("key") == n), F.col("count"))), F.lit(0)).alias(n.lower()) for n in named]
-    a = summary.agg(of("root-QR", "0").alias("ok"), of("root-QR", "3").alias("nx_domain"), of("UsefulQueries", "0").alias("u0"), of("UsefulQueries", "1").alias("u1"), total_of("CHROMIUM_PROBES").alias("probes"), total_of("CHROMIUM_LEAK_REF").alias("ref"), length(7, 15).alias("d"), length(16, 64).alias("jumbo"), total_of("RFC6761Usage").alias("rfc6761"), *leaks)
+    leaks = [F.coalesce(F.sum(F.when(F.col("registry").isin("LeakedTLD", "RFC6761-TLD") & (F.col("key") == n), F.col("count"))), F.lit(0)).alias(n.lower()) for n in named]
+    a = summary.agg(of("root-QR", "0").alias("ok"), of("root-QR", "3").alias("nx_domain"), of("UsefulQueries", "0").alias("u0"), of("UsefulQueries", "1").alias("u1"), total_of("CHROMIUM_PROBES").alias("probes"), total_of("CHROMIUM_LEAK_REF").alias("ref"), length(7, 15).alias("d"), length(16, 64).alias("jumbo"), total_of("RFC6761-TLD").alias("special"), *leaks)
     a = a.withColumn("useless", F.floor(share(F.col("u0"), F.col("u0") + F.col("u1")) * F.col("ok")).cast("long")).withColumn("queries", F.col("ok") + F.col("nx_domain"))
     a = a.withColumn("dga", F.when((F.col("probes") == 0) & (F.col("ref") == 0), F.col("d")).otherwise(F.col("probes"))).withColumn("useful", F.col("queries") - F.col("useless") - F.col("nx_domain"))
     a = a.withColumn("others", F.col("nx_domain") - F.col("dga") - F.col("jumbo"))
     names = [n.lower() for n in named]
-    return a.withColumn("other_names", F.col("others") - sum((F.col(n) for n in names), F.lit(0))).select("queries", "nx_domain", "useful", "useless", "dga", "others", *names, "rfc6761", "other_names", "jumbo")
-
-
-def message_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A summary of the bound messages: return codes, client features, leaks by name and by length."""
-    m = messages(spark, sf_dir)
-    count = lambda df, registry, key: df.groupBy(F.lit(registry).alias("registry"), key.cast("string").alias("key")).agg(F.count("*").alias("count"))
-    nx = m.where("rcode = 3")
-    clients = m.groupBy("client").agg(F.bool_or(F.col("k") % 2 == 1).alias("do"), F.bool_or(F.col("k") > 95).alias("edns"), F.bool_or(F.col("k") % 7 == 3).alias("recursive"))
-    k, tld, some = F.col("k"), F.col("tld"), m.where("k IS NOT NULL")
-    parts = [count(m, "root-QR", F.col("rcode")), count(m, "RCODE", F.col("rcode")), count(nx, "LeakedTLD", tld), count(nx.where("k < 10"), "LeakByLength", F.concat(F.lit("length_"), F.char_length("tld"))), count(clients, "DNSSEC_Client_Usage", F.col("do").cast("int")), count(clients, "EDNS_CLIENT_USAGE", F.col("edns").cast("int"))]
-    parts += [count(some, "UsefulQueries", k % 4), count(nx.where("k % 10 = 3"), "RFC6761Usage", tld), count(some, "QNAME_MINIMIZATION_USAGE", (k % 3 == 0).cast("int")), count(clients, "SENDING_RECURSIVE_SET", F.col("recursive").cast("int"))]
-    parts += [count(nx.where("k % 6 = 1"), "CHROMIUM_PROBES", F.lit("p")), count(nx, "CHROMIUM_LEAK_REF", F.lit("r")), count(nx.where("k < 20"), "Leaked2ndLD", F.concat(F.lit("x."), tld)), count(m.where("k > 50"), "EDNS_OPTIONS_TOTAL_QUERIES", F.lit(0))]
-    parts += [count(m.where("k > 50"), "EDNS_OPTIONS_USAGE", k % 5), count(some, "DNS_NAME_PARTS_COUNT", k % 40), count(m, "TLD-Usage-Count", (F.col("rcode") == 0).cast("int")), count(nx.where("k % 5 = 1"), "Frequent-TLD-usage", tld), count(nx.where("k % 5 = 2"), "Local_TLD_Usage_Count", F.concat(F.lit("h"), k.cast("string")))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-SUMMARY_SQL = MESSAGES_SQL + """, cl AS (SELECT client, bool_or(k % 2 = 1)::INT AS d, bool_or(k > 95)::INT AS e, bool_or(k % 7 = 3)::INT AS r FROM dns GROUP BY client),
-q AS (SELECT count(*) AS n, sum((rcode = 3)::INT) AS nx, count(*) FILTER (k % 4 = 0)::DOUBLE AS u0, count(*) FILTER (k % 4 = 1) AS u1, count(*) FILTER (k % 4 = 2) AS u2, count(*) FILTER (k % 4 = 3)::DOUBLE AS u3, avg((k % 3 = 0)::INT) AS mini,
-  count(*) FILTER (rcode = 3 AND k % 6 = 1) AS probes, count(*) FILTER (k > 50)::DOUBLE AS opt, count(k)::DOUBLE AS nk FROM dns),
-rf AS (SELECT tld AS key, count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 AND k % 10 = 3 GROUP BY 1),
-fr AS (SELECT tld AS key, count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 AND k % 5 = 1 GROUP BY 1 HAVING count(*)::DOUBLE / (SELECT n FROM q) >= (SELECT least(nx::DOUBLE / n / 500, 0.001) FROM q)),
-lo AS (SELECT count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 AND k % 5 = 2),
-ld AS (SELECT tld AS key, count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 GROUP BY 1),
-ll AS (SELECT 'length_' || length(tld) AS key, count(*)::DOUBLE / (SELECT n FROM q) AS value FROM dns WHERE rcode = 3 AND k < 10 GROUP BY 1)
-"""
-
-
-@query("metrics_m3", SUMMARY_SQL + """
-SELECT metric, key, round(value, 9) AS value FROM (
-  SELECT 'M3.1' AS metric, '' AS key, nx::DOUBLE / n AS value FROM q UNION ALL SELECT 'M3.2', '', u0 / (u0 + u1) FROM q UNION ALL SELECT 'M3.3.5', '', u3 / (u2 + u3) FROM q WHERE u3 > 0 UNION ALL SELECT 'M3.4.1', '', avg(e) FROM cl UNION ALL SELECT 'M3.5', '', avg(d) FROM cl
-  UNION ALL SELECT 'M3.6', '', mini FROM q UNION ALL SELECT 'M3.8', '', avg(r) FROM cl UNION ALL SELECT 'M3.9', '', probes::DOUBLE / nx FROM q UNION ALL SELECT 'M3.3.1', key, value FROM rf UNION ALL SELECT 'M3.3.2', key, value FROM ld UNION ALL SELECT 'M3.3.3', key, value FROM ll
-  UNION ALL SELECT 'M3.7', 'x.' || tld, count(*)::DOUBLE / (SELECT n FROM q) FROM dns WHERE rcode = 3 AND k < 20 GROUP BY tld UNION ALL SELECT 'M3.4.2', (k % 5)::VARCHAR, count(*) / (SELECT opt FROM q) FROM dns WHERE k > 50 GROUP BY k % 5
-  UNION ALL SELECT 'M3.10', i::VARCHAR, (SELECT count(*) FROM dns WHERE least(k % 40, 34) = i) / (SELECT nk FROM q) FROM range(35) t(i)
-  UNION ALL SELECT 'M3.3.4', '', greatest(0, (SELECT nx::DOUBLE / n FROM q) - (SELECT sum(value) FROM ld) - (SELECT coalesce(sum(value), 0) FROM ll) - (SELECT coalesce(sum(value), 0) FROM rf)))
-""")
-def metrics_m3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m3(message_summary(spark, sf_dir)).withColumn("value", F.round("value", 9))
-
-
-@query("metrics_m8", SUMMARY_SQL + "SELECT metric, key, round(value, 9) AS value FROM (SELECT 'M8.1' AS metric, '' AS key, nx::DOUBLE / (n / 2.0) AS value FROM q UNION ALL SELECT 'M8.2.1', '', avg(e) FROM cl UNION ALL SELECT 'M8.3', '', avg(d) FROM cl UNION ALL SELECT 'M8.4', '', mini FROM q)")
-def metrics_m8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m8(message_summary(spark, sf_dir)).withColumn("value", F.round("value", 9))
+    a = a.withColumn("rfc6761", F.col("special") - sum((F.col(n) for n in names if n.upper() in RFC6761), F.lit(0)))
+    return a.withColumn("other_names", F.col("others") - sum((F.col(n) for n in names), F.col("rfc6761"))).select("queries", "nx_domain", "useful", "useless", "dga", "others", *names, "rfc6761", "other_names", "jumbo")
 
 
 @query("metrics_m1", """WITH r AS (SELECT l_suppkey AS id, count(*) AS domains, sum((l_returnflag = 'R')::INT)::BIGINT AS notices FROM lineitem GROUP BY 1),
@@ -219,36 +201,11 @@ def metrics_m2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m2(li, 2).withColumn("value", F.round("value", 6))
 
 
-@query("slice_summary", SUMMARY_SQL + """, s AS (SELECT n, nx::BIGINT AS nx, floor(u0 / (u0 + u1) * (n - nx))::BIGINT AS useless, probes, (SELECT count(*) FROM dns WHERE rcode = 3 AND k < 10 AND length(tld) BETWEEN 16 AND 64) AS jumbo, (SELECT count(*) FROM dns WHERE rcode = 3 AND k % 10 = 3) AS rfc FROM q)
-SELECT n AS queries, nx AS nx_domain, n - useless - nx AS useful, useless, probes AS dga, nx - probes - jumbo AS others, rfc AS rfc6761, nx - probes - jumbo AS other_names, jumbo FROM s""")
-def slice_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sum3(message_summary(spark, sf_dir)).select("queries", "nx_domain", "useful", "useless", "dga", "others", "rfc6761", "other_names", "jumbo")
-
-
-@query("metrics_m4", SUMMARY_SQL + """
-SELECT metric, key, round(value, 9) AS value FROM (
-  SELECT 'M4.1' AS metric, '' AS key, (n - nx)::DOUBLE / n AS value FROM q UNION ALL SELECT 'M4.2', key, value FROM rf UNION ALL SELECT 'M4.3', key, value FROM fr UNION ALL SELECT 'M4.3', '(local host names)', value FROM lo WHERE value > 0
-  UNION ALL SELECT 'M4.4', '', greatest(0, (SELECT nx::DOUBLE / n FROM q) - (SELECT coalesce(sum(value), 0) FROM rf) - (SELECT coalesce(sum(value), 0) FROM fr) - (SELECT value FROM lo)) UNION ALL SELECT 'M4.5', '', avg(d) FROM cl)
-""")
-def metrics_m4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m4(message_summary(spark, sf_dir)).withColumn("value", F.round("value", 9))
-
-
-@query("lookup", SUMMARY_SQL + "SELECT (SELECT nx::BIGINT FROM q) AS nx, (SELECT count(*) FROM dns WHERE k % 4 = 2) AS useful_2, 0::BIGINT AS absent")
-def lookup_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup(message_summary(spark, sf_dir), {"nx": ("root-QR", "3"), "useful_2": ("UsefulQueries", "2"), "absent": ("root-QR", "99")})
-
-
-@query("extract", SUMMARY_SQL + "SELECT tld AS key, count(*) AS count FROM dns WHERE rcode = 3 GROUP BY 1")
-def extract_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(message_summary(spark, sf_dir), "LeakedTLD")
-
-
 @query("metrics_m6", """WITH c AS (SELECT l_returnflag AS t, l_linenumber::VARCHAR AS key, count(*) AS n FROM lineitem GROUP BY ALL), r AS (SELECT DISTINCT l_returnflag AS t, ((s_suppkey % 6) * 2)::VARCHAR AS key FROM supplier, (SELECT DISTINCT l_returnflag FROM lineitem))
 SELECT metric, key, round(value, 9) AS value FROM (
   SELECT 'M6.' || r.t || '.1' AS metric, '' AS key, count(c.key)::DOUBLE / count(*) AS value FROM r LEFT JOIN c ON r.t = c.t AND r.key = c.key GROUP BY r.t
   UNION ALL SELECT 'M6.' || c.t || '.2', '', coalesce(sum(n) FILTER (r.key IS NULL), 0)::DOUBLE / sum(n) FROM c LEFT JOIN r ON r.t = c.t AND r.key = c.key GROUP BY c.t
-  UNION ALL SELECT 'M6.' || t || '.3', key, n::DOUBLE / sum(n) OVER (PARTITION BY t) FROM c)
+  UNION ALL SELECT 'M6.' || t || '.3', key, n::DOUBLE FROM c)
 """)
 def metrics_m6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line numbers as parameters in use; even ones are registered."""

@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from idhealth.functions.times import micros
+from idhealth.sources.shared import folder
 from idhealth.streaming import stages
 
 from .catalog import query, read
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder in spark.checkpoint.dir, which the cluster shares; only a session in one process (tests) may leave it unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    base = base or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/events.parquet*"  # a pattern: the stream takes a file as well as a folder
     return spark.readStream.schema(read(spark, sf_dir, "events").schema).parquet(path)
