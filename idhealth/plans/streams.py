@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from idhealth.functions.times import micros
 from idhealth.sources.shared import folder
-from idhealth.streaming import stages
+from idhealth.streaming import averages, stages
 
 from .catalog import query, read
 
@@ -71,3 +71,24 @@ def stream_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = F.floor(micros(F.col("start")) / 3_600_000_000)
     last = F.broadcast(read(spark, sf_dir, "events").agg((F.max(F.floor(micros(F.col("ts")) / 3_600_000_000)) - 1).alias("last")))  # one row
     return out.withColumn("hour", hour).crossJoin(last).where("hour < last").select("user_id", "hour", "seen", "kept")
+
+
+_TYPES = ("click", "view")
+
+
+@query("stream_averages", f"""
+WITH x AS (SELECT event_id, user_id::VARCHAR AS node, epoch_us(ts) AS us, epoch_us(ts) // 86400000000 AS d, event_type FROM events),
+l AS (SELECT *, 'all' AS label FROM x UNION ALL SELECT *, event_type FROM x WHERE event_type IN {_TYPES}),
+e AS (SELECT label, d AS day, us, node, event_id, us % 86400000000 AS t FROM l UNION ALL SELECT l.label, l.d - j, l.us, l.node, l.event_id, 86399999999 FROM l, (VALUES (1), (2), (3)) k(j) WHERE EXISTS (SELECT 1 FROM l AS o WHERE o.label = l.label AND o.d = l.d - j AND o.node = l.node)),
+s AS (SELECT *, row_number() OVER (PARTITION BY label, day ORDER BY us, node, event_id) AS n FROM e),
+w AS (SELECT a.label, a.day, a.n, b.node, max(b.t) AS t FROM s a JOIN s b ON a.label = b.label AND a.day = b.day AND b.n <= a.n GROUP BY ALL),
+m AS (SELECT label, day, n, min(t) AS t, count(*) AS nodes FROM w GROUP BY ALL),
+g AS (SELECT *, (t >= 21600000000)::INT + (t >= 43200000000)::INT + (t >= 64800000000)::INT + (t >= 83519000000)::INT AS level FROM m),
+p AS (SELECT *, coalesce(max(level) OVER (PARTITION BY label, day ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g)
+SELECT label, day, t AS at_us, level = 4 AS final, nodes FROM p WHERE level > before
+""")
+def stream_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients as nodes, event types as countries: what is ready to be averaged of every day, for two types and for all."""
+    s = events(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("t"), F.col("user_id").alias("node"), F.col("event_type").alias("cc"), F.lit(None).cast("string").alias("city"), F.col("event_id").cast("string").alias("path"))
+    out = ran(spark, averages.pattern_averages(s, "t", [("all", None, None), *((t, t, None) for t in _TYPES)], 6, keep_days=3), "averages")
+    return out.select("label", "day", "at_us", "final", F.size("nodes").cast("long").alias("nodes"))
