@@ -76,6 +76,30 @@ def volumes(df: DataFrame, port: str, size: str, us: str) -> DataFrame:
     return by.withColumn("share", F.col("bytes") / F.sum("bytes").over(everything)).crossJoin(F.broadcast(span))  # a row per port; one row
 
 
+# fixed values: ports of DNS over UDP and TCP, TLS and HTTPS, and the keys that their volumes and connections have
+DNS_PORT, TLS_PORT, HTTPS_PORT = 53, 853, 443
+TLS_SYN_KEY = 583
+SYN, TCP, UDP = 2, 6, 17
+
+
+def protocol_volumes(packets: DataFrame) -> DataFrame:
+    """(registry, key, count) of traffic rows: bytes by protocol (0: DNS over UDP, 53, 853, 443: over TCP), clients that opened TLS or HTTPS connections, clients in all of these.
+
+    packets: protocol, source, source_port, target_port, size, tcp_flags. One scan; a client counts once for each kind of connection.
+    """
+    c = F.col
+    on = lambda port: (c("source_port") == port) | (c("target_port") == port)
+    port = F.when((c("protocol") == UDP) & on(DNS_PORT), 0).when(c("protocol") == TCP, F.when(on(DNS_PORT), DNS_PORT).when(on(TLS_PORT), TLS_PORT).when(on(HTTPS_PORT), HTTPS_PORT))
+    opens = F.when((c("protocol") == TCP) & (c("tcp_flags") == SYN), F.when(port == TLS_PORT, TLS_SYN_KEY).when(port == HTTPS_PORT, HTTPS_PORT))
+    row = lambda registry, key, who, count: F.struct(F.lit(registry).alias("registry"), key.alias("key"), who.cast("string").alias("who"), count.cast("long").alias("count"))
+    cells = F.array_compact(F.array(
+        F.when(port.isNotNull(), row("VOLUME_PER_PROTO", port, F.lit(None), c("size"))), F.when(opens.isNotNull(), row("TCPSYN_PER_PROTO", opens, c("source"), F.lit(1))), F.when(opens.isNotNull(), row("TCPSYN_PER_PROTO", F.lit(0), c("source"), F.lit(1))),
+    ))
+    summed = packets.select(F.explode(cells).alias("x")).groupBy("x.registry", "x.key", "x.who").agg(F.sum("x.count").alias("count"))
+    count = F.sum(F.when(c("who").isNull(), c("count")).otherwise(1))
+    return summed.groupBy("registry", c("key").cast("string").alias("key")).agg(count.alias("count"))
+
+
 def name_report(df: DataFrame, name: str, us: str, kind: str) -> DataFrame:
     """(name, count, first kind, parts): every name with the class of its first message."""
     return df.groupBy(F.col(name).alias("name")).agg(F.count("*").alias("count"), F.min_by(kind, F.struct(us, kind)).alias("kind")).withColumn("parts", n.n_labels(F.col("name")))

@@ -120,3 +120,17 @@ def metric_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda p: F.sum((F.col("priority") == p).cast("double")) / F.count("*")
     c = monthly(spark, sf_dir).groupBy("month").agg(part("1-URGENT").alias("m1"), part("2-HIGH").alias("m2"))
     return c.select("month", F.round(100 * F.col("m1"), 6).alias("m1"), F.round(100 * F.greatest(F.lit(0.0), F.col("m2") * (1 - F.col("m1"))), 6).alias("m2"))
+
+
+@query("protocol_volumes", """
+WITH p AS (SELECT l_suppkey AS source, l_quantity::BIGINT AS size, CASE WHEN l_returnflag = 'N' THEN 17 ELSE 6 END AS protocol, [53, 853, 443, 80][l_linenumber % 4 + 1] AS port, CASE WHEN l_partkey % 3 = 0 THEN 2 ELSE 16 END AS flags FROM lineitem),
+k AS (SELECT *, CASE WHEN protocol = 17 THEN CASE WHEN port = 53 THEN 0 END WHEN port <> 80 THEN port END AS key, CASE WHEN protocol = 6 AND flags = 2 AND port IN (853, 443) THEN CASE port WHEN 853 THEN 583 ELSE 443 END END AS opens FROM p)
+SELECT 'VOLUME_PER_PROTO' AS registry, key::VARCHAR AS key, sum(size)::BIGINT AS count FROM k WHERE key IS NOT NULL GROUP BY key
+UNION ALL SELECT 'TCPSYN_PER_PROTO', opens::VARCHAR, count(DISTINCT source) FROM k WHERE opens IS NOT NULL GROUP BY opens UNION ALL SELECT 'TCPSYN_PER_PROTO', '0', count(DISTINCT source) FROM k WHERE opens IS NOT NULL
+""")
+def protocol_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as packets, suppliers as clients."""
+    li = read(spark, sf_dir, "lineitem")
+    port = F.element_at(F.array(F.lit(53), F.lit(853), F.lit(443), F.lit(80)), (F.col("l_linenumber") % 4 + 1).cast("int"))
+    packets = li.select(F.col("l_suppkey").alias("source"), F.col("l_quantity").cast("long").alias("size"), F.when(F.col("l_returnflag") == "N", 17).otherwise(6).alias("protocol"), F.lit(40_000).alias("source_port"), port.alias("target_port"), F.when(F.col("l_partkey") % 3 == 0, 2).otherwise(16).alias("tcp_flags"))
+    return leaks.protocol_volumes(packets)

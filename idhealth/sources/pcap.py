@@ -1,11 +1,15 @@
-"""Packet captures to message rows: files are dealt out to tasks, each is decoded where it is read."""
+"""Packet captures to message and traffic rows: files, and byte ranges of long ones, are dealt out to tasks and decoded where they are read."""
 
 from __future__ import annotations
 
 import ipaddress
+import itertools
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,63 +67,192 @@ def read_message(data: bytes) -> dict:
     return out
 
 
-def packets(content: bytes) -> Iterator[tuple[int, str, str, int, int, bytes]]:
-    """us, source, destination, ports and UDP payload of the packets of a capture; fragments and others are skipped."""
-    magic = content[:4]
+class Packet(NamedTuple):
+    """An IP packet of a capture: its byte place in the file, time, ends, protocol (17 UDP, 6 TCP), and what it carries."""
+
+    at: int
+    us: int
+    source: str
+    target: str
+    source_port: int
+    target_port: int
+    protocol: int
+    size: int
+    tcp_flags: int
+    is_fragment: bool
+    payload: bytes
+
+
+class Layout(NamedTuple):
+    """What a capture's head says: byte order, nanoseconds, link type, longest packet."""
+
+    order: str
+    nano: bool
+    link: int
+    snap: int
+
+
+HEAD, PACKET_HEAD = 24, 16
+#: Bytes of a capture that one task reads; longer files are split.
+SPLIT_BYTES = 128 << 20
+#: Packet heads that must follow each other from a place in the file to be taken for a packet's start, and bytes that hold them.
+CHAIN, WINDOW = 32, 4 << 20
+#: Seconds that packets of one file lie apart at most; only to tell a packet's head from other bytes.
+SPAN = 400 * 86_400
+
+
+def layout_of(head: bytes) -> Layout:
+    magic = head[:4]
     order = "<" if magic in (b"\xd4\xc3\xb2\xa1", b"\x4d\x3c\xb2\xa1") else ">"
-    nano = magic in (b"\x4d\x3c\xb2\xa1", b"\xa1\xb2\x3c\x4d")
-    link = struct.unpack_from(order + "I", content, 20)[0]
-    at = 24
-    while at + 16 <= len(content):
-        sec, frac, size, _ = struct.unpack_from(order + "IIII", content, at)
-        frame, at = content[at + 16 : at + 16 + size], at + 16 + size
-        us = sec * 1_000_000 + (frac // 1000 if nano else frac)
-        if link == 1:
-            kind, frame = frame[12:14], frame[14:]
-            if kind == b"\x81\x00":
-                frame = frame[4:]
-        if len(frame) < 28:
-            continue
-        version = frame[0] >> 4
-        if version == 4 and frame[9] == 17 and not struct.unpack_from(">H", frame, 6)[0] & 0x3FFF:
-            head, a, b = (frame[0] & 15) * 4, frame[12:16], frame[16:20]
-        elif version == 6 and frame[6] == 17:
-            head, a, b = 40, frame[8:24], frame[24:40]
+    snap, link = struct.unpack_from(order + "II", head, 16)
+    return Layout(order, magic in (b"\x4d\x3c\xb2\xa1", b"\xa1\xb2\x3c\x4d"), link, snap or 1 << 18)
+
+
+def decoded(at: int, us: int, frame: bytes, link: int) -> Packet | None:
+    """The packet in a frame; None for what is neither UDP nor TCP over IP, or a later fragment."""
+    if link == 1:
+        kind, frame = frame[12:14], frame[14:]
+        if kind == b"\x81\x00":
+            frame = frame[4:]
+    if len(frame) < 28:
+        return None
+    version, more = frame[0] >> 4, False
+    if version == 4:
+        part = struct.unpack_from(">H", frame, 6)[0]
+        if part & 0x1FFF:
+            return None
+        more = bool(part & 0x2000)
+        head, protocol, a, b = (frame[0] & 15) * 4, frame[9], frame[12:16], frame[16:20]
+        size = struct.unpack_from(">H", frame, 2)[0] - head
+    elif version == 6:
+        head, protocol, a, b = 40, frame[6], frame[8:24], frame[24:40]
+        size = struct.unpack_from(">H", frame, 4)[0]
+    else:
+        return None
+    if protocol not in (6, 17) or len(frame) < head + (8 if protocol == 17 else 14):
+        return None
+    source, target = struct.unpack_from(">HH", frame, head)
+    own = 8 if protocol == 17 else (frame[head + 12] >> 4) * 4
+    flags = frame[head + 13] & 0x3F if protocol == 6 else 0
+    return Packet(at, us, str(ipaddress.ip_address(a)), str(ipaddress.ip_address(b)), source, target, protocol, size - own, flags, more, frame[head + own :])
+
+
+def starts(data: bytes, layout: Layout, first_sec: int, is_end: bool) -> int:
+    """The first place in `data` from which CHAIN packet heads follow each other (or fewer up to the file's end); -1 if there is none."""
+    n = len(data) - PACKET_HEAD + 1
+    if n <= 0:
+        return -1
+    raw = np.frombuffer(data, np.uint8)
+    word = lambda o: sum(raw[o + (i if layout.order == "<" else 3 - i) : o + (i if layout.order == "<" else 3 - i) + n].astype(np.int64) << (8 * i) for i in range(4))
+    sec, frac, size, full = (word(o) for o in (0, 4, 8, 12))
+    ok = (size <= layout.snap) & (full >= size) & (full <= 1 << 18) & (frac < (1_000_000_000 if layout.nano else 1_000_000)) & (np.abs(sec - first_sec) <= SPAN)
+    for start in np.flatnonzero(ok).tolist():
+        at, seen = start, 0
+        while seen < CHAIN and at < n and ok[at]:
+            at += PACKET_HEAD + int(size[at])
+            seen += 1
+        if seen == CHAIN or (is_end and seen and at >= n):
+            return start
+    return -1
+
+
+def packets(read: Callable[[int, int], bytes], length: int, begin: int = 0, end: int | None = None) -> Iterator[Packet]:
+    """The packets that start in bytes begin to end of a capture, given by read(place, bytes). A packet belongs to the range it starts in."""
+    head = read(0, HEAD + PACKET_HEAD)
+    if len(head) < HEAD + PACKET_HEAD:
+        return
+    layout = layout_of(head)
+    first_sec = struct.unpack_from(layout.order + "I", head, HEAD)[0]
+    end = length if end is None else min(end, length)
+    at, data, base = max(begin, HEAD), b"", max(begin, HEAD)
+    if begin > HEAD:
+        while at < end:
+            data = read(at, WINDOW)
+            found = starts(data, layout, first_sec, at + len(data) >= length)
+            if found >= 0:
+                base, at = at, at + found
+                break
+            at += max(1, len(data) - WINDOW // 2)
         else:
-            continue
-        if len(frame) < head + 20:
-            continue
-        source, target = struct.unpack_from(">HH", frame, head)
-        yield us, str(ipaddress.ip_address(a)), str(ipaddress.ip_address(b)), source, target, frame[head + 8 :]
+            return
+    while at < end:
+        if at + PACKET_HEAD > base + len(data):
+            base, data = at, read(at, WINDOW)
+        if at + PACKET_HEAD > base + len(data):
+            return
+        sec, frac, size, _ = struct.unpack_from(layout.order + "IIII", data, at - base)
+        to = at + PACKET_HEAD + size
+        if to > base + len(data):
+            base, data = at, read(at, max(WINDOW, PACKET_HEAD + size))
+        p = decoded(at, sec * 1_000_000 + (frac // 1000 if layout.nano else frac), data[at - base + PACKET_HEAD : to - base], layout.link)
+        if p:
+            yield p
+        at = to
+
+
+def _opened(path: str) -> tuple[Callable[[int, int], bytes], int]:
+    from pyarrow import fs
 
+    store, name = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+    f = store.open_input_file(name)
+    return (lambda at, n: f.read_at(n, at)), f.size()
 
-def read_pcap(spark: SparkSession, path: str, port: int = 53) -> DataFrame:
-    """A row per DNS message over UDP. client is the side whose port is not `port`."""
 
-    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
+def _rows(spark: SparkSession, path: str, split_bytes: int, rows: Callable[[str, Iterator[Packet]], Iterator[tuple]], schema: str) -> DataFrame:
+    """rows(path, packets) of all captures: small files whole, by Spark's reader; longer ones in byte ranges, which tasks read from the file system."""
+    names = [c.strip().split()[0] for c in re.sub(r"<[^>]*>*", "", schema).split(",")]
+
+    def frames(found: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        while part := list(itertools.islice(found, 5000)):
+            yield pd.DataFrame(part, columns=names)
+
+    def whole(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in files:
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
-                rows = []
-                for i, (us, a, b, pa_, pb, data) in enumerate(packets(bytes(content))):
-                    if port not in (pa_, pb) or len(data) < 12:
-                        continue
-                    m = read_message(data)
-                    client, server = (b, a) if pa_ == port else (a, b)
-                    rows.append({"path": name, "msg_no": i, "us": us, "client": client, "server": server, **m, "size": len(data)})
-                    if len(rows) >= 5000:
-                        yield pd.DataFrame(rows)
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows)
-
-    order = [c.strip().split()[0] for c in "path,msg_no,us,client,server,is_response,opcode,rcode,flags,qname,qtype,qclass,n_answer,n_authority,n_additional,rrs,error,size".split(",")]
-
-    def ordered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in decode(frames):
-            yield pdf[order]
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(ordered, MESSAGE)
+                data = bytes(content)
+                yield from frames(rows(name, packets(lambda at, n, data=data: data[at : at + n], len(data))))
+
+    def parts(ranges: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in ranges:
+            for name, begin in zip(pdf["path"], pdf["begin"], strict=True):
+                read, length = _opened(name)
+                yield from frames(rows(name, packets(read, length, int(begin), int(begin) + split_bytes)))
+
+    files = spark.read.format("binaryFile").load(path)
+    out = files.where(F.col("length") <= split_bytes).select("path", "content").mapInPandas(whole, schema)
+    ranges = files.where(F.col("length") > split_bytes).select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("begin"))
+    n = ranges.count()  # lists files, reads none
+    return out.unionAll(ranges.repartition(n).mapInPandas(parts, schema)) if n else out
+
+
+def read_pcap(spark: SparkSession, path: str, port: int = 53, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """A row per DNS message over UDP. client is the side whose port is not `port`; msg_no is the packet's byte place in the file.
+
+    A capture longer than split_bytes is read by several tasks: each finds the first packet that starts in its range by a
+    chain of plausible packet heads. First fragments are left out, as their message is not whole.
+    """
+
+    def messages(name: str, found: Iterator[Packet]) -> Iterator[tuple]:
+        for p in found:
+            if p.protocol != 17 or p.is_fragment or port not in (p.source_port, p.target_port) or len(p.payload) < 12:
+                continue
+            client, server = (p.target, p.source) if p.source_port == port else (p.source, p.target)
+            m = read_message(p.payload)
+            yield (name, p.at, p.us, client, server, *(m[c] for c in ("is_response", "opcode", "rcode", "flags", "qname", "qtype", "qclass", "n_answer", "n_authority", "n_additional", "rrs", "error")), len(p.payload))
+
+    return _rows(spark, path, split_bytes, messages, MESSAGE)
+
+
+TRAFFIC = "path string, at long, us long, protocol int, source string, target string, source_port int, target_port int, size long, tcp_flags int"
+
+
+def read_traffic(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """A row per UDP or TCP packet: ends, ports, bytes carried, TCP flags (0 for UDP)."""
+
+    def traffic(name: str, found: Iterator[Packet]) -> Iterator[tuple]:
+        return ((name, p.at, p.us, p.protocol, p.source, p.target, p.source_port, p.target_port, p.size, p.tcp_flags) for p in found)
+
+    return _rows(spark, path, split_bytes, traffic, TRAFFIC)
 
 
 def explode_records(messages: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import struct
 
+import pytest
 from pyspark.sql import functions as F
 
 from idhealth.plans import metrics
@@ -107,3 +108,55 @@ def test_pcap(spark, tmp_path):
     assert [(r.us, r.client, r.is_response, r.rcode, r.qname, r.n_answer, r.error) for r in got] == [(100_000_005, "10.0.0.2", True, 3, "www.Test", 1, False), (101_000_005, "10.0.0.1", False, 0, None, 0, True)]
     r = pcap.explode_records(pcap.read_pcap(spark, str(tmp_path / "a.pcap"))).select("name", "type", F.hex("rdata")).collect()
     assert [tuple(x) for x in r] == [("www.Test", 1, "01020304")]
+
+
+def frame(data, ports, protocol=17, flags=0, source=1, six=False, fragment=0):
+    body = struct.pack(">HHHH", *ports, 8 + len(data), 0) + data if protocol == 17 else struct.pack(">HHIIBBHHH", *ports, 0, 0, 5 << 4, flags, 0, 0, 0) + data
+    if six:
+        ip = struct.pack(">IHBB", 6 << 28, len(body), protocol, 64) + bytes(15) + bytes([source]) + bytes(15) + b"\2" + body
+    else:
+        ip = struct.pack(">BBHHHBBH4s4s", 0x45, 0, 20 + len(body), 0, fragment, 64, protocol, 0, bytes([10, 0, 0, source]), bytes([10, 0, 0, 99])) + body
+    return b"\0" * 12 + (b"\x86\xdd" if six else b"\x08\0") + ip
+
+
+def capture(frames, order="<"):
+    out = struct.pack(order + "IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 65535, 1)
+    for i, f in enumerate(frames):
+        out += struct.pack(order + "IIII", 1_700_000_000 + i, i % 1_000_000, len(f), len(f)) + f
+    return out
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_split_capture(spark, tmp_path, order):
+    """A capture read in byte ranges gives the rows of the whole one, whatever the ranges cut; payloads that look like captures mislead nobody."""
+    import random
+
+    rng = random.Random(1)
+    dns = lambda i: struct.pack(">HHHHHH", i & 0xFFFF, 0x8180, 1, 0, 0, 0) + name(f"n{i}.test") + struct.pack(">HH", 1, 1)
+    inner = capture([frame(b"x" * 40, (1, 2)) for _ in range(10)], order)  # fewer heads than a chain has
+    frames = []
+    for i in range(3000):
+        kind = rng.randrange(5)
+        if kind < 3:
+            frames.append(frame(dns(i), (53, 1000 + i % 7), six=kind == 2))
+        else:
+            frames.append(frame(inner if i % 500 == 3 else bytes(rng.randrange(256) for _ in range(rng.randrange(300))), (443, 2000), 6))
+    (tmp_path / "c.pcap").write_bytes(capture(frames, order) + b"\1\2\3")  # a packet that is cut off
+    path = str(tmp_path / "c.pcap")
+    whole = sorted(tuple(r) for r in pcap.read_traffic(spark, path).collect())
+    assert len(whole) == 3000
+    for split in (7_001, 50_000, 1 << 20):
+        df = pcap.read_traffic(spark, path, split)
+        assert sorted(tuple(r) for r in df.collect()) == whole
+        assert df.rdd.getNumPartitions() > 1 or split == 1 << 20
+    messages = sorted((r.msg_no, r.qname, r.client) for r in pcap.read_pcap(spark, path).collect())
+    assert sorted((r.msg_no, r.qname, r.client) for r in pcap.read_pcap(spark, path, split_bytes=9_999).collect()) == messages and len(messages) > 1500
+
+
+def test_protocol_volumes(spark, tmp_path):
+    from idhealth.operators.leaks import protocol_volumes
+
+    frames = [frame(b"q" * 30, (4000, 53)), frame(b"t" * 11, (4000, 53), 6), frame(b"", (4000, 853), 6, 2), frame(b"", (4001, 853), 6, 2), frame(b"", (4000, 443), 6, 2, source=7), frame(b"d" * 9, (4000, 443), 6, 16, source=8), frame(b"e" * 5, (853, 9), 6, 18, source=9), frame(b"z", (1, 2), 6, 2), frame(b"f" * 8, (53, 5), fragment=0x2000), frame(b"g" * 8, (53, 5), fragment=5)]
+    (tmp_path / "v.pcap").write_bytes(capture(frames))
+    got = {(r["registry"], r["key"]): r["count"] for r in protocol_volumes(pcap.read_traffic(spark, str(tmp_path / "v.pcap"))).collect()}
+    assert got == {("VOLUME_PER_PROTO", "0"): 38, ("VOLUME_PER_PROTO", "53"): 11, ("VOLUME_PER_PROTO", "853"): 5, ("VOLUME_PER_PROTO", "443"): 9, ("TCPSYN_PER_PROTO", "583"): 1, ("TCPSYN_PER_PROTO", "443"): 1, ("TCPSYN_PER_PROTO", "0"): 2}
