@@ -1,10 +1,12 @@
-"""Interval joins and flattening without nested loops: everything is joined on buckets of the number line."""
+"""Interval joins and flattening without nested loops: by buckets of the number line, aligned blocks of addresses, or as-of over range partitions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from idhealth.sources.shared import stored
+
 
 def bucketed(ranges: DataFrame, lo: str, hi: str, bits: int) -> DataFrame:
     """A row for each bucket of 2**bits numbers that a range touches."""
@@ -29,23 +31,78 @@ def most_specific(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str,
     return df.join(best, key, "left")
 
 
-def hex_prefixes(ranges: DataFrame, lo: str, hi: str) -> DataFrame:
-    """Adds bits_ and prefix_: the longest hexadecimal prefix that both ends of a range of bytes have in common; all of the range lies below it."""
-    a, b = F.hex(lo), F.hex(hi)
-    same = F.aggregate(F.sequence(F.lit(1), F.length(a)), F.lit(0), lambda n, k: n + (F.substring(a, F.lit(1), k) == F.substring(b, F.lit(1), k)).cast("int"))
-    return ranges.withColumn("bits_", same).withColumn("prefix_", F.substring(a, F.lit(1), F.col("bits_")))
+DIGITS = "0123456789ABCDEF"
+#: Digits that a block's prefix has at least, so that no group holds all keys.
+LEAST_DIGITS = 2
+
+
+def prefix_blocks(ranges: DataFrame, lo: str, hi: str) -> DataFrame:
+    """A row for each of a range's maximal aligned blocks, as hexadecimal prefix_ and its length bits_ (in digits).
+
+    The blocks of a range are disjoint and make up exactly the range: at most 15 of each length at either end. Where the
+    ends first differ stand the digits between; below, the lower end has the digits after its own, the upper one those
+    before, down to where only zeros (or Fs) are left. Blocks of fewer than LEAST_DIGITS digits are cut into such.
+    """
+    a, b, n = F.col("a_"), F.col("b_"), F.length("a_")
+    digit = lambda text, j: F.conv(F.substr(text, j + 1, F.lit(1)), 16, 10).cast("int")
+    children = lambda head, x, y: F.when(x <= y, F.transform(F.sequence(x, y), lambda v: F.concat(head, F.substr(F.lit(DIGITS), v + 1, F.lit(1))))).otherwise(F.array().cast("array<string>"))
+    own = ranges.withColumns({"a_": F.hex(lo), "b_": F.hex(hi)}).where("a_ IS NOT NULL AND b_ IS NOT NULL AND a_ <= b_")
+    differ = F.filter(F.sequence(F.lit(0), n - 1), lambda j: F.substr(a, j + 1, F.lit(1)) != F.substr(b, j + 1, F.lit(1)))
+    own = own.withColumns({"d_": F.coalesce(F.get(differ, F.lit(0)), n), "za_": F.length(F.regexp_replace(a, "0+$", "")), "zb_": F.length(F.regexp_replace(b, "F+$", ""))})
+    d, za, zb = F.col("d_"), F.greatest("za_", F.col("d_") + 1), F.greatest("zb_", F.col("d_") + 1)
+    places = lambda z: F.when(z > d + 1, F.sequence(d + 1, z - 1)).otherwise(F.array().cast("array<int>"))
+    lower = F.flatten(F.transform(places(za), lambda j: children(F.substr(a, F.lit(1), j), digit(a, j) + (j < za - 1).cast("int"), F.lit(15))))
+    upper = F.flatten(F.transform(places(zb), lambda j: children(F.substr(b, F.lit(1), j), F.lit(0), digit(b, j) - (j < zb - 1).cast("int"))))
+    # the first digits themselves are whole blocks if nothing but zeros or Fs follows them
+    between = children(F.substr(a, F.lit(1), d), digit(a, d) + (za > d + 1).cast("int"), digit(b, d) - (zb > d + 1).cast("int"))
+    whole = (F.col("za_") <= d) & (F.col("zb_") <= d)
+    blocks = F.when(whole, F.array(F.substr(a, F.lit(1), d))).otherwise(F.concat(lower, between, upper))
+    for _ in range(LEAST_DIGITS):
+        blocks = F.flatten(F.transform(blocks, lambda p: F.when(F.length(p) < LEAST_DIGITS, children(p, F.lit(0), F.lit(15))).otherwise(F.array(p))))
+    return own.withColumn("prefix_", F.explode(blocks)).withColumn("bits_", F.length("prefix_")).drop("a_", "b_", "d_", "za_", "zb_")
 
 
 def hits_of_bytes(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str) -> DataFrame:
     """Distinct keys with every range that holds them. Keys, lo and hi are bytes of one length (ip_bin: 16), which compare as unsigned.
 
-    A key meets the ranges below its own prefixes, of those lengths that occur (at most one for each four bits of a key).
+    A key meets the blocks with one of its own prefixes, of those lengths that occur (at most one for each four bits of a
+    key); every meeting is a hit, so ranges that cross a border of many blocks cost no more than others.
     """
-    r = hex_prefixes(ranges, lo, hi)
-    lengths = sorted(x["bits_"] for x in r.select("bits_").where("bits_ IS NOT NULL").distinct().collect())  # 33 for addresses
+    r = prefix_blocks(ranges, lo, hi)
+    lengths = sorted(x["bits_"] for x in r.select("bits_").distinct().collect())  # 32 for addresses
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     keys = keys.withColumn("p_", F.explode(F.array(*[F.struct(F.lit(n).alias("bits_"), F.substring(F.hex(key), 1, n).alias("prefix_")) for n in lengths or [0]]))).select(key, "p_.*")
-    return keys.join(r, ["bits_", "prefix_"]).where((F.col(key) >= F.col(lo)) & (F.col(key) <= F.col(hi)))
+    return keys.join(r, ["bits_", "prefix_"])
+
+
+#: Rows that one range of an as-of join takes.
+ASOF_ROWS = 1_000_000
+
+
+def asof_join(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str, value: str, default: object) -> DataFrame:
+    """Left join to disjoint ranges of any width, numbers or bytes; default on a miss or a null key.
+
+    Keys and starts are range-partitioned together; each key takes the last start before it, within its part or carried
+    over from the parts before by a table of one row each. Nothing is exploded, and no range or hot key fills a task:
+    rows of one key are dealt over several parts.
+    """
+    at = F.col(key)
+    own = df.select(at.alias("at_"), F.lit(1).alias("kind_"), F.monotonically_increasing_id().alias("salt_"), F.lit(None).cast(ranges.schema[hi].dataType).alias("to_"), F.lit(None).cast(ranges.schema[value].dataType).alias("value_"), F.struct("*").alias("row_"))
+    starts = ranges.where(F.col(lo).isNotNull()).select(F.col(lo).alias("at_"), F.lit(0).alias("kind_"), F.lit(-1).cast("long").alias("salt_"), F.col(hi).alias("to_"), F.col(value).alias("value_"), F.lit(None).cast(own.schema["row_"].dataType).alias("row_"))
+    both = stored(own.where(at.isNotNull()).unionByName(starts), "asof-rows")
+    order = ("at_", "kind_", "salt_")
+    parts = max(1, -(-both.count() // ASOF_ROWS))
+    dealt = stored(both.repartitionByRange(parts, *order).withColumn("part_", F.spark_partition_id()), "asof-parts")
+    start = F.struct("at_", "to_", "value_")
+    last = dealt.where("kind_ = 0").groupBy("part_").agg(F.max_by(start, "at_").alias("last_"))
+    # a row for each part
+    before = dealt.select("part_").distinct().join(last, "part_", "left").withColumn("carried_", F.last("last_", ignorenulls=True).over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1))).select("part_", "carried_")
+    within = Window.partitionBy("part_").orderBy(*order)
+    found = dealt.withColumn("own_", F.last(F.when(F.col("kind_") == 0, start), ignorenulls=True).over(within)).where("kind_ = 1").join(F.broadcast(before), "part_")
+    hit = F.coalesce("own_", "carried_")
+    out = found.select("row_.*", F.when(F.col("at_") <= hit["to_"], hit["value_"]).alias("hit_"))
+    none = df.where(at.isNull()).withColumn("hit_", F.lit(None).cast(ranges.schema[value].dataType))
+    return out.unionByName(none).select(*df.columns, F.coalesce("hit_", F.lit(default)).alias(value))
 
 
 def interval_join_bytes(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str, value: str, default: object) -> DataFrame:
@@ -75,7 +132,8 @@ def flatten_ranges(ranges: DataFrame, lo: str = "lo", hi: str = "hi", value: str
     points = r.select("bucket_", F.explode(F.array(F.col("a"), F.col("b") + 1)).alias("point")).distinct()
     segments = points.withColumn("next", F.lead("point").over(in_bucket)).where("next IS NOT NULL").select("bucket_", F.col("point").alias("x"), (F.col("next") - 1).alias("y"))
     covered = segments.join(r, "bucket_").where("a <= x AND y <= b").groupBy("bucket_", "x", "y").agg(F.max_by("value", F.struct("lo", -F.col("hi"), -F.col("value"))).alias("value"))
-    left, out, width = merged(covered, ["bucket_"]), None, bits
+    # what is used twice is written: each level's windows are evaluated once
+    left, out, width = stored(merged(covered, ["bucket_"]), "ranges-left"), None, bits
     while width < 63:
         first = F.shiftleft("bucket_", width)
         border = (F.col("x") == first) | (F.col("y") == first + ((1 << width) - 1))
@@ -83,7 +141,7 @@ def flatten_ranges(ranges: DataFrame, lo: str = "lo", hi: str = "hi", value: str
         out = inner if out is None else out.unionByName(inner)
         width = min(63, width + LEVEL)
         wide = left.where(border).select(F.shiftright("x", width).alias("bucket_"), "x", "y", "value")
-        left = merged(wide, ["bucket_"])
+        left = stored(merged(wide, ["bucket_"]), "ranges-left")
     out = out.unionByName(left.select("x", "y", "value"))
     return out.select(F.col("x").alias("lo"), F.col("y").alias("hi"), "value")
 
