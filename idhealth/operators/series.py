@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from idhealth.sources.shared import stored
+
+from .quantiles import with_order_statistics
+
 
 def month_grid(df: DataFrame, month: str) -> DataFrame:
     """(month, i): all months from the first to the last, as yyyy-MM. One row goes in, one per month comes out."""
@@ -99,11 +103,16 @@ def active_mask(df: DataFrame, key: Sequence[str], slice_: str, value: str, star
 
 
 def daytime_stats(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
-    """Per key: count, mean, population deviation, and quartiles by position n // 4 and 3 * (n // 4) of the sorted values, from 0."""
-    w = Window.partitionBy(*key)
-    r = df.withColumns({"r_": F.row_number().over(w.orderBy(value)) - 1, "n_": F.count("*").over(w)})
-    quarter = F.floor(F.col("n_") / 4)
-    return r.groupBy(*key).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("deviation"), F.max(F.when(F.col("r_") == quarter, F.col(value))).alias("q1"), F.max(F.when(F.col("r_") == 3 * quarter, F.col(value))).alias("q3"))
+    """Per key: count, mean, population deviation, and quartiles by position n // 4 and 3 * (n // 4) of the sorted values, from 0.
+
+    The quartiles are found by refined histograms: no key's values are sorted or held in one task.
+    """
+    kind = df.schema[value].dataType
+    values = df.select(*key, F.col(value).cast("double").alias("v"))
+    summary = stored(df.groupBy(*key).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("deviation")), "daytime")
+    quarter = F.floor(F.col("n") / 4)
+    out = with_order_statistics(summary, values.where("v IS NOT NULL"), key, {"q1": quarter, "q3": 3 * quarter})
+    return out.select(*key, "n", "mean", "deviation", F.col("q1").cast(kind).alias("q1"), F.col("q3").cast(kind).alias("q3"))
 
 
 def outliers(df: DataFrame, stats: DataFrame, key: Sequence[str], value: str, parts: Sequence[str], floor: float = 100_000) -> DataFrame:

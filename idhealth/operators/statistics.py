@@ -7,15 +7,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from idhealth.sources.shared import stored
+
+from .quantiles import with_order_statistics
+
 
 def describe_by(df: DataFrame, segment: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """(segment…, column, count, mean, std, min, q1, median, q3, max), quartiles interpolated."""
+    """(segment…, column, count, mean, std, min, q1, median, q3, max), quartiles exact and interpolated; null and NaN don't count.
+
+    One pass sums up; the quartiles are found by refined histograms, so a segment with most rows is in no one's memory.
+    """
     long = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")
-    v = F.col("x.v")
-    q = lambda p: F.percentile(v, F.lit(p))
-    return df.select(*segment, long).groupBy(*segment, F.col("x.column").alias("column")).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), q(0.25).alias("q1"), q(0.5).alias("median"), q(0.75).alias("q3"), F.max(v).alias("max")
-    )
+    values = df.select(*segment, long).select(*segment, "x.column", F.when(~F.isnan("x.v"), F.col("x.v")).alias("v"))
+    summary = stored(values.groupBy(*segment, "column").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")), "described")
+    at = lambda p: F.when(F.col("count") > 0, (F.col("count") - 1) * p)
+    out = with_order_statistics(summary, values.where("v IS NOT NULL"), [*segment, "column"], {"q1": at(0.25), "median": at(0.5), "q3": at(0.75)})
+    return out.select(*segment, "column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], segment: Sequence[str] = ()) -> DataFrame:
