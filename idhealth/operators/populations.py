@@ -128,12 +128,24 @@ def category_key(criteria: Mapping[str, tuple[Column, float, float]]) -> Column:
     return F.concat(*[F.when(c <= low, F.lit("l")).when(c >= high, F.lit("H")).otherwise(F.lit("m")) for c, low, high in criteria.values()])
 
 
+#: Parts of a category that are ranked before their first entities are ranked together.
+PARTS = 64
+
+
 def categorize(df: DataFrame, criteria: Mapping[str, tuple[Column, float, float]], value: str, entity: str, samples: int = 10) -> DataFrame:
-    """(category, count, load, samples): the samples are the least entities of a category, as a list of at most `samples`."""
+    """(category, count, load, samples): the samples are the least entities of a category, as a list of at most `samples`.
+
+    A category may hold most rows: counts are summed in the tasks, and only the first `samples` of each of its PARTS are ranked together.
+    """
     keyed = df.withColumn("category", category_key(criteria))
-    ranked = keyed.withColumn("rank_", F.row_number().over(Window.partitionBy("category").orderBy(entity)))
-    out = ranked.groupBy("category").agg(F.count("*").alias("count"), F.sum(value).alias("load"), F.sort_array(F.collect_list(F.when(F.col("rank_") <= samples, F.col(entity)))).alias("samples"))
-    return out
+    part = F.pmod(F.xxhash64(entity), F.lit(PARTS))
+    by_part = keyed.groupBy("category", part.alias("part_")).agg(F.count("*").alias("count"), F.sum(value).alias("load"))
+    total = by_part.groupBy("category").agg(F.sum("count").alias("count"), F.sum("load").alias("load"))
+    rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(entity))
+    first = keyed.where(F.col(entity).isNotNull()).select("category", entity, part.alias("part_")).withColumn("rank_", rank("category", "part_")).where(F.col("rank_") <= samples)
+    first = first.withColumn("rank_", rank("category")).where(F.col("rank_") <= samples).groupBy("category").agg(F.sort_array(F.collect_list(entity)).alias("samples"))
+    kind = df.schema[entity].dataType.simpleString()
+    return total.join(first, "category", "left").withColumn("samples", F.coalesce("samples", F.array().cast(f"array<{kind}>"))).select("category", "count", "load", "samples")
 
 
 def step_histogram(df: DataFrame, criteria: Mapping[str, tuple[Column, float, float]]) -> DataFrame:

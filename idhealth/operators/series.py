@@ -75,16 +75,29 @@ def slice_grid(df: DataFrame, key: Sequence[str], slice_: str, values: Sequence[
     return full.join(df, [*key, slice_], "left").fillna(0, list(values))
 
 
-def smooth(df: DataFrame, key: Sequence[str], order: str, value: str, width: int = 25, out: str = "smooth") -> DataFrame:
-    """Centred mean over `width` rows; past the ends the first and last values repeat."""
-    half = width // 2
-    w = Window.partitionBy(*key).orderBy(order)
-    whole = Window.partitionBy(*key)
-    near = w.rowsBetween(-half, half)
-    r, n = F.row_number().over(w), F.count("*").over(whole)
-    first, last = F.min_by(value, order).over(whole), F.max_by(value, order).over(whole)
-    before, after = F.greatest(half - r + 1, F.lit(0)), F.greatest(r + half - n, F.lit(0))
-    return df.withColumn(out, (F.sum(value).over(near) + first * before + last * after) / width)
+#: Slices of one key that a task smooths; with the edge rows of its neighbours.
+BLOCK = 4096
+
+
+def smooth(df: DataFrame, key: Sequence[str], order: str, value: str, width: int = 25, out: str = "smooth", block: int = BLOCK) -> DataFrame:
+    """Centred mean over `width` slices; past the ends the first and last values repeat.
+
+    A key's slices follow each other without gaps (see slice_grid). A long series is cut into blocks, each with the
+    `width` // 2 rows before and after it, so that one key is not one task; a key's ends are one row.
+    """
+    half, rest = width // 2, [c for c in df.columns if c not in key]
+    if block < half:
+        raise ValueError("a block must reach over its neighbours' edge rows")
+    at = F.floor(F.col(order) / block)
+    within = F.col(order) - at * block
+    # a row goes to its own block and, near a border, to the one beside it
+    spread = df.withColumn("block_", F.explode(F.array_compact(F.array(at, F.when(within < half, at - 1), F.when(within >= block - half, at + 1)))))
+    ends = df.groupBy(*key).agg(F.min_by(value, order).alias("first_"), F.max_by(value, order).alias("last_"), F.min(order).alias("from_"), F.max(order).alias("to_"))
+    near = Window.partitionBy(*key, "block_").orderBy(order).rowsBetween(-half, half)
+    own = spread.withColumn("near_", F.sum(value).over(near)).where(F.col("block_") == at)
+    own = own.join(ends, list(key)) if key else own.crossJoin(F.broadcast(ends))  # one row
+    before, after = F.greatest(half - (F.col(order) - F.col("from_")), F.lit(0)), F.greatest(half - (F.col("to_") - F.col(order)), F.lit(0))
+    return own.select(*key, *rest, ((F.col("near_") + F.col("first_") * before + F.col("last_") * after) / width).alias(out))
 
 
 def quiet_slice(df: DataFrame, slice_: str, value: str, per_day: int) -> DataFrame:
@@ -97,7 +110,9 @@ def active_mask(df: DataFrame, key: Sequence[str], slice_: str, value: str, star
     """Adds day and active. A slice is busy above half the key's mean. Each day has a window of `length` slices from `start` on; with a busy slice in it, it is all active. Outside windows nothing is."""
     at = F.col(slice_) - start
     inside = F.pmod(at, F.lit(per_day)) < length
-    d = df.withColumn("day", F.floor(at / per_day)).withColumn("busy_", F.col(value) > F.avg(value).over(Window.partitionBy(*key)) / 2)
+    means = df.groupBy(*key).agg(F.avg(value).alias("mean_"))  # a row a key; only a key's day is a window
+    d = df.join(means, list(key)) if key else df.crossJoin(F.broadcast(means))  # one row
+    d = d.withColumn("day", F.floor(at / per_day)).withColumn("busy_", F.col(value) > F.col("mean_") / 2).drop("mean_")
     any_busy = F.bool_or(F.col("busy_") & inside).over(Window.partitionBy(*key, "day"))
     return d.withColumn("active", inside & any_busy).drop("busy_")
 

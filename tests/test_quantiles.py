@@ -37,3 +37,30 @@ def test_describe_by(spark):
         assert r["count"] == len(x)
         assert [r["min"], r["q1"], r["median"], r["q3"], r["max"]] == pytest.approx(np.percentile(x, [0, 25, 50, 75, 100]).tolist())
     assert got["empty", "x"]["median"] is None and got["empty", "y"]["q1"] == 1
+
+
+@pytest.mark.parametrize("block", [12, 13, 50, 4096])
+def test_smooth_in_blocks(spark, block):
+    """One long key in many blocks, one that begins inside a block, and one shorter than the window."""
+    from idhealth.operators.series import smooth
+
+    rng = random.Random(block)
+    series = {"long": (-7, [rng.random() for _ in range(333)]), "other": (100, [rng.random() for _ in range(60)]), "short": (5, [1.0, 4.0, 2.0])}
+    rows = [(k, at + i, v) for k, (at, vs) in series.items() for i, v in enumerate(vs)]
+    rng.shuffle(rows)
+    got = {(r["k"], r["s"]): r["smooth"] for r in smooth(spark.createDataFrame(rows, "k string, s long, v double"), ["k"], "s", "v", block=block).collect()}
+    want = {}
+    for k, (at, vs) in series.items():
+        padded = [vs[0]] * 12 + vs + [vs[-1]] * 12
+        want |= {(k, at + i): sum(padded[i : i + 25]) / 25 for i in range(len(vs))}
+    assert got == pytest.approx(want)
+
+
+def test_categorize_takes_the_least_entities(spark):
+    from pyspark.sql import functions as F
+
+    from idhealth.operators.populations import categorize
+
+    rows = [(i, i % 3, 1) for i in range(500)] + [(None, 0, 5)]
+    got = {r["category"]: r for r in categorize(spark.createDataFrame(rows, "e long, c int, v long"), {"c": (F.col("c"), 0.5, 1.5)}, "v", "e", 4).collect()}
+    assert {k: (r["count"], r["load"], r["samples"]) for k, r in got.items()} == {"l": (168, 172, [0, 3, 6, 9]), "m": (167, 167, [1, 4, 7, 10]), "H": (166, 166, [2, 5, 8, 11])}
