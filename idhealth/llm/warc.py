@@ -118,7 +118,7 @@ CAPTURE_TYPES = [_TYPES[x.split()[1]] for x in CAPTURES.split(", ")]
 
 
 def index_rows(folder: str):
-    """Sorted captures of one partition to one index file; gives its name and first key."""
+    """Sorted captures of one partition to one index file; gives its name and first capture."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
@@ -130,7 +130,7 @@ def index_rows(folder: str):
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}", compression=None)
             block = zlib.compress("\n".join(json.dumps([r[c] for c in INDEXED], ensure_ascii=False) for r in held).encode(), 6)
-            directory.append([held[0]["key"], at, len(block)])
+            directory.append([held[0]["key"], held[0]["page_id"], at, len(block)])
             out.write(block)
             at += len(block)
             held.clear()
@@ -146,7 +146,7 @@ def index_rows(folder: str):
             if out is not None:
                 tail = zlib.compress(json.dumps(directory, ensure_ascii=False).encode(), 6)
                 out.write(tail + struct.pack("<Q", len(tail)))
-                yield pa.record_batch([pa.array([name]), pa.array([directory[0][0]])], ["index_file", "first_key"])
+                yield pa.record_batch([pa.array([name]), pa.array([directory[0][0]]), pa.array([directory[0][1]], pa.int64())], ["index_file", "first_key", "first_id"])
         finally:
             if out is not None:
                 out.close()
@@ -156,6 +156,13 @@ def index_rows(folder: str):
 
 INDEXED = ["key", "page_id", "file", "at", "size"]
 
+Place = tuple[bytes, bool, int]
+
+
+def place_of(key: str, page_id: int | None) -> Place:
+    """Where a capture stands in the index: by key, then page_id, null first."""
+    return key.encode(), page_id is not None, page_id or 0
+
 
 class IndexFile:
     """One index file, opened at its directory; keeps the last block that was read."""
@@ -165,23 +172,23 @@ class IndexFile:
         end = self.file.size()
         n = struct.unpack("<Q", self.range(end - 8, 8))[0]
         self.directory = json.loads(zlib.decompress(self.range(end - 8 - n, n)))
-        self.firsts = [x[0].encode() for x in self.directory]
-        self.block, self.lines, self.keys = -1, [], []
+        self.firsts = [place_of(x[0], x[1]) for x in self.directory]
+        self.block, self.lines, self.places = -1, [], []
 
     def range(self, at: int, size: int) -> bytes:
         self.file.seek(at)
         return self.file.read(size)
 
-    def find(self, key: bytes) -> Iterator[list]:
-        """Lines of a key: from the last block that begins before it, on while blocks may hold it."""
-        b = max(0, bisect.bisect_left(self.firsts, key) - 1)
-        while b < len(self.firsts) and self.firsts[b] <= key:
+    def find(self, place: Place) -> Iterator[list]:
+        """Lines of a capture: from the last block that begins before it, on while blocks may hold it. However many captures a key has, no others are looked at."""
+        b = max(0, bisect.bisect_left(self.firsts, place) - 1)
+        while b < len(self.firsts) and self.firsts[b] <= place:
             if self.block != b:
-                _, at, size = self.directory[b]
+                *_, at, size = self.directory[b]
                 self.lines = [json.loads(x) for x in zlib.decompress(self.range(at, size)).decode().split("\n")]
-                self.keys, self.block = [x[0].encode() for x in self.lines], b
-            i = bisect.bisect_left(self.keys, key)
-            while i < len(self.keys) and self.keys[i] == key:
+                self.places, self.block = [place_of(x[0], x[1]) for x in self.lines], b
+            i = bisect.bisect_left(self.places, place)
+            while i < len(self.places) and self.places[i] == place:
                 yield self.lines[i]
                 i += 1
             b += 1
@@ -205,9 +212,7 @@ def lookup_rows(archive: str, index: str):
                         if len(opened) >= 8:
                             opened.pop(next(iter(opened))).file.close()
                         opened[name] = IndexFile(ifs, f"{iroot}/{name}")
-                    for _, page_id, file, at, size in opened[name].find(r["key"].encode()):
-                        if page_id != r["page_id"]:
-                            continue
+                    for _, page_id, file, at, size in opened[name].find(place_of(r["key"], r["page_id"])):
                         if file not in archives:
                             if len(archives) >= 64:
                                 archives.pop(next(iter(archives))).close()
@@ -244,25 +249,25 @@ def write_archives(pages: DataFrame, archive: str, min_bytes: int = 0) -> DataFr
 
 
 def write_index(captures: DataFrame, index: str) -> DataFrame:
-    """Writes the sorted index files; their written list (index_file, first_key): a row per partition."""
+    """Writes the sorted index files; their written list (index_file, first_key, first_id): a row per partition."""
     parts = max(1, int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = captures.select(*INDEXED).repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id")
-    return written(ordered.mapInArrow(index_rows(index), "index_file string, first_key string"), "warc-index")
+    return written(ordered.mapInArrow(index_rows(index), "index_file string, first_key string, first_id long"), "warc-index")
 
 
 def lookup(keys: DataFrame, files: DataFrame, archive: str, index: str) -> DataFrame:
     """READ rows of the records that the index has for (key, page_id) rows.
 
-    The index files' first keys (a row per index partition) go to every task; a key may run on from one file to the next.
+    The index files' first captures (a row per index partition) go to every task; a key may run on from one file to the next.
     """
-    heads = sorted(((r["first_key"].encode(), r["index_file"]) for r in files.collect()))  # a row per index partition
+    heads = sorted((place_of(r["first_key"], r["first_id"]), r["index_file"]) for r in files.collect())  # a row per index partition
     firsts, names = [x[0] for x in heads], [x[1] for x in heads]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = []
-            for key in b.column("key").to_pylist():
-                k = key.encode()
+            for key, page_id in zip(b.column("key").to_pylist(), b.column("page_id").to_pylist(), strict=True):
+                k = place_of(key, page_id)
                 lists.append(names[max(0, bisect.bisect_left(firsts, k) - 1) : bisect.bisect_right(firsts, k)])
             yield pa.record_batch([b.column("key"), b.column("page_id"), pa.array(lists, pa.list_(pa.string()))], ["key", "page_id", "index_files"])
 

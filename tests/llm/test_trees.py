@@ -13,7 +13,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from idhealth.llm import merkle, neardup, simhash, trie
+from idhealth.llm import merkle, neardup, simhash, trie, warc
+from idhealth.llm.base import new_dir
 
 
 def sha(x: str) -> str:
@@ -314,3 +315,37 @@ def test_repeated_lines_keep_links(spark, repeats):
     alike = [i for i in range(0, 400, 2) if len(grams(texts[i]) & grams(texts[i + 1])) >= 0.8 * len(grams(texts[i]) | grams(texts[i + 1]))]
     assert len(alike) > 150
     assert all(got[i + 1] == i for i in alike)
+
+
+# --- captures of one URL key ---
+
+
+def test_one_key_over_many_index_files(spark, monkeypatch):
+    """Most captures have one key, which runs over several index files and blocks; each is found by key and page, none is looked at twice."""
+    rows = [(i, None if i % 4 else f"http://h{i}.org/", f"<p>{i if i % 10 else 'same'}</p>") for i in range(1500)] + [(None, None, "<p>no id</p>"), (7, None, "<p>again 7</p>")]
+    monkeypatch.setattr(warc, "BLOCK", 16)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    archive, index = new_dir(spark, "warc"), new_dir(spark, "warc-cdx")
+    files = warc.write_index(warc.write_archives(pages, archive), index)
+    assert len({r["first_key"] for r in files.collect()}) < files.count() or files.where("first_key = ''").count() > 0
+    got = warc.archive_pages(pages, new_dir(spark, "warc"), new_dir(spark, "warc-cdx")).collect()
+    assert len(got) == len(rows)
+    top = max(i for i in range(1500) if i % 10 == 0)
+    assert sum(r["record_type"] == "revisit" for r in got) == 149 and {r["refers_to"] for r in got if r["record_type"] == "revisit"} == {top}
+    assert sorted((r["page_id"] is not None, r["page_id"] or 0, r["payload_bytes"]) for r in got) == sorted((p is not None, p or 0, len(h)) for p, _, h in rows)
+
+
+def test_search_reads_one_block(spark, tmp_path):
+    """A capture among many of its key is found in the block that holds it."""
+    from pyarrow import fs
+
+    captures = spark.createDataFrame([("k", i, "f", i, 1) for i in range(20_000)], "key string, page_id long, file string, at long, size long").coalesce(1).sortWithinPartitions("page_id")
+    name = captures.mapInArrow(warc.index_rows(f"file://{tmp_path}"), "index_file string, first_key string, first_id long").collect()[0]["index_file"]
+    index, read = warc.IndexFile(fs.LocalFileSystem(), f"{tmp_path}/{name}"), []
+    whole = index.range
+    index.range = lambda at, size: (read.append(at), whole(at, size))[1]
+    for page in (0, 9_999, 19_999, 12_345):
+        index.block = -1
+        assert [x[1] for x in index.find(warc.place_of("k", page))] == [page]
+    assert len(read) <= 8  # one block each, or the one before it too
+    assert list(index.find(warc.place_of("k", 20_000))) == [] == list(index.find(warc.place_of("a", 5)))
