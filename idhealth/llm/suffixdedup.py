@@ -76,26 +76,31 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([doc, pa.array(h.view(np.int64)), pa.array(packed)], ["doc", "h", "place"])
 
 
+#: Anchors whose suffixes are copied at once: a periodic text has one for nearly every byte.
+SLICE = 8192
+
+
 def suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For (doc, text, a: array of (place, h, hot)): bytes low .. high + LENGTH of each anchor."""
+    """For (doc, text, a: array of (place, h, hot)): bytes low .. high + LENGTH of each anchor, some thousand anchors at a time."""
     for batch in batches:
         for c in tf.chunks(batch, "text"):
             data, offsets = tf.flat(c.column("text"))
             lists = c.column("a")
-            begin = lists.offsets.to_numpy()
-            row = np.repeat(np.arange(c.num_rows), np.diff(begin))
+            rows = np.repeat(np.arange(c.num_rows), np.diff(lists.offsets.to_numpy()))
             flat = lists.flatten()
-            place = flat.field("place").to_numpy(zero_copy_only=False).astype(np.int64)
-            pos = place >> 16
-            low, high = pos - (place >> 8 & 255), pos - (place & 255)
-            size = high - low + LENGTH
-            where = np.repeat(offsets[row] + low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-            bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            body = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(bounds), pa.py_buffer(data[where])])
-            lead_at = (offsets[row] + pos)[:, None] + np.arange(16)
-            lead = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(np.ascontiguousarray(data[lead_at]))]).cast(pa.binary())
-            at = [pa.array(x.astype(np.int32)) for x in (pos, low, high)]
-            yield pa.record_batch([c.column("doc").take(pa.array(row)), *at, flat.field("h"), lead, body], ["doc", "pos", "low", "high", "h", "lead", "body"])
+            for k in range(0, len(rows), SLICE):
+                row, part = rows[k : k + SLICE], flat.slice(k, SLICE)
+                place = part.field("place").to_numpy(zero_copy_only=False).astype(np.int64)
+                pos = place >> 16
+                low, high = pos - (place >> 8 & 255), pos - (place & 255)
+                size = high - low + LENGTH
+                bounds = np.concatenate([[0], np.cumsum(size)])
+                where = np.repeat(offsets[row] + low - bounds[:-1], size) + np.arange(bounds[-1])
+                body = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data[where])])
+                lead_at = (offsets[row] + pos)[:, None] + np.arange(16)
+                lead = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(np.ascontiguousarray(data[lead_at]))]).cast(pa.binary())
+                at = [pa.array(x.astype(np.int32)) for x in (pos, low, high)]
+                yield pa.record_batch([c.column("doc").take(pa.array(row)), *at, part.field("h"), lead, body], ["doc", "pos", "low", "high", "h", "lead", "body"])
 
 
 def multikey_order(token: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:

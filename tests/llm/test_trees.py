@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from idhealth.llm import merkle, neardup, simhash, trie, warc
+from idhealth.llm import merkle, neardup, simhash, suffixdedup, trie, warc
 from idhealth.llm.base import new_dir
 
 
@@ -349,3 +349,12 @@ def test_search_reads_one_block(spark, tmp_path):
         assert [x[1] for x in index.find(warc.place_of("k", page))] == [page]
     assert len(read) <= 8  # one block each, or the one before it too
     assert list(index.find(warc.place_of("k", 20_000))) == [] == list(index.find(warc.place_of("a", 5)))
+
+
+@pytest.mark.parametrize("period", ["a", "abcdefg", "x" * 47 + "y"])
+def test_periodic_texts(spark, period):
+    """A text that repeats itself has an anchor at nearly every byte; its suffixes go out in slices."""
+    long = (period * 60_000)[:60_000]
+    docs = spark.createDataFrame([(1, long), (2, "start " + long[:250] + " end"), (3, long[:199]), (4, "unlike others " * 10)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffixdedup.remove_repeats(docs).collect()}
+    assert got == {1: (60_000, 60_000, 1), 2: (260, 250, 1), 3: (199, 0, 0), 4: (140, 0, 0)}
