@@ -283,7 +283,8 @@ def spans(docs: DataFrame) -> DataFrame:
     groups = written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-groups")
     open_ = found.join(small_side(groups, BROADCAST_GROUPS), "h").select("doc", F.struct("place", "h", (F.col("n") > BUCKET_ROWS).alias("hot")).alias("a"))
     lists = open_.groupBy("doc").agg(F.collect_list("a").alias("a"))
-    wanted = docs.select("doc", "text").join(lists, "doc")
+    # by a shuffle at every size, as at scale: the anchors grow with the texts, and must not be broadcast while they happen to be few
+    wanted = docs.select("doc", "text").join(lists.hint("shuffle_hash"), "doc")
     schema = "doc binary, pos int, low int, high int, h long, lead binary, body binary"
     normal = wanted.select("doc", "text", F.filter("a", lambda x: ~x["hot"]).alias("a")).where(F.size("a") > 0)
     hot = wanted.select("doc", "text", F.filter("a", lambda x: x["hot"]).alias("a")).where(F.size("a") > 0)
