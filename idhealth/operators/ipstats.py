@@ -71,3 +71,24 @@ def merge_levels(records: DataFrame, levels: Sequence[Sequence[str]], sums: Mapp
 def presence_count(named: Column, estimate: Column, least: int = 0) -> Column:
     """How many names an address asked for: the named ones it asked for and the sketched number of others, `least` at least."""
     return F.greatest(F.lit(least), F.size(F.filter(named, lambda x: x > 0)) + estimate.cast("long"))
+
+
+def merge_slices(new: DataFrame, path: str, slice_: str, levels: Sequence[Sequence[str]], keys: Sequence[str], sums: Mapping[str, int]) -> None:
+    """Merges slices into a kept hierarchy under `path`: folder `slices`, and `level_0` (finest), `level_1`, … for the levels.
+
+    levels: for example (month, cluster, day), (month, cluster), (month,), each a beginning of the one before. A slice that
+    comes again replaces its own rows. Only the days, clusters and months that the new slices touch are made anew, each
+    from the level below, and replace their own folders; so a run that is repeated, or failed half-way, changes nothing.
+    """
+    spark = new.sparkSession
+    finest = list(levels[0])
+    put = lambda df, name, by: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{path}/{name}")
+    put(new.select(*finest, slice_, *keys, *sums), "slices", [*finest, slice_])
+    touched, below = new.select(*finest).distinct(), "slices"
+    for i, level in enumerate(levels):
+        by = list(level)
+        folders = touched.select(*by).distinct()
+        rows = spark.read.parquet(f"{path}/{below}")
+        rows = rows.select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in by], *keys, *sums).join(folders, by, "left_semi")  # prunes the folders at run time
+        put(merge_vectors(rows, [*by, *keys], sums).select(*by, *keys, *sums), f"level_{i}", by)
+        below = f"level_{i}"

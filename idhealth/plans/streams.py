@@ -92,3 +92,14 @@ def stream_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = events(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("t"), F.col("user_id").alias("node"), F.col("event_type").alias("cc"), F.lit(None).cast("string").alias("city"), F.col("event_id").cast("string").alias("path"))
     out = ran(spark, averages.pattern_averages(s, "t", [("all", None, None), *((t, t, None) for t in _TYPES)], 6, keep_days=3), "averages")
     return out.select("label", "day", "at_us", "final", F.size("nodes").cast("long").alias("nodes"))
+
+
+@query("stream_replayed", "SELECT user_id, epoch_us(ts) // 86400000000 AS day, count(*) AS rows FROM events GROUP BY ALL")
+def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written batch by batch under their type; the first batch is then written again, as after a failure, and counts once."""
+    out = folder(spark, "replayed")
+    s = events(spark, sf_dir).select("user_id", "event_type", F.floor(micros(F.col("ts")) / 86_400_000_000).alias("day"))
+    stages.run_replayable(s, f"{out}/data", f"{out}/state", ["event_type"])
+    again = read(spark, sf_dir, "events").select("user_id", "event_type", F.floor(micros(F.col("ts")) / 86_400_000_000).alias("day"))
+    stages.replayable(f"{out}/data", ["event_type"])(again, 0)
+    return spark.read.parquet(f"{out}/data").groupBy("user_id", "day").agg(F.count("*").alias("rows"))

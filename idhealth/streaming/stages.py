@@ -6,7 +6,7 @@ store and cut by watermarks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -127,3 +127,18 @@ def node_series(stream: DataFrame, ts: str, node: str, values: list[str], hours:
 def run_once(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Runs a query over what its sources have now, and writes Parquet."""
     df.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def replayable(path: str, keys: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch writer of Parquet: every batch has a folder of its own (batch_id=…), below it one for each key. A batch that is retried replaces its own rows and no others."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = batch.write.mode("overwrite")
+        (out.partitionBy(*keys) if keys else out).parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def run_replayable(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = (), mode: str = "append") -> None:
+    """Runs a query over what its sources have now; a batch that failed half-way and runs again leaves no row twice."""
+    df.writeStream.outputMode(mode).foreachBatch(replayable(path, keys)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
