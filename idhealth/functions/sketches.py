@@ -57,3 +57,27 @@ def estimate(column: Column) -> Column:
     raw = F.lit(ALPHA * REGISTERS * REGISTERS) / total
     empty = F.size(F.filter(column, lambda x: x == 0))
     return F.when((raw < LINEAR_BELOW) & (empty > 0), REGISTERS * F.log(F.lit(float(REGISTERS)) / empty)).otherwise(raw)
+
+
+#: Base-2 logarithm of a binary sketch's buckets, and its relative standard error, of single sketches and of unions.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / (1 << SKETCH_BITS) ** 0.5
+
+
+def sketch_levels(df: DataFrame, levels: Sequence[Sequence[str]], value: str) -> list[DataFrame]:
+    """Binary HLL sketches of distinct values at each level, finest first; every coarser one is the union of the level below, so the rows are read once.
+
+    Each table has the level's keys, `sketch` (mergeable later on too) and `estimate`. Null values don't count.
+    """
+    out = []
+    for keys in levels:
+        agg = F.hll_sketch_agg(value, F.lit(SKETCH_BITS)) if not out else F.hll_union_agg("sketch")
+        at = (out[-1] if out else df).groupBy(*keys).agg(agg.alias("sketch"))
+        out.append(at.withColumn("estimate", F.hll_sketch_estimate("sketch")))
+    return out
+
+
+def estimated_overlap(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, both): how many values two sketched sets have in common, estimated as the sum less the union; 0 at least. Its error is that of the union, not of the overlap."""
+    pair = a.select(*keys, F.col("sketch").alias("a_"), F.col("estimate").alias("ea_")).join(b.select(*keys, F.col("sketch").alias("b_"), F.col("estimate").alias("eb_")), list(keys))
+    return pair.select(*keys, F.greatest(F.lit(0), F.col("ea_") + F.col("eb_") - F.hll_sketch_estimate(F.hll_union("a_", "b_"))).alias("both"))

@@ -139,3 +139,21 @@ def hll_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = sketches.registers(o, ["o_orderpriority", "month"], "o_custkey")
     exact = o.groupBy("o_orderpriority").agg(F.countDistinct("o_custkey").alias("exact"))
     return sketches.merge_registers(monthly, ["o_orderpriority"]).join(exact, "o_orderpriority").select("o_orderpriority", F.round(sketches.estimate(F.col("registers")), 6).alias("estimate"), "exact")
+
+
+@query("sketch_levels", """
+SELECT o_orderpriority AS priority, strftime(o_orderdate, '%Y-%m') AS month, count(DISTINCT o_custkey) AS exact, true AS within FROM orders GROUP BY ALL
+UNION ALL SELECT o_orderpriority, '', count(DISTINCT o_custkey), true FROM orders GROUP BY 1 UNION ALL SELECT '', '', count(DISTINCT o_custkey), true FROM orders
+""")
+def sketch_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers by month and priority, by priority and in all, each level the union of the one before: whether the estimates are within four standard errors."""
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("priority"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_custkey")
+    levels = (["priority", "month"], ["priority"], [])
+    out = None
+    for keys, sketched in zip(levels, sketches.sketch_levels(o, levels, "o_custkey"), strict=True):
+        exact = o.groupBy(*keys).agg(F.countDistinct("o_custkey").alias("exact"))
+        both = sketched.join(exact, keys) if keys else sketched.crossJoin(exact)  # one row each
+        within = F.abs(F.col("estimate") - F.col("exact")) <= 4 * sketches.SKETCH_ERROR * F.col("exact") + 1
+        part = both.select(*[F.col(c) if c in keys else F.lit("").alias(c) for c in levels[0]], "exact", within.alias("within"))
+        out = part if out is None else out.unionByName(part)
+    return out

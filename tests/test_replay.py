@@ -45,3 +45,17 @@ def test_late_and_replayed_slices(spark, tmp_path):
                 want[k] = [a + b for a, b in zip(want.get(k, [0, 0]), v, strict=True)]
             got = {tuple(r[c] for c in (*level, "ip")): r["v"] for r in spark.read.parquet(f"{path}/level_{i}").collect()}
             assert got == want, (i, batch)
+
+
+def test_sketch_levels(spark):
+    from idhealth.functions import sketches
+
+    rows = [("a", i % 3, i % 900) for i in range(3000)] + [("b", 0, i) for i in range(450, 1350)] + [("b", 1, None)]
+    df = spark.createDataFrame(rows, "k string, d int, v long")
+    fine, coarse, all_ = sketches.sketch_levels(df, (["k", "d"], ["k"], []), "v")
+    near = lambda x, n: abs(x - n) <= 4 * sketches.SKETCH_ERROR * n
+    got = {(r["k"], r["d"]): r["estimate"] for r in fine.collect()}
+    assert got["b", 1] == 0 and near(got["a", 0], 300) and near(got["b", 0], 900)
+    assert near(all_.first()["estimate"], 1350) and all(near(r["estimate"], 900) for r in coarse.collect())
+    a, b = (coarse.where(f"k = '{k}'").withColumn("g", coarse["k"].isNotNull()) for k in "ab")
+    assert near(900 + 900 - sketches.estimated_overlap(a, b, ["g"]).first()["both"], 1350)
