@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import html as html_lib
 import re
+import zlib
 from collections import Counter, OrderedDict
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from .base import few_bytes, read, text_of, written
 SAMPLES = 5
 #: Distinct pages of a host that must have one text in a slot for it to be frequent there, and their share of those with the slot.
 MIN_PAGES, SHARE = 3, 0.6
-#: The same inside an article or main element, where equal texts are rather near copies of an article than template.
+#: The same inside an article or main element, and in nodes that the wrapper lacks, where equal texts are rather near copies of an article than template.
 ARTICLE_PAGES, ARTICLE_SHARE = 5, 0.9
 #: Share of frequent texts among all of a slot that makes it template, and pages from which a text on ARTICLE_SHARE of all is template anywhere.
 CONSTANT, ANYWHERE_PAGES = 0.5, 20
@@ -337,10 +338,15 @@ def align(wrapper: Part, page: Part, memo: dict) -> None:
         todo.extend((a.kids[i], b.kids[j]) for i, j in pairs(a, b, memo))
 
 
-#: A block of text: slot of the element where it begins, level (2 in an article, 1 in a main element, else 0), doubtful by its marks, text, slot of the nearest element around that has one.
+#: A block of text: slot of the element where it begins (its place if the wrapper lacks it), level (2 in an article, 1 in a main element, else 0), doubtful by its marks, text, slot of the nearest element around that has one.
 Block = tuple[int, int, bool, str, int]
 
 
+def place(around: int, x: Node) -> int:
+    """The slot of an element that the wrapper lacks, below -1: it tells the tags and classes on the way from the nearest element that has one."""
+    return -2 - (zlib.crc32(f"{around} {x.tag} {x.style}".encode("utf-8", "surrogatepass")) >> 1)
+
+
 def blocks(page: Node) -> list[Block]:
     """Blocks of text in page order, without what is apart by its marks. A block ends where a block element begins or ends; br is white space."""
     out: list[Block] = []
@@ -378,7 +384,10 @@ def blocks(page: Node) -> list[Block]:
         level = max(level, {MAIN: 1, ARTICLE: 2}.get(x.mark, 0))
         if x.tag in BLOCK:
             todo.append((x, level, doubtful, slots, True))
-        inner = (x.slot, x.slot if x.slot >= 0 else slots[1])
+        if x.slot >= 0:
+            inner = (x.slot, x.slot)
+        else:
+            inner = (place(slots[0], x), slots[1]) if slots[1] >= 0 else (-1, -1)
         todo.extend((k, level, doubtful, inner, False) for k in reversed(x.kids))
     flush()
     return out
@@ -442,7 +451,7 @@ def slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key = (host, digest("\n".join(x[3] for x in main_part([x for x in found if not x[2]] or found)), 16))
                     counts: dict[tuple, list[int]] = {}
                     for slot, level, doubtful, text, _ in found:
-                        if slot >= 0:
+                        if slot != -1:
                             for h in (hash_text(slot, text), 0):
                                 x = counts.setdefault((slot, h, int(level > 0)), [0, 0])
                                 x[0] += 1
@@ -505,7 +514,7 @@ def template_of(own: DataFrame, wrappers: DataFrame) -> DataFrame:
     slots = texts.where("hash = 0").select("host", "slot", "level", F.col("n").alias("all"), F.col("times").alias("all_times"), F.col("chars").alias("all_chars"))
     per = few_bytes(written(slots.join(few_bytes(pages, F.octet_length("host")), "host"), "slots"), F.octet_length("host") + 24)
     both = texts.where(F.col("hash") != 0).join(per, ["host", "slot", "level"])
-    inside = F.col("level") > 0
+    inside = (F.col("level") > 0) | (F.col("slot") < 0)
     frequent = (F.col("n") >= F.when(inside, ARTICLE_PAGES).otherwise(MIN_PAGES)) & (F.col("n") >= F.when(inside, ARTICLE_SHARE).otherwise(SHARE) * F.col("all"))
     both = both.where(F.col("n") >= MIN_PAGES).withColumn("frequent", frequent)
     anywhere = (F.col("n") >= ANYWHERE_PAGES) & (F.col("n") >= ARTICLE_SHARE * F.col("pages"))
@@ -513,10 +522,10 @@ def template_of(own: DataFrame, wrappers: DataFrame) -> DataFrame:
     constant = F.col("same") >= CONSTANT * F.col("all_times")
     texts_of = by_slot.groupBy("host").agg(F.flatten(F.collect_list(F.when(constant, F.concat("of_slot", "of_host")).otherwise(F.col("of_host")))).alias("template"))
     fixed = by_slot.where(constant).select("host", "slot", "level")
-    varying = per.where((F.col("level") > 0) & (F.col("all") >= MIN_PAGES)).join(fixed, ["host", "slot", "level"], "left_anti").groupBy("host").agg(F.collect_set("slot").alias("varying"))
-    mass = per.join(by_slot.where(constant).select("host", "slot", "level", "same_chars"), ["host", "slot", "level"], "left")
+    varying = per.where((F.col("level") > 0) & (F.col("slot") >= 0) & (F.col("all") >= MIN_PAGES)).join(fixed, ["host", "slot", "level"], "left_anti").groupBy("host").agg(F.collect_set("slot").alias("varying"))
+    mass = per.where("slot >= 0").join(by_slot.where(constant).select("host", "slot", "level", "same_chars"), ["host", "slot", "level"], "left")
     mass = mass.groupBy("host", "slot").agg(F.sum(F.col("all_chars") - F.coalesce("same_chars", F.lit(0))).alias("chars")).groupBy("host").agg(F.collect_list(F.struct("slot", "chars")).alias("mass"))
-    return mass.join(texts_of, "host", "left").join(varying, "host", "left")
+    return pages.select("host").join(mass, "host", "left").join(texts_of, "host", "left").join(varying, "host", "left")
 
 
 def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -534,6 +543,10 @@ def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     wrapper go by their hashes, between equal matchings to the later nodes. Pages of any length are read as a whole.
     Empty table: no rows. Columns besides these three are not read.
 
+    Nodes of layouts that none of the merged pages has get slots by their tags and classes below the nearest node that the
+    wrapper has; these are counted over all pages like the others, so a rare layout's template goes too, from ARTICLE_PAGES
+    pages on.
+
     Slots are counted over all of a host's pages, those with one main part as one page: copies of a page say nothing of its
     template. Pages go to the shuffle as hashes by host and main part, so a host may hold any share of the pages.
     """

@@ -346,6 +346,22 @@ def test_odd_markup(spark):
     assert [r.text for r in wrapper.extract_text(df).orderBy("page_id").collect()] == ["Hello link more", "kept", "kept", "x", "x", "lost"]
 
 
+def test_template_of_layouts_outside_the_sample(spark):
+    """What none of the merged pages has gets a place by tags and classes: a constant note goes, varying text there stays."""
+    rng = random.Random(15)
+    rows, want = [], {}
+    for i in range(200):
+        art = [prose(rng, rng.randint(5, 40)) for _ in range(4)]
+        odd = f"<section class=q1><b>Constant words of a note</b></section><section class=q2>{art[3]}</section>" if i % 20 == 3 else ""
+        body = "".join(f"<p>{x}</p>" for x in art[:3])
+        rows.append((i, f"http://rare.example/{i}", f"<body><div>Menu words</div><div><h1>T {i}</h1>{body}{odd}</div><div>End words</div></body>"))
+        want[i] = "\n".join([f"T {i}", *art[: 4 if odd else 3]])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    own = df.select(wrapper.host_of(F.col("url")).alias("host"), "html", F.xxhash64("html").alias("key"))
+    assert "section" not in wrapper.wrappers_of(own).first().wrapper
+    assert {r.page_id: r.text for r in wrapper.extract_text(df).collect()} == want
+
+
 def test_articles_own_notices_and_teasers(spark):
     rng = random.Random(13)
     rows = []
