@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from idhealth.functions.names import RFC6761
@@ -165,6 +165,21 @@ def pair_metrics(rows: DataFrame, first: str, second: str) -> DataFrame:
     return a.join(b, "key", "left").fillna({"dnssec": 0.0})
 
 
+def m11(rows: DataFrame) -> DataFrame:
+    """The published set of M11 from rows (metric, key, value): section, place, key, share, dnssec.
+
+    M11_1 to M11_8 are the algorithms of eight slices (dnssec null); providers and tlds join each name's share (M11.15.1,
+    M11.16.1) with its share of signed names (M11.15.2, M11.16.2; 0 if it has none; names without a share are left out).
+    Within a section larger shares come first, equal ones by key. Of repeated rows the largest value counts.
+    """
+    part = lambda i: F.regexp_extract("metric", r"^M11\.(?:([1-8])|1([56])\.([12]))$", i)
+    r = rows.where(F.col("metric").rlike(r"^M11\.(?:[1-8]|1[56]\.[12])$"))
+    r = r.select(F.when(part(2) == "5", "providers").when(part(2) == "6", "tlds").otherwise(F.concat(F.lit("M11_"), part(1))).alias("section"), (part(3) == "2").alias("signed"), "key", "value")
+    r = r.groupBy("section", "key").agg(F.max(F.when(~F.col("signed"), F.col("value"))).alias("share"), F.max(F.when(F.col("signed"), F.col("value"))).alias("dnssec")).where("share IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("share"), "key")).cast("long")  # published lists: algorithms, some providers, top-level names
+    return r.select("section", place.alias("place"), "key", "share", F.when(~F.col("section").startswith("M11_"), F.coalesce("dnssec", F.lit(0.0))).alias("dnssec"))
+
+
 def sum3(summary: DataFrame, named: Sequence[str] = ("LOCAL", "LOCALHOST", "HOME", "LAN", "INTERNAL", "IP", "LOCALDOMAIN", "CORP", "MAIL")) -> DataFrame:
     """One slice row from a summary: queries, nx_domain, useful, useless, dga, jumbo, others, the named leaks, special-use names not among them (rfc6761), other_names."""
     length = lambda a, b: F.coalesce(F.sum(F.when((F.col("registry") == "LeakByLength") & F.regexp_extract("key", r"(\d+)$", 1).try_cast("int").between(a, b), F.col("count"))), F.lit(0))
@@ -236,3 +251,18 @@ def pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = o.groupBy(F.lit("a").alias("metric"), "key").agg(F.count("*").cast("double").alias("value"))
     b = o.where("o_orderstatus = 'F'").groupBy(F.lit("b").alias("metric"), "key").agg(F.count("*").cast("double").alias("value"))
     return pair_metrics(a.unionByName(b), "a", "b")
+
+
+@query("metrics_m11", """WITH s AS (SELECT 'M11_' || (l_orderkey % 8 + 1) AS section, l_linenumber::VARCHAR AS key, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY l_orderkey % 8) AS share, NULL::DOUBLE AS dnssec FROM lineitem GROUP BY l_orderkey % 8, l_linenumber),
+p AS (SELECT 'providers' AS section, l_suppkey::VARCHAR AS key, count(*)::DOUBLE / sum(count(*)) OVER () AS share, sum((l_linestatus = 'F')::INT)::DOUBLE / count(*) AS dnssec FROM lineitem GROUP BY l_suppkey),
+t AS (SELECT 'tlds' AS section, l_returnflag || l_linenumber AS key, count(*)::DOUBLE / sum(count(*)) OVER () AS share, sum((l_linestatus = 'F')::INT)::DOUBLE / count(*) AS dnssec FROM lineitem GROUP BY l_returnflag, l_linenumber)
+SELECT section, row_number() OVER (PARTITION BY section ORDER BY share DESC, key) AS place, key, round(share, 9) AS share, round(dnssec, 9) AS dnssec FROM (FROM s UNION ALL FROM p UNION ALL FROM t)
+""")
+def metrics_m11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt to eight slices, line numbers as algorithms; suppliers as providers, flags with line numbers as top-level names, finished items as signed names. One scan."""
+    section = F.explode(F.array(F.struct(F.concat(F.lit("M11."), (F.col("l_orderkey") % 8 + 1).cast("string")).alias("metric"), F.col("l_linenumber").cast("string").alias("key")), F.struct(F.lit("M11.15.").alias("metric"), F.col("l_suppkey").cast("string").alias("key")), F.struct(F.lit("M11.16.").alias("metric"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("key"))))
+    counts = read(spark, sf_dir, "lineitem").select(section.alias("x"), (F.col("l_linestatus") == "F").alias("signed")).groupBy("x.metric", "x.key").agg(F.count("*").alias("n"), F.sum(F.col("signed").cast("long")).alias("signed"))
+    counts = counts.withColumn("all", F.sum("n").over(Window.partitionBy("metric")))
+    table = F.col("metric").endswith(".")
+    values = F.array(F.struct(F.when(table, F.concat("metric", F.lit("1"))).otherwise(F.col("metric")).alias("metric"), (F.col("n") / F.col("all")).alias("value")), F.struct(F.when(table, F.concat("metric", F.lit("2"))).alias("metric"), (F.col("signed") / F.col("n")).alias("value")))
+    return m11(counts.select("key", F.explode(values).alias("x")).select("x.metric", "key", "x.value")).withColumns({"share": F.round("share", 9), "dnssec": F.round("dnssec", 9)})

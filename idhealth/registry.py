@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from idhealth.plans import leaks, metrics, names, populations, ranges, registries, series, statistics, streams, traffic
+from idhealth.plans import files, leaks, metrics, names, populations, ranges, registries, series, statistics, streams, traffic
 from idhealth.plans.catalog import QUERIES, SQL, Query
 
-MODULES = (traffic, populations, ranges, names, series, statistics, metrics, registries, leaks, streams)
+MODULES = (traffic, populations, ranges, names, series, statistics, metrics, registries, leaks, streams, files)
 
 
 def queries() -> dict[str, Query]:
