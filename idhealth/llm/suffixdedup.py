@@ -2,7 +2,8 @@
 
 Only suffixes that start at anchors are sorted. Anchors are the least of the hashed GRAM-byte strings in every run of
 LENGTH - GRAM + 1 of them, so each LENGTH-byte string has one, chosen from its own bytes: equal strings have theirs at the
-same place. A string repeats only if its anchor's GRAM bytes do, which leaves few suffixes. These are range-partitioned
+same place. A string repeats only if SIDE bytes from its anchor on do, or SIDE bytes up to the end of its anchor's GRAM bytes:
+it has one of them whole. This leaves few suffixes, whatever shorter phrases texts share. They are range-partitioned
 by their leading tokens at sampled splitters, and sorted in each bucket, forwards from the anchor and backwards before
 it, by multikey quicksort. The strings of two anchors with l bytes before them are equal if the suffixes share LENGTH - l
 bytes forwards and l backwards: for each l, one pass over the two sorted orders finds all strings that occur twice.
@@ -24,6 +25,8 @@ from .base import few_bytes, read, small_side, text_of, written
 
 #: Bytes of a string that must repeat, and of the strings whose hashes choose the anchors.
 LENGTH, GRAM = 200, 48
+#: Of any LENGTH bytes around GRAM bytes, as many lie from these on or up to their end.
+SIDE = (LENGTH + GRAM) // 2
 #: Bits for a place in the bytes worked on at once.
 PLACE_BITS = 27
 #: Rows that a bucket's sort holds at once. Equal leading tokens can't be split over buckets, so the strings of a group with more are counted one by one.
@@ -31,15 +34,15 @@ BUCKET_ROWS = 40_000
 #: Groups that may be broadcast: two numbers each, about 40 MB as a hash relation.
 BROADCAST_GROUPS = 1_000_000
 #: place: the anchor's byte, then how far before it its strings start at most and at least, 8 bits each.
-ANCHORS = "doc binary, h long, place long"
+ANCHORS = "doc binary, h long, place long, right long, left long"
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each anchor: row, place, first and last start of the strings whose anchor it is (all in `data`), hash."""
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Of each anchor: row, place, first and last start of the strings whose anchor it is (all in `data`), hash; hashes of its two sides (0: none of its strings has this side)."""
     n, window = len(data), length - gram + 1
     if n < length:
         e = np.empty(0, np.int64)
-        return e, e, e, e, np.empty(0, tf.U64)
+        return e, e, e, e, *[np.empty(0, tf.U64)] * 3
     power, inverse = tf.powers(n + 1)
     sums = np.empty(n + 1, tf.U64)
     sums[0] = 0
@@ -63,17 +66,25 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     new[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
-    return row[first], place[first], start[first], start[last], h[place[first]]
+    row, place, low, high = row[first], place[first], start[first], start[last]
+    side = (length + gram) // 2
+    both = []
+    for k, (begin, some) in enumerate([(place, place - high <= length - side), (place + gram - side, place - low >= side - gram)]):
+        inside = some & (begin >= offsets[row]) & (begin + side <= offsets[row + 1])
+        x = np.where(inside, begin, 0)
+        x = tf.mix((sums[np.minimum(x + side, n)] - sums[x]) * inverse[x] + tf.U64(k))
+        both.append(np.where(inside, np.maximum(x, tf.U64(1)), tf.U64(0)))
+    return row, place, low, high, h[place], *both
 
 
 def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for c in tf.chunks(batch, "text"):
             data, offsets = tf.flat(c.column("text"))
-            row, place, low, high, h = anchors(data, offsets, LENGTH, GRAM)
+            row, place, low, high, h, right, left = anchors(data, offsets, LENGTH, GRAM)
             doc = c.column("doc").take(pa.array(row))
             packed = (place - offsets[row]) << 16 | (place - low) << 8 | (place - high)
-            yield pa.record_batch([doc, pa.array(h.view(np.int64)), pa.array(packed)], ["doc", "h", "place"])
+            yield pa.record_batch([doc, pa.array(h.view(np.int64)), pa.array(packed), *[pa.array(x.view(np.int64), mask=x == 0) for x in (right, left)]], ["doc", "h", "place", "right", "left"])
 
 
 #: Anchors whose suffixes are copied at once: a periodic text has one for nearly every byte.
@@ -280,9 +291,13 @@ def spans(docs: DataFrame) -> DataFrame:
     docs = docs.join(small_side(copies), "doc", "left").where("rep IS NULL OR id = rep").select("doc", "text")
     found = docs.mapInArrow(anchor_rows, ANCHORS)
     # rows of one document count too: a string may repeat within it
-    groups = written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "suffix-groups")
-    open_ = found.join(small_side(groups, BROADCAST_GROUPS), "h").select("doc", F.struct("place", "h", (F.col("n") > BUCKET_ROWS).alias("hot")).alias("a"))
-    lists = open_.groupBy("doc").agg(F.collect_list("a").alias("a"))
+    side = F.explode(F.array_compact(F.array("right", "left"))).alias("side")
+    groups = written(found.select(side).groupBy("side").agg(F.count("*").alias("n")).where("n > 1").select("side"), "suffix-groups")
+    open_ = found.select("doc", "h", "place", side).join(small_side(groups, BROADCAST_GROUPS), "side").select("doc", "h", "place")
+    open_ = written(open_, "suffix-open")  # an anchor both of whose sides repeat stands there twice
+    large = written(open_.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROWS).select("h", F.lit(True).alias("hot")), "suffix-large")
+    lists = open_.join(small_side(large), "h", "left").select("doc", F.struct("place", "h", F.coalesce("hot", F.lit(False)).alias("hot")).alias("a"))
+    lists = lists.groupBy("doc").agg(F.collect_set("a").alias("a"))
     wanted = docs.select("doc", "text").join(lists, "doc")
     schema = "doc binary, pos int, low int, high int, h long, lead binary, body binary"
     normal = wanted.select("doc", "text", F.filter("a", lambda x: ~x["hot"]).alias("a")).where(F.size("a") > 0)
@@ -292,7 +307,7 @@ def spans(docs: DataFrame) -> DataFrame:
     # Spark samples the splitters; equal leading tokens and hashes meet in one bucket, so no match crosses a boundary
     buckets = suffixes.repartitionByRange(parts, "lead", "h").sortWithinPartitions("lead", "h")
     sorted_spans = buckets.mapInArrow(bucket_rows, "doc binary, b int, e int")
-    strings = hot if groups.where(F.col("n") > BUCKET_ROWS).take(1) else hot.where(F.lit(False))
+    strings = hot if large.take(1) else hot.where(F.lit(False))
     strings = written(strings.mapInArrow(suffix_rows, schema).select("doc", "low", "body").mapInArrow(string_rows, "doc binary, s int, f binary"), "suffix-strings")
     twice = small_side(written(strings.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "suffix-twice"))  # written: Spark can then split a hot string
     hot_spans = strings.join(twice, "f").select("doc", F.col("s").alias("b"), (F.col("s") + LENGTH).alias("e")).distinct()
