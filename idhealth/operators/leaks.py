@@ -128,9 +128,10 @@ def filled_series(df: DataFrame, key: str, month: str, num: str, den: str) -> Da
     return full.join(full.groupBy(month).agg(F.avg("percent").alias("mean")), month)
 
 
-def extract_names(df: DataFrame, name: str, kind: str, least_labels: int = 1, frequent: Sequence[str] = ()) -> DataFrame:
-    """Rows whose name is of one leak type (see names.leak_type) and has least_labels labels or more."""
-    return df.where((n.leak_type(F.col(name), tuple(frequent)) == kind) & (n.n_labels(F.col(name)) >= least_labels))
+def extract_names(df: DataFrame, name: str, kind: str | Sequence[str], least_labels: int = 1, frequent: Sequence[str] = ()) -> DataFrame:
+    """Rows whose name is of one leak type (see names.leak_type), or of one of several, and has least_labels labels or more."""
+    kinds = (kind,) if isinstance(kind, str) else kind
+    return df.where(n.leak_type(F.col(name), tuple(frequent)).isin(*kinds) & (n.n_labels(F.col(name)) >= least_labels))
 
 
 def normalize_suffixes(lines: DataFrame, column: str = "value") -> DataFrame:
