@@ -14,15 +14,15 @@ from .ranges import most_specific_bytes
 LINE = r"^(\d+)(?:\.(\d+))? client (?:@\S+ )?([0-9A-Fa-f.:]+)#(\d+)(?: \([^)]*\))?: query: (\S+) IN (\S+)(?: (.*))?$"
 
 
-def parse(lines: DataFrame, column: str = "value", codes: Sequence[str] = ()) -> DataFrame:
-    """One row per line that is a query: us, resolver, port, name, type, flags, and the fields in the name's first label (see name_fields). Others are left out."""
-    # the line is matched once: its parts, put between marks that no line holds, are split again
+def parse(lines: DataFrame, column: str = "value", codes: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """One row per line that is a query: us, resolver, port, name, type, flags, and the fields in the name's first label (see name_fields). Others are left out. Before them stand the columns in keep."""
+    # the line is matched once: its parts, put between marks that no line holds, are split again; explode keeps Spark from copying the match, and what makes the line, into every field
     marked = F.regexp_replace(column, LINE, "\u0001" + "\u0001".join(f"${i}" for i in range(1, 8)))
-    ok = lines.select(F.split(marked, "\u0001").alias("p")).where("size(p) = 8 AND p[0] = ''")
+    ok = lines.select(*keep, F.explode(F.array(F.split(marked, "\u0001"))).alias("p")).where("size(p) = 8 AND p[0] = ''")
     part = lambda i: F.get(F.col("p"), F.lit(i))
     us = part(1).cast("long") * 1_000_000 + F.rpad(F.substring(part(2), 1, 6), 6, "0").cast("long")
-    own = ok.select(us.alias("us"), part(3).alias("resolver"), part(4).cast("int").alias("port"), part(5).alias("name"), part(6).alias("type"), F.coalesce(part(7), F.lit("")).alias("flags"))
-    return own.select("*", name_fields(F.col("name"), codes).alias("f")).select("us", "resolver", "port", "name", "type", "flags", "f.*")
+    own = ok.select(*keep, us.alias("us"), part(3).alias("resolver"), part(4).cast("int").alias("port"), part(5).alias("name"), part(6).alias("type"), F.coalesce(part(7), F.lit("")).alias("flags"))
+    return own.select("*", name_fields(F.col("name"), codes).alias("f")).select(*keep, "us", "resolver", "port", "name", "type", "flags", "f.*")
 
 
 def name_fields(name: Column, codes: Sequence[str] = ()) -> Column:

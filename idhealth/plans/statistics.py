@@ -123,10 +123,8 @@ def rsv_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = F.when(F.col("event_id") % 2 == 0, "results-").otherwise("")
     name = F.format_string("0du-%su%d-c%d-a%s-s%d-i010203%s-0.%s.example.net.", results, u, u % 9, F.lower(F.hex(u * 3)), F.floor(F.col("us") / 1_000_000) - 5, F.lpad(F.lower(F.hex(u % 256)), 2, "0"), F.col("event_type"))
     line = F.format_string("%d.%06d client 10.1.%d.9#%d: query: %s IN A -ED", F.floor(F.col("us") / 1_000_000), F.col("us") % 1_000_000, u % 200, 1024 + F.col("event_id") % 1000, name)
-    lines = e.select("event_id", line.alias("value"))
-    got = rsvlog.parse(lines.select("value").distinct(), codes=("AD", "AE", "AF"))
-    joined = lines.join(got.withColumn("value_us", F.col("us")), F.regexp_extract("value", r"^(\d+)\.(\d{6})", 0) == F.format_string("%d.%06d", F.floor(F.col("us") / 1_000_000), F.col("us") % 1_000_000))
-    return joined.select("event_id", "us", "resolver", "port", "shape", "user", "cc", "asn", "ad_time", "client", "prefix", "experiment", "is_results", "server")
+    got = rsvlog.parse(e.select("event_id", line.alias("value")), codes=("AD", "AE", "AF"), keep=["event_id"])
+    return got.select("event_id", "us", "resolver", "port", "shape", "user", "cc", "asn", "ad_time", "client", "prefix", "experiment", "is_results", "server")
 
 
 @query("explain_names", "WITH c AS (SELECT p_brand AS brand, p_type AS type, sum(p_size)::BIGINT AS inner_total, max(p_size) AS most FROM part GROUP BY ALL), t AS (SELECT brand, sum(inner_total)::BIGINT AS outer_total FROM c GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) SELECT brand, type, inner_total, most, outer_total FROM (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY inner_total DESC, type) AS r FROM c JOIN t USING (brand)) WHERE r <= 10")

@@ -40,3 +40,7 @@ def events(n, user, seconds, kind=lambda i: ("view", "click", "error")[i % 3]):
 
 def test_extract_names_with_many_users(same):
     assert len(same("extract_names", events=events(330, lambda i: i, lambda i: 60 * i))) == 30
+
+
+def test_log_lines_of_one_time(same):
+    assert len(same("rsv_log_parse", events=events(40, lambda i: 70 * i, lambda i: i // 4))) == 40
