@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from idhealth.sources.shared import stored
@@ -123,15 +123,21 @@ def flatten_ranges(ranges: DataFrame, lo: str = "lo", hi: str = "hi", value: str
     """Disjoint (lo, hi, value): on each stretch the range that starts latest wins, then the shortest, then the least value; neighbours of one value are merged.
 
     Ranges are clipped to buckets, which are solved on their own; only the stretches at bucket borders, two for a bucket
-    at most, are merged further, in buckets that are LEVEL times as wide from step to step.
+    at most, are merged further, in buckets that are LEVEL times as wide from step to step. Within a bucket each range
+    becomes its aligned blocks; of the ranges that have a block only the winner stays, summed up in the tasks, and a stretch
+    takes the best of the blocks around it, one a length. So what a bucket holds is bounded by its width.
     """
     r = bucketed(ranges.select(F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.col(value).alias("value")), "lo", "hi", bits)
     first, last = F.shiftleft("bucket_", bits), F.shiftleft("bucket_", bits) + ((1 << bits) - 1)
     r = r.withColumns({"a": F.greatest("lo", first), "b": F.least("hi", last)})
     in_bucket = Window.partitionBy("bucket_").orderBy("point")
+    rank = F.struct(F.col("lo").alias("lo"), (-F.col("hi")).alias("hi"), (-F.col("value")).alias("least"), F.col("value").alias("value"))
+    r = stored(r.groupBy("bucket_", "a", "b").agg(F.max(rank).alias("rank_")), "ranges-clipped")
     points = r.select("bucket_", F.explode(F.array(F.col("a"), F.col("b") + 1)).alias("point")).distinct()
     segments = points.withColumn("next", F.lead("point").over(in_bucket)).where("next IS NOT NULL").select("bucket_", F.col("point").alias("x"), (F.col("next") - 1).alias("y"))
-    covered = segments.join(r, "bucket_").where("a <= x AND y <= b").groupBy("bucket_", "x", "y").agg(F.max_by("value", F.struct("lo", -F.col("hi"), -F.col("value"))).alias("value"))
+    blocks = r.select(F.explode(aligned_blocks(F.col("a"), F.col("b"), bits)).alias("k_"), "rank_").groupBy("k_.level", "k_.block").agg(F.max("rank_").alias("rank_"))
+    around = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bits)), lambda k: F.struct(k.alias("level"), F.call_function("shiftright", F.col("x"), k).alias("block")))).alias("k_")
+    covered = segments.select("bucket_", "x", "y", around).select("bucket_", "x", "y", "k_.*").join(blocks, ["level", "block"]).groupBy("bucket_", "x", "y").agg(F.max("rank_").alias("rank_")).select("bucket_", "x", "y", "rank_.value")
     # what is used twice is written: each level's windows are evaluated once
     left, out, width = stored(merged(covered, ["bucket_"]), "ranges-left"), None, bits
     while width < 63:
@@ -146,6 +152,18 @@ def flatten_ranges(ranges: DataFrame, lo: str = "lo", hi: str = "hi", value: str
     return out.select(F.col("x").alias("lo"), F.col("y").alias("hi"), "value")
 
 
+def aligned_blocks(a: Column, b: Column, bits: int) -> Column:
+    """The maximal aligned blocks of 2**level numbers that make up a to b, as an array of (level, block): at most two of each level up to `bits`."""
+
+    def of_level(k: Column) -> Column:
+        first, end = -F.call_function("shiftright", -a, k), F.call_function("shiftright", b + 1, k)  # whole blocks of this level, the end exclusive
+        block = lambda c, at: F.when((first < end) & c, F.struct(k.alias("level"), at.alias("block")))
+        top = k == bits
+        return F.array_compact(F.array(block(top | (F.pmod(first, F.lit(2)) == 1), first), block(~top & (F.pmod(end, F.lit(2)) == 1), end - 1)))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(bits)), of_level))
+
+
 #: Bits by which buckets get wider from one merging step to the next.
 LEVEL = 13
 

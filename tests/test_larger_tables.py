@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime
+import random
+from itertools import pairwise
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from idhealth import registry
+from idhealth.operators import ranges
 
 from .test_queries import table
 
@@ -44,3 +48,24 @@ def test_extract_names_with_many_users(same):
 
 def test_log_lines_of_one_time(same):
     assert len(same("rsv_log_parse", events=events(40, lambda i: 70 * i, lambda i: i // 4))) == 40
+
+
+def test_aligned_blocks_make_up_their_range(spark):
+    rng = random.Random(4)
+    pairs = [(0, 1023), (1024, 2047), (5, 5), (1, 1022), (-1024, -1), (-700, -3)] + [tuple(sorted(1024 * b + rng.randrange(1024) for _ in range(2))) for b in (-2, 0, 7) for _ in range(40)]
+    df = spark.createDataFrame(pairs, "a long, b long").withColumn("k", ranges.aligned_blocks(F.col("a"), F.col("b"), 10))
+    for r in df.collect():
+        numbers = [x for k in r.k for x in range(k.block << k.level, (k.block + 1) << k.level)]
+        assert sorted(numbers) == list(range(r.a, r.b + 1)) and len(r.k) <= 20
+
+
+def test_flattened_ranges_that_crowd_a_bucket(spark):
+    """100,000 ranges in three buckets: against painting them in order; a stretch isn't joined with every range of its bucket."""
+    rng = random.Random(5)
+    rows = [(lo, lo + rng.randrange(300), rng.randrange(5)) for lo in (rng.randrange(3000) for _ in range(100_000))]
+    painted = {}
+    for lo, hi, value in sorted(rows, key=lambda r: (r[0], -r[1], -r[2])):
+        painted |= dict.fromkeys(range(lo, hi + 1), value)
+    got = ranges.flatten_ranges(spark.createDataFrame(rows, "lo long, hi long, value long"), bits=10).collect()
+    assert {x: r.value for r in got for x in range(r.lo, r.hi + 1)} == painted
+    assert all(a.hi + 1 < b.lo or a.value != b.value for a, b in pairwise(sorted(got)))
