@@ -81,19 +81,18 @@ def underscore_labels(name: Column) -> Column:
     return F.filter(labels(name), lambda x: x.startswith("_"))
 
 
-def safe_text(text: Column) -> Column:
-    r"""Escapes as \ddd the characters that a CSV cell or a log can't hold: control, quote, comma, backslash, non-ASCII, a first =, edge and repeated blanks."""
-    chars = F.split(text, "")
-    n = F.size(chars)
+#: Runs of characters that are escaped: control, quote, comma, backslash, non-ASCII, a first =, edge blanks, blanks behind a blank.
+ESCAPED = r"(?:[^\x20-\x7E]|[\",\\]|\A=|\A | \z|(?<= ) )+"
 
-    def one(c: Column, i: Column) -> Column:
-        blank = (c == " ") & ((i == 0) | (i == n - 1) | (F.get(chars, i - 1) == " "))
-        odd = c.rlike(r"[^\x20-\x7E]|[\",\\]") | ((i == 0) & (c == "=")) | blank
-        bytes_ = F.regexp_extract_all(F.hex(F.encode(c, "UTF-8")), F.lit("(..)"), F.lit(1))
-        codes = F.transform(bytes_, lambda b: F.concat(F.lit("\\"), F.lpad(F.conv(b, 16, 10), 3, "0")))
-        return F.when(odd, F.array_join(codes, "")).otherwise(c)
 
-    return F.when(text == "", text).otherwise(F.array_join(F.transform(chars, one), ""))
+def safe_text(text: Column) -> Column:
+    r"""Escapes as \ddd the characters that a CSV cell or a log can't hold: control, quote, comma, backslash, non-ASCII, a first =, edge and repeated blanks."""
+    # the text is cut once at the runs of such characters; nothing looks at it again for each character
+    plain = F.split(text, ESCAPED, -1)
+    runs = F.regexp_extract_all(text, F.lit(f"({ESCAPED})"), F.lit(1))
+    codes = lambda run: F.regexp_replace(F.hex(F.encode(run, "UTF-8")), "(..)", "\\\\$1")
+    escaped = F.transform(runs, lambda run: F.array_join(F.transform(F.split(F.substring(codes(run), 2, 1 << 30), r"\\"), lambda b: F.concat(F.lit("\\"), F.lpad(F.conv(b, 16, 10), 3, "0"))), ""))
+    return F.array_join(F.zip_with(plain, escaped, lambda p, e: F.concat(p, F.coalesce(e, F.lit("")))), "")
 
 
 def is_qname_minimized(qname: Column, qtype: Column, qclass: Column, n_questions: Column, first_owner: Column) -> Column:
