@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
 from typing import Any
+from zlib import crc32
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -19,15 +21,27 @@ CLOSED, LAST_MARK = DAY - 1, 23 * HOUR + 11 * 60_000_000 + 59_000_000
 Pattern = tuple[str, str | None, str | None]
 
 
+#: Parts in which a day's nodes are kept.
+CHUNKS = 256
+
+
+def chunk_of(node: str) -> int:
+    return crc32(node.encode()) % CHUNKS
+
+
 class DayPattern(StatefulProcessor):
-    """State of one label and day: each node's last time and file, and how far the day is published."""
+    """State of one label and day: each node's last time and file, and how far the day is published.
+
+    Nodes are kept in CHUNKS parts by their hashes, of which those with changes are written. How many nodes are behind the
+    next mark is counted along, so all of them are looked at only when the mark is passed.
+    """
 
     def __init__(self, hours: int, keep_days: int) -> None:
         self.hours, self.keep_days = hours, keep_days
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.nodes = handle.getMapState("nodes", "node string", "at_us long, path string")
+        self.nodes = handle.getMapState("nodes", "chunk int", "nodes array<string>, at_us array<long>, paths array<string>")
         self.progress = handle.getValueState("progress", "mark long, final boolean")
 
     def next_mark(self, mark: int, at: int) -> int:
@@ -45,24 +59,41 @@ class DayPattern(StatefulProcessor):
             mark, final = min(self.hours * HOUR, LAST_MARK), False
             # a day that is too old for every later message is forgotten
             self.handle.registerTimer((day + 1 + self.keep_days) * (DAY // 1000))
-        known = {k[0]: tuple(v) for k, v in self.nodes.iterator()}
-        changed: set[str] = set()
-        for r in sorted(rows, key=lambda r: (r["us"], r["node"], r["path"])):
-            if r["us"] // DAY == day:
-                known[r["node"]] = (r["us"] % DAY, r["path"])
-            elif r["node"] in known:
-                known[r["node"]] = (CLOSED, known[r["node"]][1])  # the node is in another day already
+        known = {n: (t, p) for _, v in self.nodes.iterator() for n, t, p in zip(*v, strict=True)}
+        own: list[tuple[int, str, str]] = []
+        closing: dict[str, int] = {}  # a node's first message of a later day; further ones change nothing
+        for r in rows:
+            us, node = r["us"], r["node"]
+            if us // DAY == day:
+                own.append((us, node, r["path"]))
+            elif us < closing.get(node, us + 1):
+                closing[node] = us
+        own.sort()
+        behind = sum(t < mark for t, _ in known.values())
+        changed: set[int] = set()
+        for us, node, path in chain(own, sorted((us, node, None) for node, us in closing.items())):
+            before = known.get(node)
+            if path is not None:
+                known[node] = (us % DAY, path)
+            elif before:
+                known[node] = (CLOSED, before[1])  # the node is in another day already
             else:
                 continue
-            changed.add(r["node"])
-            at = min(t for t, _ in known.values())
-            if not final and at >= mark:
+            changed.add(chunk_of(node))
+            behind += (known[node][0] < mark) - (before is not None and before[0] < mark)
+            if not final and not behind:
+                at = min(t for t, _ in known.values())
                 final = at >= LAST_MARK
                 mark = self.next_mark(mark, at)
+                behind = sum(t < mark for t, _ in known.values())
                 nodes = sorted(known)
                 yield Row(label=label, day=day, at_us=at, final=final, nodes=nodes, paths=[known[n][1] for n in nodes])
-        for node in changed:
-            self.nodes.updateValue((node,), known[node])
+        parts: dict[int, list[tuple[str, int, str]]] = {c: [] for c in changed}
+        for node, (t, path) in known.items():
+            if (c := chunk_of(node)) in parts:
+                parts[c].append((node, t, path))
+        for c, part in parts.items():
+            self.nodes.updateValue((c,), tuple(list(x) for x in zip(*part, strict=True)))
         self.progress.update((mark, final))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
