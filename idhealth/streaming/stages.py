@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from idhealth.functions.times import micros
+
 MESSAGE = "topic string, cc string, city string, node string, date string, time string, duration string, path string"
 
 
@@ -97,20 +99,33 @@ def capped(stream: DataFrame, key: str, ts: str, n: int, late: str = "1 hour") -
 
 
 def capped_rows(stream: DataFrame, key: str, ts: str, n: int, late: str = "1 hour") -> DataFrame:
-    """The rows that a cap of n a key and hour keeps: the first ones by trigger and time. Counts are forgotten once the watermark has passed the hour."""
+    """The rows that a cap of n a key and hour keeps: the first ones by trigger and time. Counts are forgotten once the watermark has passed the hour.
+
+    A key is one group with a count for each of its open hours, so what a group costs is not paid for every hour.
+    """
+    hour = 3_600_000_000
 
     def run(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        seen = state.get[0] if state.exists else 0
-        rows = pd.concat(list(frames)).sort_values(ts, kind="stable")
-        state.update((seen + len(rows),))
-        state.setTimeoutTimestamp(max(int(group[1].timestamp() * 1000) + 3_600_000, state.getCurrentWatermarkMs() + 1))
-        yield rows.head(max(0, n - seen)).drop(columns=["hour_"])
-
-    own = stream.withWatermark(ts, late).withColumn("hour_", F.date_trunc("hour", ts))
-    return own.groupBy(key, "hour_").applyInPandasWithState(run, stream.schema, "seen long", "append", GroupStateTimeout.EventTimeTimeout)
+        now = state.getCurrentWatermarkMs()
+        known = dict(zip(*state.get, strict=True)) if state.exists else {}
+        rows = pd.concat(list(frames))
+        at = rows["hour_"].to_numpy() * hour + rows["in_hour_"].to_numpy()
+        order = np.argsort(at, kind="stable")
+        hours, first, count = np.unique(at[order] // hour, return_index=True, return_counts=True)
+        seen = np.array([known.get(h, 0) for h in hours.tolist()])
+        place = np.arange(len(at)) - np.repeat(first - seen, count)
+        known |= dict(zip(hours.tolist(), (seen + count).tolist(), strict=True))
+        known = {h: c for h, c in known.items() if (h + 1) * (hour // 1000) > now}
+        state.update((list(known), list(known.values())))
+        state.setTimeoutTimestamp(max((max(known, default=0) + 1) * (hour // 1000), now + 1))
+        yield rows.iloc[order[place < n]].drop(columns=["hour_", "in_hour_"])
+
+    us = micros(F.col(ts))
+    own = stream.withWatermark(ts, late).withColumns({"hour_": F.floor(us / hour).cast("long"), "in_hour_": F.pmod(us, F.lit(hour))})
+    return own.groupBy(key).applyInPandasWithState(run, stream.schema, "hours array<long>, seen array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def analyzed(stream: DataFrame, slices: DataFrame, path: str = "path") -> DataFrame:
