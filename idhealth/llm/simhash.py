@@ -3,9 +3,10 @@
 Fingerprints are 64-bit SimHashes of three-word shingles. A tree node has a vantage point v and a radius m: fingerprints
 at a distance of m or less go inside, others outside. Two fingerprints within RADIUS bits of each other that m parts lie,
 by the triangle inequality, at most RADIUS beyond it on the outer side; so what is outside by no more than RADIUS goes
-inside too, and every pair is together in a leaf. The top of the tree, made from a bounded sample, deals the fingerprints
-to shards; each shard goes on splitting by the same rule in its task, and compares within its leaves. Of a dense ball
-of fingerprints only links that join it are found: what is reached already is not compared again.
+inside too, and every pair is together in a leaf. Fingerprints are dealt to shards, each of which makes a tree of its own
+in its task and compares within the leaves. Two fingerprints within RADIUS bits are equal in one of RADIUS + 1 fields; so
+each goes to one range of values of every field, four rows however many there are, and every pair is together in a shard.
+Of a dense ball of fingerprints only links that join it are found: what is reached already is not compared again.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from .components import components
 
 #: Words of a shingle, seed of its XXH64, and differing bits up to which fingerprints are linked.
 SHINGLE, SEED, RADIUS = 3, 42, 3
-#: Fingerprints of the sample that the top of the tree is made from, and how many of it a shard has at least.
-SAMPLE, SAMPLE_LEAST = 65_536, 16
+#: Fields of 16 bits, of which two linked fingerprints have one in common.
+FIELDS = RADIUS + 1
+#: Fingerprints of the sample that the ranges of the fields are made from.
+SAMPLE = 65_536
 #: Fingerprints that a shard should have, and that a leaf of its tree compares at once.
 SHARD, LEAF = 8192, 256
 #: Vantage points tried for a node.
@@ -37,8 +40,6 @@ BLOCK = 1 << 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-Tree = list[tuple[int, int, int, int]]
-
 
 def joined_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all words, lower-cased A-Z, each with a space behind it; of every word its first byte and its end in them, and its row."""
@@ -118,44 +119,30 @@ def sides(x: np.ndarray, v: np.uint64, m: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(d <= m + RADIUS), np.flatnonzero(d > m)
 
 
-def top_tree(sample: np.ndarray, most: int) -> Tree:
-    """Nodes (vantage, radius, inner, outer) from the root on, for leaves of about `most` of the sample; a negative child -s is shard s - 1."""
-    nodes: Tree = []
-    shards = 0
+def fields(x: np.ndarray) -> np.ndarray:
+    """The FIELDS parts of 16 bits of each fingerprint, a row each."""
+    return np.stack([(x >> np.uint64(16 * i)).astype(np.uint16) for i in range(FIELDS)])
 
-    def grow(x: np.ndarray) -> int:
-        nonlocal shards
-        found = best_split(x) if len(x) > most else None
-        if found is None:
-            shards += 1
-            return -shards
-        v, m = found
-        inside, outside = sides(x, v, m)
-        at = len(nodes)
-        nodes.append((0, 0, 0, 0))
-        nodes[at] = (int(v), m, grow(x[inside]), grow(x[outside]))
-        return at
 
-    grow(sample)
-    return nodes
+def field_bounds(sample: np.ndarray, shards: int) -> list[np.ndarray]:
+    """Of each field the values at which its ranges begin, so that `shards` ranges hold about the same share of the sample."""
+    at = np.arange(1, shards) * len(sample) // shards
+    return [np.unique(np.sort(f)[at]) for f in fields(sample)]
 
 
-def shard_rows(tree: Tree):
-    """(shard, fp): every fingerprint with each shard whose region it may share a link in."""
+def shard_rows(bounds: list[np.ndarray]):
+    """(shard, fp): every fingerprint once for each field, with the range that its value lies in; once in all if there is one range only."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = b.column("fp").to_numpy().view(np.uint64)
-            open_ = [(0 if tree else -1, fp)]
-            while open_:
-                at, x = open_.pop()
-                if at < 0:
-                    if len(x):
-                        yield pa.record_batch([pa.array(np.full(len(x), -at - 1, np.int32)), pa.array(x.view(np.int64))], ["shard", "fp"])
-                    continue
-                v, m, inner, outer = tree[at]
-                inside, outside = sides(x, np.uint64(v), m)
-                open_ += [(inner, x[inside]), (outer, x[outside])]
+            fp = b.column("fp")
+            first = 0
+            for field, cuts in zip(fields(fp.to_numpy().view(np.uint64)), bounds, strict=True):
+                shard = first + np.searchsorted(cuts, field, "right")
+                yield pa.record_batch([pa.array(shard.astype(np.int32)), fp], ["shard", "fp"])
+                first += len(cuts) + 1
+                if not any(map(len, bounds)):
+                    break
 
     return deal
 
@@ -217,12 +204,11 @@ def shard_links(table: pa.Table) -> pa.Table:
 def near_fingerprints(fps: DataFrame) -> DataFrame:
     """(a, b) for a written table of distinct fingerprints (fp long): enough of the pairs within RADIUS bits to connect all that are connected.
 
-    The tree's top is made from the SAMPLE fingerprints of the least hashes; it decides how evenly the work is dealt, never what is found.
+    The ranges are made from the SAMPLE fingerprints of the least hashes; they decide how evenly the work is dealt, never what is found.
     """
     n = fps.count()
     sample = fps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    most = max(SAMPLE_LEAST, int(SHARD * len(sample) / max(1, n)))
-    shards = fps.select("fp").mapInArrow(shard_rows(top_tree(sample, most)), "shard int, fp long")
+    shards = fps.select("fp").mapInArrow(shard_rows(field_bounds(sample, -(-n // SHARD))), "shard int, fp long")
     return written(shards.groupBy("shard").applyInArrow(shard_links, "a long, b long").distinct(), "simhash-links")
 
 
