@@ -40,10 +40,6 @@ def cell(registry: str, key: Column, when: Column | None = None, who: Column | N
     return F.when(ok, s)
 
 
-def cells(*parts: Column) -> Column:
-    return F.array_compact(F.array(*parts))
-
-
 def none() -> Column:
     return F.array().cast(CELL)
 
@@ -65,11 +61,11 @@ def record_cells(rr: Column, is_response: Column, is_signed: Column, count_queri
     pair = lambda at: F.conv(F.substring(F.hex(data), 2 * at + 1, 4), 16, 10).try_cast("int")
     signs = ((kind == DNSKEY) & (size > 8)) | ((kind == RRSIG) & (size > 18)) | ((kind == DS) & (size > 4))
     prime = (kind == DNSKEY) & (p["algorithm"] == 2) & (pair(4) < 16)
-    dnssec = cells(cell("DNSSEC Algorithm Numbers", p["algorithm"]), cell("DNSSEC KEY Prime Lengths", pair(4), prime), cell("DNSSEC Well Known Primes", pair(6), prime & pair(4).isin(1, 2)))
-    dane = cells(cell("DANE_CertUsage", p["usage"]), cell("DANE_TlsaSelector", p["selector"]), cell("DANE_TlsaMatchingType", p["matching"]))
+    dnssec = F.array(cell("DNSSEC Algorithm Numbers", p["algorithm"]), cell("DNSSEC KEY Prime Lengths", pair(4), prime), cell("DNSSEC Well Known Primes", pair(6), prime & pair(4).isin(1, 2)))
+    dane = F.array(cell("DANE_CertUsage", p["usage"]), cell("DANE_TlsaSelector", p["selector"]), cell("DANE_TlsaMatchingType", p["matching"]))
     flags = rr["ttl"].bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.when(is_signed, F.lit(0x8000)).otherwise(F.lit(0)).cast("long"))
-    edns = F.concat(cells(cell("EDNS Version number", F.shiftright(rr["ttl"], 16).bitwiseAND(F.lit(255)))), many("EDNS Header_Flags", set_flags(flags, 16)), F.when(full, many("EDNS OPT CODE", dns.option_codes(data))).otherwise(none()))
-    return F.concat(cells(*out), F.when(signs, dnssec).when((kind == TLSA) & (size >= 3), dane).when(kind == OPT, edns).otherwise(none()))
+    edns = F.concat(F.array(cell("EDNS Version number", F.shiftright(rr["ttl"], 16).bitwiseAND(F.lit(255)))), many("EDNS Header_Flags", set_flags(flags, 16)), F.when(full, many("EDNS OPT CODE", dns.option_codes(data))).otherwise(none()))
+    return F.concat(F.array(*out), F.when(signs, dnssec).when((kind == TLSA) & (size >= 3), dane).when(kind == OPT, edns).otherwise(none()))
 
 
 def set_flags(bits: Column, width: int) -> Column:
@@ -89,11 +85,11 @@ def opened(messages: DataFrame) -> DataFrame:
         "x_owner": F.get(F.filter("x_rrs", lambda r: r["section"].isin("answer", "authority")), F.lit(0))["name"],
     })
     uses_do = c("x_opt").isNotNull() & (c("x_signed").isNotNull() | (c("x_opt.ttl").bitwiseAND(F.lit(0x8000)) != 0))
-    return own.withColumns({"x_do": uses_do, "x_codes": dns.option_codes(c("x_opt.rdata"))})
+    return own.withColumns({"x_do": uses_do, "x_codes": F.when(~c("is_response"), dns.option_codes(c("x_opt.rdata")))})
 
 
 def message_cells(nx_usage: bool = False, count_queries: bool = False, sizes: bool = False, underscores: bool = False) -> Column:
-    """All cells of an opened message with the columns of a capture, n_questions, is_root and is_registered (of its top-level name)."""
+    """All cells of an opened message (nulls among them) with the columns of a capture, n_questions, is_root and is_registered (of its top-level name)."""
     c = F.col
     is_response, rrs, opt, tld, parts, kind, good, uses_do = c("is_response"), c("x_rrs"), c("x_opt"), c("x_tld"), c("x_parts"), c("x_kind"), c("x_good"), c("x_do")
     is_signed, uses_edns = c("x_signed").isNotNull(), opt.isNotNull()
@@ -137,13 +133,12 @@ def message_cells(nx_usage: bool = False, count_queries: bool = False, sizes: bo
         out += [cell("Q-CLASS", c("qclass")), cell("Q-RR Type", c("qtype"))]
     if underscores:
         out.append(cell("Underlined part", F.lit("TXT"), c("qtype") == TXT))
-    lists = [F.when(c("flags") == 0, none()).otherwise(many("Header Flags", F.transform(dns.flag_numbers(c("flags"), 7), lambda i: 6 - i)))]
-    lists.append(F.flatten(F.transform(rrs, lambda r: record_cells(r, is_response, is_signed, count_queries))))
+    out += [cell("Header Flags", F.lit(i), F.shiftright(c("flags"), i).bitwiseAND(F.lit(1)) == 1) for i in range(7)]
     options = F.transform(F.array_distinct(F.when(asks & uses_edns, c("x_codes"))), lambda o: cell("_option", o, who=c("client")))
-    lists.append(F.coalesce(options, none()))
+    lists = [F.flatten(F.transform(rrs, lambda r: record_cells(r, is_response, is_signed, count_queries))), F.coalesce(options, none())]
     if underscores:
         lists.append(F.when(c("qtype") == TXT, many("Underlined part", n.underscore_labels(c("qname")))).otherwise(none()))
-    return F.concat(cells(*out), *lists)
+    return F.concat(F.array(*out), *lists)
 
 
 def message_registries(messages: DataFrame, roots: DataFrame, registered: DataFrame, zones: DataFrame | None = None, listed: int = LISTED, **options: bool) -> DataFrame:
@@ -157,7 +152,8 @@ def message_registries(messages: DataFrame, roots: DataFrame, registered: DataFr
     own = own.withColumn("tld_", n.canonic(n.tld(F.col("qname"))))
     own = own.join(roots.select("server").distinct().withColumn("is_root", F.lit(True)), "server", "left").withColumn("is_root", F.coalesce("is_root", F.lit(False)))
     own = own.join(registered.select(F.col("tld").alias("tld_")).distinct().withColumn("is_registered", F.lit(True)), "tld_", "left").withColumn("is_registered", F.coalesce("is_registered", F.lit(False)))
-    spread = opened(own).select(F.explode(message_cells(**options)).alias("c"))
+    # a column first: Spark compiles a projection and shares its parts, but interprets a generator with lambdas; outer, as for others it makes the cells a second time in a filter for empty arrays
+    spread = opened(own).select(message_cells(**options).alias("cells")).select(F.explode_outer("cells").alias("c")).where("c IS NOT NULL")
     summed = spread.groupBy("c.registry", "c.key", "c.who").agg(F.count("*").alias("n"), F.bit_or("c.bits").alias("bits"), F.min("c.mark").alias("mark"))
     summed = stored(summed, "registry-states") if zones is not None else summed
     counted = _state_counts(summed)

@@ -15,6 +15,7 @@ from .metrics import MOST_LABELS, m3, m4, m6, m8, sum3
 REGISTERED = ("COM", "NET", "ERROR", "ARPA")
 #: Names that the bound messages' lists keep.
 LISTED = 16
+RECORDS = "array<struct<section:string,name:string,type:int,class:int,ttl:bigint,rdata:binary>>"
 
 
 def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +27,8 @@ def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         t, F.concat(F.lit("host"), k, F.lit(".local")), F.concat(F.lit("10.0."), k, F.lit(".1")), F.concat(F.lit("x."), k), F.concat(F.lit("a.bad_"), k % 7), F.concat(F.lit("probe"), letters(i)),
         F.concat(F.lit("www."), t, F.lit(".com")), F.lit("printer.home"), F.lit(""), F.concat(F.lit("very.longlonglonglong"), letters(i % 40)), F.concat(F.lit("ns."), letters(u), F.lit(".arpa")), F.concat(F.lit("host-"), k, F.lit(".d"), letters(F.floor(i / 15) % 300)),
     ]
-    name = F.element_at(F.array(*names), (k % len(names) + 1).cast("int"))
+    e = e.withColumn("name", F.element_at(F.array(*names), (k % len(names) + 1).cast("int")))
+    name = F.col("name")
     answers = i % 4 != 3
     rcode = F.when(i % 5 == 0, 3).when(i % 53 == 0, 2).otherwise(0)
     minimizes = u % 11 == 3
@@ -44,7 +46,7 @@ def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.concat(F.lit("c"), u).alias("client"), F.when(i % 3 == 0, "root").otherwise("user").alias("server"), micros(F.col("ts")).alias("us"), answers.alias("is_response"), F.when(i % 97 == 0, 5).otherwise(0).alias("opcode"),
         rcode.alias("rcode"), flags.alias("flags"), name.alias("qname"), F.when(minimizes, 1).otherwise(F.element_at(F.array(F.lit(1), F.lit(2), F.lit(16)), (F.floor(i / 3) % 3 + 1).cast("int"))).alias("qtype"), F.when((k == 99) & ~minimizes, 3).otherwise(1).alias("qclass"),
-        has_answer.cast("int").alias("n_answer"), has_authority.cast("int").alias("n_authority"), F.array_compact(F.array(*records)).alias("rrs"), (i % 211 == 0).alias("error"), (40 + k).cast("int").alias("size"),
+        has_answer.cast("int").alias("n_answer"), has_authority.cast("int").alias("n_authority"), F.concat(*[F.when(r.isNotNull(), F.array(r)).otherwise(F.array().cast(RECORDS)) for r in records]).alias("rrs"), (i % 211 == 0).alias("error"), (40 + k).cast("int").alias("size"),
     )
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import Row
 
+from idhealth.operators import registries
 from idhealth.operators.registries import message_registries
 from idhealth.plans import metrics
 
@@ -77,6 +80,15 @@ def test_clients_and_zones(spark):
     }
 
 
+def test_cells_are_compiled_and_made_once(spark, monkeypatch):
+    """A generator that makes the cells itself is interpreted, and one that isn't outer gets a filter that makes them a second time."""
+    plans, stored = [], registries.stored
+    monkeypatch.setattr(registries, "stored", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df, name))
+    summary(spark, [message()], spark.createDataFrame([("com", "std")], "suffix string, kind string"))
+    assert re.findall(r"Generate (\w+)\(cells#\d+\)", plans[0]) == ["explode"]
+    assert plans[0].count("LeakedTLD_SYNTAX") == 1
+
+
 def test_no_messages(spark):
     assert summary(spark, []) == {}
     assert summary(spark, [message(qname=None, qtype=None, qclass=None, rrs=[(None, None, None, None, None, None)], flags=None, rcode=None, questions=None)])[("OpCode", "0")] == 1
