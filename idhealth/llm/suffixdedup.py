@@ -77,9 +77,13 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     return row, place, low, high, h[place], *both
 
 
+#: Bytes of text whose anchors are found at once: each takes about 100 bytes meanwhile.
+ANCHOR_BYTES = 1 << 18
+
+
 def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for c in tf.chunks(batch, "text"):
+        for c in tf.chunks(batch, "text", ANCHOR_BYTES):
             data, offsets = tf.flat(c.column("text"))
             row, place, low, high, h, right, left = anchors(data, offsets, LENGTH, GRAM)
             doc = c.column("doc").take(pa.array(row))
@@ -87,8 +91,8 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([doc, pa.array(h.view(np.int64)), pa.array(packed), *[pa.array(x.view(np.int64), mask=x == 0) for x in (right, left)]], ["doc", "h", "place", "right", "left"])
 
 
-#: Anchors whose suffixes are copied at once: a periodic text has one for nearly every byte.
-SLICE = 8192
+#: Anchors whose suffixes are copied at once, some 300 bytes each with an index of 8 bytes for each: a periodic text has an anchor for nearly every byte.
+SLICE = 2048
 
 
 def suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
