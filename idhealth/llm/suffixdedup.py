@@ -35,6 +35,7 @@ BUCKET_ROWS = 40_000
 BROADCAST_GROUPS = 1_000_000
 #: place: the anchor's byte, then how far before it its strings start at most and at least, 8 bits each.
 ANCHORS = "doc binary, h long, place long, right long, left long"
+SUFFIXES = "doc binary, pos int, low int, high int, h long, lead binary, body binary, hot boolean"
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -115,7 +116,7 @@ def suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lead_at = (offsets[row] + pos)[:, None] + np.arange(16)
                 lead = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(row), [None, pa.py_buffer(np.ascontiguousarray(data[lead_at]))]).cast(pa.binary())
                 at = [pa.array(x.astype(np.int32)) for x in (pos, low, high)]
-                yield pa.record_batch([c.column("doc").take(pa.array(row)), *at, part.field("h"), lead, body], ["doc", "pos", "low", "high", "h", "lead", "body"])
+                yield pa.record_batch([c.column("doc").take(pa.array(row)), *at, part.field("h"), lead, body, part.field("hot")], ["doc", "pos", "low", "high", "h", "lead", "body", "hot"])
 
 
 def multikey_order(token: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -302,17 +303,14 @@ def spans(docs: DataFrame) -> DataFrame:
     large = written(open_.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROWS).select("h", F.lit(True).alias("hot")), "suffix-large")
     lists = open_.join(small_side(large), "h", "left").select("doc", F.struct("place", "h", F.coalesce("hot", F.lit(False)).alias("hot")).alias("a"))
     lists = lists.groupBy("doc").agg(F.collect_set("a").alias("a"))
-    wanted = docs.select("doc", "text").join(lists, "doc")
-    schema = "doc binary, pos int, low int, high int, h long, lead binary, body binary"
-    normal = wanted.select("doc", "text", F.filter("a", lambda x: ~x["hot"]).alias("a")).where(F.size("a") > 0)
-    hot = wanted.select("doc", "text", F.filter("a", lambda x: x["hot"]).alias("a")).where(F.size("a") > 0)
-    suffixes = normal.mapInArrow(suffix_rows, schema)
+    # written: texts are shuffled and cut once, for hot groups, the sample of the splitters and the buckets
+    suffixes = written(docs.select("doc", "text").join(lists, "doc").mapInArrow(suffix_rows, SUFFIXES), "suffix-bodies")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # Spark samples the splitters; equal leading tokens and hashes meet in one bucket, so no match crosses a boundary
-    buckets = suffixes.repartitionByRange(parts, "lead", "h").sortWithinPartitions("lead", "h")
+    buckets = suffixes.where("NOT hot").drop("hot").repartitionByRange(parts, "lead", "h").sortWithinPartitions("lead", "h")
     sorted_spans = buckets.mapInArrow(bucket_rows, "doc binary, b int, e int")
-    strings = hot if large.take(1) else hot.where(F.lit(False))
-    strings = written(strings.mapInArrow(suffix_rows, schema).select("doc", "low", "body").mapInArrow(string_rows, "doc binary, s int, f binary"), "suffix-strings")
+    strings = suffixes.where("hot").select("doc", "low", "body") if large.take(1) else suffixes.select("doc", "low", "body").where(F.lit(False))
+    strings = written(strings.mapInArrow(string_rows, "doc binary, s int, f binary"), "suffix-strings")
     twice = small_side(written(strings.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f"), "suffix-twice"))  # written: Spark can then split a hot string
     hot_spans = strings.join(twice, "f").select("doc", F.col("s").alias("b"), (F.col("s") + LENGTH).alias("e")).distinct()
     all_spans = sorted_spans.unionByName(hot_spans)

@@ -7,7 +7,7 @@ import tracemalloc
 
 import pyarrow as pa
 
-from idhealth.llm import suffixdedup
+from idhealth.llm import base, suffixdedup
 
 
 def peak(rows, batch):
@@ -30,3 +30,23 @@ def test_anchors_and_suffixes_in_small_parts():
     kind = pa.list_(pa.struct([("place", pa.int64()), ("h", pa.int64()), ("hot", pa.bool_())]))
     n, most = peak(suffixdedup.suffix_rows, pa.record_batch([docs, pa.array(texts), pa.array(some, kind)], ["doc", "text", "a"]))
     assert n == 20_000 and most < 40, most
+
+
+def test_texts_are_cut_into_suffixes_once(spark, monkeypatch):
+    """Where a group was counted string by string, all texts were shuffled and cut into suffixes a second time."""
+    plans = []
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return base.written(df, name)
+
+    rng = random.Random(5)
+    line = "".join(rng.choices("abcdefgh ", k=400))
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=300)) + line) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, suffixdedup.remove_repeats(docs).collect()))
+    monkeypatch.setattr(suffixdedup, "written", written)
+    monkeypatch.setattr(suffixdedup, "BUCKET_ROWS", 2)
+    got = suffixdedup.remove_repeats(docs)
+    assert sum(p.count("MapInArrow suffix_rows(") for p in plans) == 1 and any("string_rows(" in p for p in plans)
+    assert sorted(map(tuple, got.collect())) == want and all(r[2] >= 400 for r in want)
